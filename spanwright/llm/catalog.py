@@ -44,3 +44,36 @@ def op2_substring_dedup(spark, sf_dir):
 
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(rf"""
+WITH d AS (SELECT *, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+many AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM
+         (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d))) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM many, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+base AS (SELECT d.doc_id, source, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+           (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+           (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+         FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
+hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source),
+prior AS (SELECT m, CASE WHEN v < 1e-12 THEN 1000.0 ELSE least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS w
+          FROM (SELECT avg(f::DOUBLE / n) AS m, var_pop(f::DOUBLE / n) AS v FROM hosts)),
+bad AS (SELECT source FROM hosts, prior WHERE (f + m * w) / (n + w) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
+FROM judged
+""")
+def op4_host_quality(spark, sf_dir):
+    from .quality import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op8_suffix_dedup(spark, sf_dir):
+    from .suffix_dedup import suffix_dedup
+
+    out = suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

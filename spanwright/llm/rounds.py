@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MESSAGE = "p int, block long, payload binary"
@@ -80,7 +80,8 @@ class Groups:
 
 
 def ordered(docs: pa.Table) -> pa.Table:
-    return docs.sort_by([("doc_id", "ascending")])
+    """In the same order each time, whatever order the rows arrived in."""
+    return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 def answer(messages: DataFrame, resolve: Callable) -> DataFrame:
@@ -93,7 +94,3 @@ def answer(messages: DataFrame, resolve: Callable) -> DataFrame:
         return pa.table({"p": pa.array([p for p, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int64()), "payload": pa.array([x for _, x in rows], pa.binary())}, schema=_MESSAGE)
 
     return messages.groupBy("block").applyInArrow(run, MESSAGE)
-
-
-def own_id(name: str) -> Column:
-    return F.col(name).cast("long")

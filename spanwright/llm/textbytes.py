@@ -69,11 +69,11 @@ def words(buf: np.ndarray, offs: np.ndarray, white: np.ndarray = WHITE) -> tuple
     return starts, ends, np.searchsorted(offs, starts, side="right") - 1
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 1) -> np.ndarray:
     """A 64-bit hash of each byte span, 8 bytes a step."""
     view = np.ndarray((max(len(buf) - 7, 0),), dtype="<u8", buffer=buf, strides=(1,))
     length = ends - starts
-    out = mix(length.astype(U64) + U64(_GOLD))
+    out = mix(length.astype(U64) + U64((salt * _GOLD) & _MASK64))
     todo, at = np.flatnonzero(length > 0), 0
     while len(todo):
         part = view[starts[todo] + at] & _TAIL[np.minimum(length[todo] - at, 8)]
