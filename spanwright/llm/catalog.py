@@ -127,3 +127,27 @@ def op10_chat_format(spark, sf_dir):
         F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+_ALNUM = r"regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(rf"""
+WITH items AS (SELECT item_id, {_ALNUM.format("text")} AS ws FROM benchmark WHERE item_id IS NOT NULL),
+pats AS (SELECT DISTINCT item_id, len(w) AS n, array_to_string(w, ' ') AS k FROM
+         (SELECT item_id, unnest(CASE WHEN len(ws) < 10 THEN [ws] ELSE list_transform(range(1, len(ws) - 8), lambda i: ws[i:i + 9]) END) AS w FROM items WHERE len(ws) > 0)),
+docs AS (SELECT doc_id, {_ALNUM.format("text")} AS ws FROM documents),
+sizes AS (SELECT DISTINCT n FROM pats),
+wins AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS k FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM docs, sizes WHERE len(ws) >= n)),
+hits AS (SELECT doc_id, item_id, i, n FROM wins JOIN pats USING (n, k)),
+words AS (SELECT doc_id, count(DISTINCT j)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+""")
+def op7_wu_manber(spark, sf_dir):
+    from .decontaminate import contaminated, decontaminate
+
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))

@@ -134,3 +134,14 @@ def group_starts(*keys: np.ndarray) -> np.ndarray:
         for k in keys:
             first[1:] |= k[1:] != k[:-1]
     return first
+
+
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+    """The batch in pieces of about `limit` bytes of the column, each of a row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+    at = 0
+    while at < batch.num_rows:
+        done = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
