@@ -151,3 +151,12 @@ def op7_wu_manber(spark, sf_dir):
 
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), contaminated().alias("contaminated"))
+
+
+@query()
+def op6_compression_toxicity(spark, sf_dir):
+    from .toxicity import fit_toxicity, held_out, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    out = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
