@@ -160,3 +160,24 @@ def op6_compression_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query(r"""
+WITH raw AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+said AS (SELECT doc_id, i, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r
+         FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+wins AS (SELECT doc_id, r, s || chr(10) || lead(s) OVER w || chr(10) || lead(s, 2) OVER w AS k FROM said WINDOW w AS (PARTITION BY doc_id ORDER BY r)),
+late AS (SELECT doc_id, r FROM (SELECT *, first_value((doc_id, r)) OVER (PARTITION BY k ORDER BY doc_id, r) AS f FROM wins WHERE k IS NOT NULL) WHERE f <> (doc_id, r)),
+gone AS (SELECT DISTINCT doc_id, r + j AS r FROM late, (SELECT unnest([0, 1, 2]) AS j)),
+runs AS (SELECT doc_id, count(*)::BIGINT AS n_removed, count(*) FILTER (starts)::BIGINT AS n_runs FROM
+         (SELECT doc_id, r - lag(r, 1, -1) OVER (PARTITION BY doc_id ORDER BY r) > 1 AS starts FROM gone) GROUP BY doc_id),
+lost AS (SELECT doc_id, i FROM said JOIN gone USING (doc_id, r)),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS t FROM raw ANTI JOIN lost USING (doc_id, i) GROUP BY doc_id),
+total AS (SELECT doc_id, count(*)::BIGINT AS n_lines FROM said GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs, coalesce(t, '') AS kept_text
+FROM documents d LEFT JOIN total USING (doc_id) LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op1_line_dedup(spark, sf_dir):
+    from .line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents"))

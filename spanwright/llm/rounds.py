@@ -44,15 +44,18 @@ def written(df: DataFrame) -> DataFrame:
 
 
 class Groups:
-    """Documents dealt into groups `p` of about group_bytes of text by a hash of id and text."""
+    """Documents dealt into groups `p` of about group_bytes of text by a hash of id and text.
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20):
+    Columns named in carry come along as _0, _1, ... for the last step to return.
+    """
+
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20, carry: list[str] | None = None):
         spark = docs.sparkSession
         ids, texts = docs[id_col].cast("long"), docs[text_col].cast("string")
         size = docs.agg(F.sum(F.octet_length(texts)).alias("b")).first()["b"] or 0
         self.bytes = int(size)
         self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / group_bytes))
-        self.table = docs.select(F.pmod(F.xxhash64(ids, texts), F.lit(self.n)).cast("int").alias("p"), ids.alias("doc_id"), texts.alias("text"))
+        self.table = docs.select(F.pmod(F.xxhash64(ids, texts), F.lit(self.n)).cast("int").alias("p"), ids.alias("doc_id"), texts.alias("text"), *[docs[c].alias(f"_{i}") for i, c in enumerate(carry or [])])
 
     def blocks(self, keys: float, per_block: int = 1 << 21) -> int:
         """Bits of a block number so that a block has about per_block of so many keys."""
