@@ -181,3 +181,20 @@ def op1_line_dedup(spark, sf_dir):
     from .line_dedup import line_dedup
 
     return line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query(rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS g FROM d),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, min(b) AS component_id, s.doc_id = min(b) AS kept FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, len(g)
+""")
+def op3_lsh_forest(spark, sf_dir):
+    from .near_dedup import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
