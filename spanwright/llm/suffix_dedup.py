@@ -39,6 +39,7 @@ from .substring_dedup import _split
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 U64 = np.uint64
+_CHUNK = 1 << 15
 _PIECE = 256  # windows of a context at most; longer runs are several
 _SIGN = U64(1 << 63)
 
@@ -57,37 +58,50 @@ def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
     return best(x[: len(x) - rest], x[rest:]) if rest and len(x) > rest else x[: max(len(x) - rest, 0)]
 
 
+def _part_hashes(view: np.ndarray, part: int) -> np.ndarray:
+    """A hash of each stretch of `part` bytes; view has the 8 bytes from each place."""
+    h, have = tb.mix(view), 8
+    while have * 2 <= part:
+        h = h[: max(len(h) - have, 0)] * U64(0x9E3779B97F4A7C15) + h[have:] * U64(0xC2B2AE3D27D4EB4F + 2 * have)
+        have *= 2
+    rest = part - have
+    if rest:
+        h = h[: max(len(h) - rest, 0)] * U64(0xA0761D6478BD642F) + h[rest:] * U64(0xE7037ED1A0B428DB)
+    return h ^ (h >> U64(32))
+
+
 class Windows:
     """Anchors and contexts of a group's texts."""
 
     def __init__(self, docs: pa.Table, window: int, part: int):
-        self.window, self.reach = window, window - part + 1
+        self.window, self.part, self.reach = window, part, window - part + 1
         self.buf, self.offs = tb.column_bytes(docs["text"])
         self.ids = docs["doc_id"].fill_null(0).to_numpy()
         real = docs["doc_id"].is_valid().to_numpy(zero_copy_only=False)
         n = int(self.offs[-1])
         self.places = max(n - window + 1, 0)
-        view = np.ndarray((n,), dtype="<u8", buffer=self.buf, strides=(1,))
-        h = tb.mix(view)
-        have = 8
-        while have * 2 <= part:
-            h = h[: max(len(h) - have, 0)] * U64(0x9E3779B97F4A7C15) + h[have:] * U64(0xC2B2AE3D27D4EB4F + 2 * have)
-            have *= 2
-        rest = part - have
-        if rest:
-            h = h[: max(len(h) - rest, 0)] * U64(0xA0761D6478BD642F) + h[rest:] * U64(0xE7037ED1A0B428DB)
-        self.h = (h ^ (h >> U64(32)))[: max(n - part + 1, 0)]
+        self.h, self.least = np.empty(max(n - part + 1, 0), U64), np.empty(self.places, U64)
+        view = np.ndarray((max(n - 7, 0),), dtype="<u8", buffer=self.buf, strides=(1,))
+        for a in range(0, len(self.h), _CHUNK):  # chunks whose arrays stay in the processor's cache
+            h = _part_hashes(view[a : a + _CHUNK + window], part)
+            self.h[a : a + _CHUNK] = h[:_CHUNK]
+            least = _slide(h, self.reach, np.minimum)[:_CHUNK]
+            self.least[a : a + len(least)] = least[: max(self.places - a, 0)]
         size = np.diff(self.offs)
         long = (size >= window) & real
         step = np.bincount(self.offs[:-1][long], minlength=n + 1) - np.bincount(self.offs[1:][long] - window + 1, minlength=n + 1)
         self.valid = np.cumsum(step[: self.places]).astype(bool)
-        self.least = _slide(self.h, self.reach, np.minimum)[: self.places]
 
     def anchors(self) -> np.ndarray:
         """Places whose hash is the least of some window."""
         pad = np.zeros(self.reach - 1, U64)
-        most = _slide(np.concatenate([pad, np.where(self.valid, self.least, U64(0)), pad]), self.reach, np.maximum)[: len(self.h)]
-        return np.flatnonzero((most == self.h) & (self.h > 0))
+        least = np.concatenate([pad, np.where(self.valid, self.least, U64(0)), pad])
+        out = []
+        for a in range(0, len(self.h), _CHUNK):
+            h = self.h[a : a + _CHUNK]
+            most = _slide(least[a : a + len(h) + self.reach - 1], self.reach, np.maximum)
+            out.append(np.flatnonzero((most == h) & (h > 0)) + a)
+        return np.concatenate(out) if out else np.zeros(0, np.int64)
 
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """First window and number of windows of each run with one least hash."""
@@ -107,8 +121,20 @@ class Windows:
         return start, count
 
     def keys(self, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        end = start + count + self.window - 1
-        return tb.hash_spans(self.buf, start, end, 3), tb.hash_spans(self.buf, start, end, 5) >> U64(32)
+        """Two hashes of each context's bytes, made from its parts' hashes."""
+        last = start + count + self.reach - 2
+        key = tb.mix(count.astype(U64) + U64(0x2545F4914F6CDD1D))
+        check = key ^ self.h[last]
+        todo, at = np.arange(len(start)), start.copy()
+        while len(todo):
+            h = self.h[np.minimum(at, last[todo])]
+            key[todo] = tb.mix(key[todo] ^ h)
+            check[todo] = (check[todo] ^ h) * U64(0x9FB21C651E98DF25)
+            check[todo] ^= check[todo] >> U64(28)
+            at += self.part
+            on = at < last[todo] + self.part
+            todo, at = todo[on], at[on]
+        return key, tb.mix(check) >> U64(32)
 
     def where(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         doc = np.searchsorted(self.offs, start, side="right") - 1
@@ -120,10 +146,11 @@ def _runs(block: np.ndarray):
     return [(int(a), int(b)) for a, b in zip(cut[:-1], cut[1:], strict=True) if b > a]
 
 
-def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Ranks of all suffixes of an array of integers >= 1 by at least their first `depth` values.
+def suffix_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Ranks of the suffixes of an array of integers >= 1 by at least their first `depth` values.
 
-    A difference cover modulo 3: places 1 and 2 modulo 3 are sampled.
+    A difference cover modulo 3: places 1 and 2 modulo 3 are sampled. Where
+    `wanted` (a mask) is given, only those suffixes are merged and ranked.
     """
     n = len(text)
     if n < 3:
@@ -148,6 +175,10 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     rank = np.zeros(n + 4, U64)
     rank[sample] = name
     wide = U64(max(1, int(name.max()).bit_length()))
+    if wanted is not None:
+        zero, one, two = zero[wanted[zero]], one[one < n], two[wanted[two]]
+        one = one[wanted[one]]
+        sample = np.concatenate([one, two])
     # what isn't sampled: a value, then a sampled rank
     key0 = (s[zero] << wide) | rank[zero + 1]
     by0 = np.argsort(key0, kind="stable")
@@ -184,7 +215,9 @@ def _tiny(text: np.ndarray) -> np.ndarray:
 
 def later_windows(text: np.ndarray, start: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     """Of windows at `start` in text (with 8 zero bytes after it), those with an equal one of a smaller (id, at)."""
-    place = suffix_order(text[:-8].astype(np.int64) + 1, window)
+    wanted = np.zeros(len(text) - 8, bool)
+    wanted[start] = True
+    place = suffix_order(text[:-8].astype(np.int64) + 1, window, wanted)
     order = start[np.argsort(place[start], kind="stable")]
     view = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
     same = np.zeros(len(order), bool)
@@ -210,7 +243,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bits = min(60, max(16, math.ceil(math.log2(expected * cells))))
     anchor_bits = groups.blocks(expected)
     key_bits = groups.blocks(expected / 4)
-    sort_bits = groups.blocks(groups.bytes, 8 << 20)
+    sort_bits = groups.blocks(groups.bytes, 2 << 20)
 
     def cell_of(value):
         return tb.mix(value ^ U64(0x589965CC75374CC3)) >> U64(64 - bits)
@@ -368,20 +401,21 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         w = Windows(docs, window, part)
         start, n = w.contexts()
         gone = np.zeros(w.places, bool)
-        k, c, _ = listed(back, 0)
-        if len(k) and len(start):
-            whole = found(*w.keys(start, n), k, c) >= 0
-            step = np.bincount(start[whole], minlength=w.places + 1) - np.bincount((start + n)[whole], minlength=w.places + 1)
-            gone |= np.cumsum(step[:-1]) > 0
-        # a text that holds its own group's earliest context again loses it there
         if len(start):
             key, check = w.keys(start, n)
-            ids, off = w.where(start)
-            order = np.lexsort((off, ids, check, key))
-            first = tb.group_starts(key[order], check[order])
-            head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-            late = order[(ids[order] != ids[order][head]) | (off[order] != off[order][head])]
-            step = np.bincount(start[late], minlength=w.places + 1) - np.bincount((start + n)[late], minlength=w.places + 1)
+            k, c, _ = listed(back, 0)
+            whole = found(key, check, k, c) >= 0
+            # a context whose group holds an earlier one goes too
+            order = np.argsort(key, kind="stable")
+            again = ~tb.group_starts(key[order])
+            again[:-1] |= again[1:]
+            order = order[again]
+            ids, off = w.where(start[order])
+            by = np.lexsort((off, ids, check[order], key[order]))
+            order, ids, off = order[by], ids[by], off[by]
+            head = np.maximum.accumulate(np.where(tb.group_starts(key[order], check[order]), np.arange(len(order)), 0))
+            whole[order] |= (ids != ids[head]) | (off != off[head])
+            step = np.bincount(start[whole], minlength=w.places + 1) - np.bincount((start + n)[whole], minlength=w.places + 1)
             gone |= np.cumsum(step[:-1]) > 0
         for b in (b for b in back if b < 0):
             m, row, s, late = _split(back[b])
