@@ -198,3 +198,13 @@ def op3_lsh_forest(spark, sf_dir):
     from .near_dedup import near_dedup
 
     return near_dedup(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query()
+def op9_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from .tokens import token_counts
+
+    out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 2048)

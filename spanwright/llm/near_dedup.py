@@ -81,9 +81,9 @@ def _signatures(shingles: np.ndarray, edge: np.ndarray, n: int) -> np.ndarray:
 class Forest:
     """What the steps share."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, trees: int, depth: int, levels: int, near: int, carry: list[str] | None = None):
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, trees: int, depth: int, levels: int, near: int):
         self.shingle, self.percent, self.trees, self.depth, self.levels, self.near = shingle, percent, trees, depth, levels, near
-        self.groups = Groups(docs, id_col, text_col, carry=carry)
+        self.groups = Groups(docs, id_col, text_col)
 
     def nodes(self) -> DataFrame:
         """(p, doc_id, n_shingles, key1, key2): sizes and hashes of the sets."""
@@ -255,11 +255,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _members(batches):
-    """(region, doc_id) of the regions that have pairs at larger distances."""
+    """(kind 1, region, doc_id) of the regions that have pairs at larger distances."""
     for batch in batches:
         for x in batch["payload"].to_pylist():
             key, d = _split(x)
-            yield pa.RecordBatch.from_arrays([pa.array(tb.unpack_sorted(key).view(np.int64)), pa.array((tb.unpack(d) ^ _SIGN).view(np.int64))], ["region", "member"])
+            key, d = tb.unpack_sorted(key).view(np.int64), (tb.unpack(d) ^ _SIGN).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), np.int32)), pa.array(key), pa.array(d)], ["kind", "a", "b"])
 
 
 def labelled(forest: Forest) -> tuple[DataFrame, DataFrame]:
@@ -274,10 +275,14 @@ def labelled(forest: Forest) -> tuple[DataFrame, DataFrame]:
     edges = nodes.where("doc_id <> root").join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
     chosen, turn = reps.withColumn("label", F.col("doc_id")), 0
     while True:
-        found = written(forest.candidates(chosen, turn))
-        edges = edges.unionByName(written(forest.confirmed(found.where("p >= 0"))))
+        # one job, so that its steps share one exchange of documents
+        requests = forest.candidates(chosen, turn)
+        links = forest.confirmed(requests.where("p >= 0")).select(F.lit(0).alias("kind"), "a", "b")
+        found = written(links.unionByName(requests.where("p < 0").mapInArrow(_members, "kind int, a long, b long")))
+        edges = edges.unionByName(found.where("kind = 0").select("a", "b"))
         labels = written(components(edges))
-        members = written(found.where("p < 0").mapInArrow(_members, "region long, member long").join(labels, F.col("member") == F.col("node"), "left").select("region", "member", F.coalesce("component", "member").alias("label")))
+        members = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("member"))
+        members = written(members.join(labels, members["member"] == labels["node"], "left").select("region", "member", F.coalesce("component", "member").alias("label")))
         open_ = members.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         left = written(members.join(open_, "region", "left_semi").select("member", "label").distinct())
         if left.isEmpty():
@@ -291,3 +296,11 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = nodes.join(labels, nodes["root"] == labels["node"], "left")
     component = F.coalesce("component", "root")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def near_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 24, depth: int = 4, levels: int = 6, near: int = 32) -> DataFrame:
+    """The rows of docs, with their columns, but for all members of a component other than its smallest id."""
+    nodes, labels = labelled(Forest(docs, id_col, text_col, shingle, percent, trees, depth, levels, near))
+    judged = nodes.join(labels, nodes["root"] == labels["node"], "left")
+    drop = judged.where(F.col("doc_id") != F.coalesce("component", "root")).select(F.col("doc_id").alias("_near_drop")).distinct()
+    return docs.join(drop, docs[id_col].cast("long") == F.col("_near_drop"), "left_anti")
