@@ -48,25 +48,28 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(F.size(F.array_distinct(places))).cast("long")
 
 
-def base_columns(text: Column, min_words: int = 50) -> dict[str, Column]:
-    """The per-document counts. Words are runs of characters that aren't ASCII white space."""
+def base_columns(text: Column) -> dict[str, Column]:
+    """The per-document counts. Words are runs of characters that aren't ASCII white space.
+
+    The words are bound once inside `words`, so that a filter on what comes of
+    them can be pushed down without computing them again for each element.
+    """
     text = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {
-        "words": words,
+        "words": let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_words(w).alias("repeated"))),
         "word_chars": F.length(F.translate(text, _WHITE, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     }
 
 
 def with_base(docs: DataFrame, text_col: str = "text", prefix: str = "", min_words: int = 50) -> DataFrame:
     """docs and the columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    made = base_columns(docs[text_col], min_words)
     words = prefix + "words"
-    out = docs.withColumns({prefix + k: c for k, c in made.items()})
-    out = out.withColumns({prefix + "n_words": F.size(words).cast("long"), prefix + "n_repeat_words": repeated_words(F.col(words))}).drop(words)
+    out = docs.withColumns({prefix + k: c for k, c in base_columns(docs[text_col]).items()})
+    out = out.withColumns({prefix + "n_words": out[words]["n"], prefix + "n_repeat_words": out[words]["repeated"]}).drop(words)
     n, r = F.col(prefix + "n_words"), F.col(prefix + "n_repeat_words")
     return out.withColumn(prefix + "base_failed", (n < min_words) | (100 * r > 50 * n))
 
