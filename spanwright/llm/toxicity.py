@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 
+U64 = np.uint64
 SCHEMA = "doc_id long, score double, n_windows long, top_gain long"
 #: Gains in bytes from which a window counts.
 CUTS = (1, 2, 3, 4, 6)
@@ -48,11 +49,17 @@ def held_out(doc_id: Column) -> Column:
 
 def _contexts(texts: list[bytes]) -> tuple[Counter, int]:
     """In how many different contexts each word, and each word's beginning, stands; and how many there are."""
-    seen = set()
-    for x in set(texts):
-        w = [b"", *x.split(), b""]
-        seen.update(zip(w, w[1:], w[2:], strict=False))
-    out = Counter(w for _, w, _ in seen)
+    buf, offs = tb.column_bytes(pa.array(texts, pa.binary()))
+    starts, ends, doc = tb.words(buf, offs)
+    token = tb.hash_spans(buf, starts, ends)
+    around = np.zeros((2, len(token)), U64)
+    same = doc[1:] == doc[:-1]
+    around[0, 1:][same], around[1, :-1][same] = token[:-1][same], token[1:][same]
+    context = tb.mix(tb.mix(around[0] + U64(1)) ^ token) ^ (around[1] * U64(0x9E3779B97F4A7C15))
+    seen = np.unique(context, return_index=True)[1]
+    _, first, times = np.unique(token[seen], return_index=True, return_counts=True)
+    raw, at = buf.tobytes(), seen[first]
+    out = Counter(dict(zip((raw[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)), times.tolist(), strict=True)))
     for w, n in list(out.items()):
         for k in BEGINNINGS:
             if len(w) > k:
