@@ -254,3 +254,221 @@ def label_agreement(spark, d):
 SELECT episode, bool_and(ok) AS valid, count(*) AS n_spans FROM v GROUP BY episode""")
 def sequence_valid(spark, d):
     return M.sequence_valid(ref_spans(spark, d))
+
+
+# ---- statistics, ties, inference -------------------------------------------------------------------------------
+
+from .functions import kernels as K  # noqa: E402
+from .functions import labels as L  # noqa: E402
+
+_SEQ = f"{_REF}, seq AS (SELECT episode, list(text ORDER BY idx)[1:3] AS s, min(idx) AS i FROM ref GROUP BY episode)"
+
+
+def sequences(spark, d):
+    """The first three labels of each episode (the sequence whose mode is asked for)."""
+    return S.pack(ref_spans(spark, d)).select("episode", F.transform(F.slice("spans", 1, 3), lambda s: s["text"]).alias("labels"), F.lit("all").alias("task"), F.col("episode").alias("position"))
+
+
+@query(f"""{_SEQ} SELECT 'all' AS task, s AS labels, count(*) AS n FROM seq GROUP BY s ORDER BY n DESC, s LIMIT 1""")
+def modal_sequence(spark, d):
+    return T.modal(sequences(spark, d).drop("position"), ["task"], "labels")
+
+
+@query(f"""{_SEQ} SELECT 'all' AS task, s AS labels, count(*) AS n, min(episode) AS first_at FROM seq GROUP BY s ORDER BY n DESC, first_at LIMIT 1""")
+def modal_first_seen(spark, d):
+    return T.modal(sequences(spark, d), ["task"], "labels", "first_at")
+
+
+@query("""WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL), p AS (SELECT *, n / sum(n) OVER (PARTITION BY user_id) AS p FROM c)
+SELECT user_id, sum(n)::BIGINT AS n, count(*) AS n_distinct, round(max(p), 6) AS modal_share, round(-sum(p * ln(p)), 6) AS entropy, round(CASE WHEN sum(n) > 1 THEN -sum(p * ln(p)) / ln(sum(n)) ELSE 0 END, 6) AS entropy_norm FROM p GROUP BY user_id""")
+def label_entropy(spark, d):
+    return r6(T.entropy(table(spark, d, "events"), "user_id", "event_type"))
+
+
+@query(f"""{_REF}, n AS (SELECT episode, count(*) AS n FROM ref GROUP BY 1) SELECT round(avg(n), 6) AS mean, round(stddev_pop(n), 6) AS sd, round(stddev_pop(n) / avg(n), 6) AS cv, min(n) AS least, max(n) AS most FROM n""")
+def count_stability(spark, d):
+    n = ref_spans(spark, d).groupBy("episode").agg(F.count("*").alias("n"))
+    return r6(n.agg(F.avg("n").alias("mean"), F.stddev_pop("n").alias("sd"), (F.stddev_pop("n") / F.avg("n")).alias("cv"), F.min("n").alias("least"), F.max("n").alias("most")))
+
+
+_REL = f"{_REF}, {_EXT}, rel AS (SELECT r.episode, idx, (start - t0) / (t1 - t0) AS x FROM ref r JOIN ext USING (episode) WHERE idx > 0 AND t1 > t0)"
+
+
+def relative(spark, d, spans):
+    return spans.join(S.episode_extent(frames(spark, d)), "episode").where("idx > 0 AND t_last > t0").select("episode", "idx", ((F.col("start") - F.col("t0")) / (F.col("t_last") - F.col("t0"))).alias("x"))
+
+
+@query(f"{_REL} SELECT idx, count(*) AS n, round(median(x), 6) AS median, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS sd FROM rel GROUP BY idx")
+def median_relative_boundaries(spark, d):
+    return r6(relative(spark, d, ref_spans(spark, d)).groupBy("idx").agg(F.count("*").alias("n"), F.median("x").alias("median"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd")))
+
+
+_FIT = f"""{_BOTH}, {_EXT}, diff AS (SELECT r.episode, r.idx, (p.start - r.start) / (t1 - t0) AS e FROM ref r JOIN pred p ON r.episode = p.episode AND r.idx = p.idx JOIN ext ON r.episode = ext.episode WHERE r.idx > 0 AND t1 > t0),
+off AS (SELECT idx, median(e) AS o, count(*) AS n FROM diff GROUP BY idx)"""
+
+
+@query(f"{_FIT} SELECT idx, n, round(o, 6) AS \"offset\" FROM off")
+def fit_offsets(spark, d):
+    from .operators.calibration import boundary_errors, fit_offsets
+
+    return r6(fit_offsets(boundary_errors(pred_spans(spark, d), ref_spans(spark, d), S.episode_extent(frames(spark, d)))))
+
+
+@query(f"{_FIT} SELECT round(greatest(1e-3, stddev_pop(e - o)), 6) AS residual_scale, count(*) AS n FROM diff JOIN off USING (idx)")
+def pooled_residual_scale(spark, d):
+    from .operators.calibration import boundary_errors, residual_scale
+
+    return r6(residual_scale(boundary_errors(pred_spans(spark, d), ref_spans(spark, d), S.episode_extent(frames(spark, d)))))
+
+
+@query(f"""{_FIT}, g AS (SELECT r.idx, median((r."end" - r.start) / (t1 - t0)) AS f FROM ref r JOIN ext USING (episode) WHERE t1 > t0 GROUP BY r.idx),
+c AS (SELECT idx, sum(f) OVER (ORDER BY idx) / sum(f) OVER () AS c FROM g) SELECT idx, round(c, 6) AS cumulative FROM c""")
+def floor_cumulative(spark, d):
+    from .operators.calibration import cumulative_prior
+
+    return r6(cumulative_prior(ref_spans(spark, d), S.episode_extent(frames(spark, d))))
+
+
+@query("""WITH x AS (SELECT n_regionkey AS f, c_nationkey AS c, c_acctbal AS x FROM customer JOIN nation ON c_nationkey = n_nationkey),
+c AS (SELECT f, c, count(*)::DOUBLE AS n, avg(x) AS m, var_pop(x) * count(*) AS ss FROM x GROUP BY ALL),
+f AS (SELECT f, sum(n) AS nf, sum(n * m) / sum(n) AS mf, count(*) AS cf, sum(ss) AS ss, sum(n * n) AS n2, sum(n * m * m) AS nm2 FROM c GROUP BY f),
+o AS (SELECT count(*) AS a, sum(cf)::BIGINT AS b, sum(nf) AS n, sum(ss) AS su, sum(nm2 - nf * mf * mf) AS sc, sum(nf * mf * mf) - sum(nf * mf) ^ 2 / sum(nf) AS sf, sum(n2 / nf) AS s1, sum(n2) AS s2, sum(nf * nf) AS s3 FROM f),
+m AS (SELECT *, sf / (a - 1) AS msf, sc / (b - a) AS msc, su / (n - b) AS msu, (n - s1) / (b - a) AS k1, (s1 - s2 / n) / (a - 1) AS k2, (n - s3 / n) / (a - 1) AS k3 FROM o),
+v AS (SELECT *, greatest((msc - msu) / k1, 0) AS vc FROM m), w AS (SELECT *, greatest((msf - msu - k2 * vc) / k3, 0) AS vf FROM v)
+SELECT a, b, n::BIGINT AS n, round(msf, 1) AS ms_family, round(msc, 1) AS ms_component, round(msu, 1) AS ms_unit, round(k1, 6) AS k1, round(k2, 6) AS k2, round(k3, 6) AS k3, round(vf, 1) AS var_family, round(vc, 1) AS var_component, round(msu, 1) AS var_unit,
+  round(vf / (vf + vc + msu), 6) AS icc_family, round((vf + vc) / (vf + vc + msu), 6) AS icc_component FROM w""")
+def variance_components(spark, d):
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    out = T.variance_components(rows, "n_regionkey", "c_nationkey", "c_acctbal")
+    return out.select(*[F.round(c, 1 if c.startswith(("ms_", "var_")) else 6).alias(c) if t == "double" else c for c, t in out.dtypes])
+
+
+_PAIRED = """sc AS (SELECT c_nationkey AS k, avg(o_totalprice) FILTER (o_orderstatus = 'F') AS a, avg(o_totalprice) FILTER (o_orderstatus = 'O') AS b FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1),
+pr AS (SELECT k, a, b, a - b AS delta FROM sc WHERE a IS NOT NULL AND b IS NOT NULL)"""
+
+
+def order_scores(spark, d):
+    return table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def order_pairs(spark, d):
+    return T.paired(order_scores(spark, d), ["c_nationkey"], "o_orderstatus", "o_totalprice", "F", "O")
+
+
+@query(f"WITH {_PAIRED} SELECT k AS c_nationkey, round(a, 3) AS a, round(b, 3) AS b, round(delta, 3) AS delta FROM pr")
+def paired_contrast(spark, d):
+    return order_pairs(spark, d).select("c_nationkey", *[F.round(c, 3).alias(c) for c in ("a", "b", "delta")])
+
+
+@query(f"WITH {_PAIRED} SELECT count(*) FILTER (delta > 0) AS wins, count(*) FILTER (delta < 0) AS losses, count(*) FILTER (delta = 0) AS ties, round(avg(delta), 3) AS mean_delta, round(median(delta), 3) AS median_delta FROM pr")
+def sign_wins(spark, d):
+    x = F.col("delta")
+    return order_pairs(spark, d).agg(F.count_if(x > 0).alias("wins"), F.count_if(x < 0).alias("losses"), F.count_if(x == 0).alias("ties"), F.round(F.avg(x), 3).alias("mean_delta"), F.round(F.median(x), 3).alias("median_delta"))
+
+
+_TESTS = """t AS (SELECT n_nationkey::BIGINT AS test, round(abs(sin(n_nationkey + 1)) / 20, 9) AS p FROM nation)"""
+
+
+@query(f"""WITH {_TESTS}, s AS (SELECT test, p, least(1.0, (count(*) OVER () - row_number() OVER w + 1) * p) AS s FROM t WINDOW w AS (ORDER BY p, test))
+SELECT test, p, round(max(s) OVER (ORDER BY p, test), 9) AS p_holm FROM s""")
+def holm(spark, d):
+    tests = table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("test"), F.round(F.abs(F.sin(F.col("n_nationkey") + 1)) / 20, 9).alias("p"))
+    return T.holm(tests).withColumn("p_holm", F.round("p_holm", 9))
+
+
+@query("""WITH o AS (SELECT l_returnflag AS c, l_orderkey % 500 AS u, l_linenumber AS r, avg(l_quantity) AS v FROM lineitem GROUP BY ALL), need AS (SELECT c, count(DISTINCT r) AS need FROM o GROUP BY c),
+f AS (SELECT c, u, count(*) AS n FROM o GROUP BY ALL), ok AS (SELECT f.c, u, n FROM f JOIN need ON f.c = need.c AND n = need WHERE n > 1)
+SELECT a.c AS l_returnflag, a.u AS unit, any_value(n) AS n_repeats, round(avg(abs(a.v - b.v)), 6) AS noise FROM o a JOIN o b ON a.c = b.c AND a.u = b.u AND a.r < b.r JOIN ok ON ok.c = a.c AND ok.u = a.u GROUP BY ALL""")
+def noise_band_pairs(spark, d):
+    rows = table(spark, d, "lineitem").withColumn("unit", F.col("l_orderkey") % 500)
+    return r6(T.noise_pairs(rows, "l_returnflag", "unit", "l_linenumber", "l_quantity"))
+
+
+@query("SELECT count(*) AS n, round(avg((quality = toxic)::INT), 6) AS po, round(avg(quality) * avg(toxic) + (1 - avg(quality)) * (1 - avg(toxic)), 6) AS pe, round((avg((quality = toxic)::INT) - (avg(quality) * avg(toxic) + (1 - avg(quality)) * (1 - avg(toxic)))) / (1 - (avg(quality) * avg(toxic) + (1 - avg(quality)) * (1 - avg(toxic)))), 6) AS kappa FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL")
+def kappa(spark, d):
+    return r6(T.kappa(table(spark, d, "labels"), "quality", "toxic"))
+
+
+@query("SELECT doc_id, CASE WHEN min(v) = max(v) THEN min(v) END AS consensus, count(DISTINCT v) > 1 AS conflict FROM (SELECT doc_id, quality AS v FROM labels UNION ALL SELECT doc_id, toxic FROM labels) WHERE v IS NOT NULL GROUP BY doc_id")
+def consensus(spark, d):
+    rows = table(spark, d, "labels")
+    votes = rows.select("doc_id", F.explode(F.array("quality", "toxic")).alias("v")).where("v IS NOT NULL")
+    return votes.groupBy("doc_id").agg(F.when(F.min("v") == F.max("v"), F.min("v")).alias("consensus"), (F.count_distinct("v") > 1).alias("conflict"))
+
+
+@query("SELECT event_type, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.9), 6) AS q90 FROM events GROUP BY event_type")
+def interp_percentile(spark, d):
+    e = table(spark, d, "events")
+    return r6(e.groupBy("event_type").agg(*[F.percentile("value", q).alias(f"q{round(q * 100)}") for q in (0.25, 0.5, 0.9)]))
+
+
+@query("SELECT event_type, round(v, 6) AS p90 FROM (SELECT event_type, value AS v, row_number() OVER (PARTITION BY event_type ORDER BY value) AS r, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL) WHERE r = greatest(1, floor(n * 9 / 10)::BIGINT)")
+def rank_p90(spark, d):
+    return r6(T.rank_p90(table(spark, d, "events"), "event_type", "value"))
+
+
+@query("""SELECT o_orderstatus, o_orderpriority, grouping(o_orderstatus, o_orderpriority)::BIGINT AS level, count(*) AS n, round(sum(o_totalprice) / sum(o_custkey + 1), 6) AS ratio_of_sums, round(avg(o_totalprice / (o_custkey + 1)), 6) AS mean_ratio, round(median(o_totalprice / (o_custkey + 1)), 6) AS median_ratio
+FROM orders GROUP BY GROUPING SETS ((), (o_orderstatus), (o_orderstatus, o_orderpriority))""")
+def grouped_census(spark, d):
+    o = table(spark, d, "orders")
+    ratio = F.col("o_totalprice") / (F.col("o_custkey") + 1)
+    out = o.groupingSets([[], ["o_orderstatus"], ["o_orderstatus", "o_orderpriority"]], "o_orderstatus", "o_orderpriority").agg(F.grouping_id().cast("long").alias("level"), F.count("*").alias("n"), (F.sum("o_totalprice") / F.sum(F.col("o_custkey") + 1)).alias("ratio_of_sums"), F.avg(ratio).alias("mean_ratio"), F.median(ratio).alias("median_ratio"))
+    return r6(out)
+
+
+@query("SELECT o_orderpriority, round(avg(m), 3) AS macro_mean, count(*) AS n_groups FROM (SELECT o_orderpriority, c_nationkey, avg(o_totalprice) AS m FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL) GROUP BY 1")
+def macro_mean(spark, d):
+    out = T.macro_mean(order_scores(spark, d), ["o_orderpriority"], "c_nationkey", "o_totalprice")
+    return out.withColumn("macro_mean", F.round("macro_mean", 3))
+
+
+_COS = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), c AS (SELECT label, min(vec_id) AS vec_id FROM e GROUP BY label),
+h AS (SELECT e.* FROM e JOIN c USING (vec_id)),
+q AS (SELECT a.vec_id, h.label AS head, a.label = h.label AS pos, round(least(greatest(list_dot_product(a.v, h.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(h.v, h.v)), 0), 1), 6) AS sim FROM e a JOIN h ON a.vec_id <> h.vec_id)"""
+
+
+def head_pairs(spark, d):
+    """Each vector against the first vector of each label (one a label; broadcast while their number is small)."""
+    e = table(spark, d, "embeddings")
+    heads = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("hv"), F.min("vec_id").alias("hid")).select(F.col("label").alias("head"), "hv", "hid")
+    both = e.join(heads, F.col("vec_id") != F.col("hid"))
+    return both.select("vec_id", "head", (F.col("label") == F.col("head")).alias("pos"), F.round(L.cosine(F.col("embedding"), F.col("hv")), 6).alias("sim"))
+
+
+@query(f"WITH {_COS} SELECT vec_id, head, pos, sim FROM q")
+def cosine_pairs(spark, d):
+    return head_pairs(spark, d)
+
+
+_SWEEP = [0.1, 0.2, 0.3, 0.5, 0.7]
+
+
+@query(f"""WITH {_COS}, s AS (SELECT t AS threshold, count(*) FILTER (sim >= t AND pos) AS tp, count(*) FILTER (sim >= t AND NOT pos) AS fp, count(*) FILTER (sim < t AND NOT pos) AS tn, count(*) FILTER (sim < t AND pos) AS fn FROM q, (SELECT unnest({_SWEEP}::DOUBLE[]) AS t) GROUP BY t)
+SELECT threshold, tp, fp, tn, fn, round(tp / (tp + fn), 6) AS tpr, round(tn / (tn + fp), 6) AS tnr, round((tp / (tp + fn) + tn / (tn + fp)) / 2, 6) AS balanced FROM s""")
+def threshold_sweep(spark, d):
+    return r6(T.threshold_sweep(head_pairs(spark, d), "sim", "pos", _SWEEP))
+
+
+@query(f"""WITH {_COS}, a AS (SELECT sim, count(*) FILTER (pos) AS p, count(*) FILTER (NOT pos) AS n FROM q GROUP BY sim), b AS (SELECT *, coalesce(sum(n) OVER (ORDER BY sim DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above FROM a)
+SELECT sum(p * above)::BIGINT AS inverted, sum(p * n)::BIGINT AS tied, (sum(p) * sum(n))::BIGINT AS n_pairs, round(1 - (sum(p * above) + sum(p * n) / 2) / (sum(p) * sum(n)), 6) AS separability FROM b""")
+def inversions(spark, d):
+    return r6(T.inversions(head_pairs(spark, d), "sim", "pos"))
+
+
+_NORM = r"array_to_string(list_filter(string_split(regexp_replace(lower({0}), '[^a-z0-9_]+', ' ', 'g'), ' '), lambda w: w NOT IN ('', 'the', 'a', 'an')), ' ')"
+
+
+@query(f"SELECT p_partkey, {_NORM.format('p_name')} AS name, {_NORM.format('p_type')} AS type FROM part")
+def normalised_label(spark, d):
+    return table(spark, d, "part").select("p_partkey", L.normalise_label(F.col("p_name")).alias("name"), L.normalise_label(F.col("p_type")).alias("type"))
+
+
+@query(f"""WITH s AS (SELECT p_partkey, list_distinct(string_split({_NORM.format('p_name')}, ' ')) AS a, list_distinct(string_split({_NORM.format('p_type')}, ' ')) AS b FROM part)
+SELECT p_partkey, round(CASE WHEN len(list_filter(a, lambda w: w <> '')) = 0 AND len(list_filter(b, lambda w: w <> '')) = 0 THEN 1.0 ELSE 2.0 * len(list_filter(list_intersect(a, b), lambda w: w <> '')) / (len(list_filter(a, lambda w: w <> '')) + len(list_filter(b, lambda w: w <> ''))) END, 6) AS f1 FROM s""")
+def token_f1(spark, d):
+    return r6(table(spark, d, "part").select("p_partkey", L.token_f1(F.col("p_name"), F.col("p_type")).alias("f1")))
+
+
+@query(f"""SELECT p_partkey, substr(sha256(least({_NORM.format('p_name')}, {_NORM.format('p_type')}) || chr(0) || greatest({_NORM.format('p_name')}, {_NORM.format('p_type')})), 1, 12) AS pair FROM part""")
+def pair_ids(spark, d):
+    return table(spark, d, "part").select("p_partkey", L.pair_id(F.col("p_name"), F.col("p_type")).alias("pair"))
