@@ -472,3 +472,244 @@ def token_f1(spark, d):
 @query(f"""SELECT p_partkey, substr(sha256(least({_NORM.format('p_name')}, {_NORM.format('p_type')}) || chr(0) || greatest({_NORM.format('p_name')}, {_NORM.format('p_type')})), 1, 12) AS pair FROM part""")
 def pair_ids(spark, d):
     return table(spark, d, "part").select("p_partkey", L.pair_id(F.col("p_name"), F.col("p_type")).alias("pair"))
+
+
+# ---- language rows, validation, selection, sets ------------------------------------------------------------------
+
+from .operators import language as G  # noqa: E402
+from .operators import selection as C  # noqa: E402
+from .operators import validation as V  # noqa: E402
+
+
+def language(spark, d):
+    """Conversation rows as language rows: system turns are plans, user turns subtasks or interjections, assistant turns vqa or speech."""
+    style = F.when(F.col("role") == "system", "plan").when(F.col("role") == "user", F.when(F.col("turn") % 4 == 0, "subtask").otherwise("interjection")).when(F.col("turn") % 4 == 1, "vqa")
+    return table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t"), "role", F.substring("text", 1, 20).alias("content"), style.alias("style"), F.lit(None).cast("string").alias("camera"), F.col("turn").alias("position"))
+
+
+_LANG = """lang AS (SELECT conv_id AS episode, turn::DOUBLE AS t, role, substr(text, 1, 20) AS content, turn AS position,
+  CASE WHEN role = 'system' THEN 'plan' WHEN role = 'user' THEN CASE WHEN turn % 4 = 0 THEN 'subtask' ELSE 'interjection' END WHEN turn % 4 = 1 THEN 'vqa' END AS style FROM conversations)"""
+_STYLE = "CASE WHEN style IS NULL OR style IN ('interjection', 'vqa') THEN 'events' WHEN style IN ('subtask', 'plan', 'memory', 'task_aug') THEN 'persistent' END"
+
+
+def turn_frames(spark, d):
+    return table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t")).where("t % 3 <> 2")
+
+
+@query(f"""WITH {_LANG}, p AS (SELECT episode, string_agg(style || ':' || content, '|' ORDER BY t, style, role, position) AS s, count(*) AS n FROM lang WHERE {_STYLE} = 'persistent' GROUP BY episode),
+f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)
+SELECT f.episode, f.t, coalesce(n, 0) AS n_persistent, coalesce(s, '') AS persistent FROM f LEFT JOIN p USING (episode)""")
+def persistent_broadcast(spark, d):
+    out = G.language_columns(turn_frames(spark, d), language(spark, d))
+    x = F.col("language_persistent")
+    return out.select("episode", "t", F.size(x).cast("long").alias("n_persistent"), F.array_join(F.transform(x, lambda r: F.concat(r["style"], F.lit(":"), r["content"])), "|").alias("persistent"))
+
+
+@query(f"""WITH {_LANG}, e AS (SELECT episode, t, string_agg(coalesce(style, 'speech') || ':' || content, '|' ORDER BY coalesce(style, ''), coalesce(role, ''), position) AS s, count(*) AS n FROM lang WHERE {_STYLE} = 'events' GROUP BY ALL),
+f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)
+SELECT f.episode, f.t, coalesce(n, 0) AS n_events, coalesce(s, '') AS events FROM f LEFT JOIN e USING (episode, t)""")
+def event_bucket(spark, d):
+    out = G.language_columns(turn_frames(spark, d), language(spark, d))
+    x = F.col("language_events")
+    return out.select("episode", "t", F.size(x).cast("long").alias("n_events"), F.array_join(F.transform(x, lambda r: F.concat(F.coalesce(r["style"], F.lit("speech")), F.lit(":"), r["content"])), "|").alias("events"))
+
+
+@query(f"""WITH {_LANG}, s AS (SELECT episode, row_number() OVER (PARTITION BY episode ORDER BY t, role, position) - 1 AS idx, content AS text, t AS start FROM lang WHERE style = 'subtask'),
+f AS (SELECT DISTINCT conv_id AS episode FROM conversations WHERE turn % 3 <> 2) SELECT s.episode, idx::BIGINT AS idx, text, start FROM s JOIN f USING (episode)""")
+def subtask_readback(spark, d):
+    return G.subtask_rows(G.language_columns(turn_frames(spark, d), language(spark, d)))
+
+
+_F3 = "f3 AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)"
+_VIOLATIONS = f"""WITH {_LANG}, {_F3}, v AS (
+SELECT episode, 'routing' AS "check" FROM lang WHERE {_STYLE} IS NULL
+UNION ALL SELECT episode, 'off_frame' FROM lang l WHERE {_STYLE} = 'events' AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.episode = l.episode AND f3.t = l.t)
+UNION ALL SELECT episode, 'orphan_interjection' FROM lang l WHERE style = 'interjection' AND NOT EXISTS (SELECT 1 FROM lang s WHERE s.style IS NULL AND s.episode = l.episode AND s.t = l.t)
+UNION ALL SELECT episode, 'plan_missing' FROM lang l WHERE style = 'interjection' AND NOT EXISTS (SELECT 1 FROM lang s WHERE s.style = 'plan' AND s.episode = l.episode AND s.t = l.t)
+UNION ALL SELECT episode, 'memory_off_subtask' FROM lang l WHERE style = 'memory' AND NOT EXISTS (SELECT 1 FROM lang s WHERE s.style = 'subtask' AND s.episode = l.episode AND s.t = l.t)
+UNION ALL SELECT episode, 'vqa_repeated' FROM lang WHERE style = 'vqa' GROUP BY episode, t, role HAVING count(*) > 1
+UNION ALL SELECT episode, 'plan_incomplete' FROM lang GROUP BY episode, t HAVING count(*) FILTER (style = 'subtask') > count(*) FILTER (style = 'plan')
+UNION ALL SELECT episode, 'content' FROM lang WHERE (content IS NULL AND style IS NOT NULL) OR (style = 'vqa' AND role = 'assistant' AND NOT coalesce(CASE WHEN json_valid(content) THEN json_type(content::JSON) = 'OBJECT' END, false)))"""
+
+
+@query(f"{_VIOLATIONS} SELECT episode, \"check\", count(*) AS n FROM v GROUP BY ALL")
+def violations(spark, d):
+    return V.all_violations(language(spark, d), turn_frames(spark, d)).groupBy("episode", "check").agg(F.count("*").alias("n"))
+
+
+@query(f"""{_VIOLATIONS}, sk AS (SELECT DISTINCT episode FROM v WHERE "check" = 'plan_incomplete'), h AS (SELECT count(*) AS n_errors FROM v WHERE "check" IN ('routing', 'off_frame', 'orphan_interjection', 'plan_missing', 'vqa_repeated', 'content') AND episode NOT IN (SELECT episode FROM sk))
+SELECT (SELECT count(DISTINCT episode) FROM lang) AS n, (SELECT count(*) FROM sk) AS n_skipped, n_errors, n_errors = 0 AND (SELECT count(*) FROM sk) <= 0.5 * (SELECT count(DISTINCT episode) FROM lang) AS publish FROM h""")
+def publish_gate(spark, d):
+    rows = language(spark, d)
+    return V.publish_gate(V.all_violations(rows, turn_frames(spark, d)), rows)
+
+
+@query("SELECT event_id, json_keys(props)[1] AS first_key, CASE WHEN list_contains(json_keys(props), 'detections') THEN 'bbox' END AS shape, (props::JSON ->> 'k')::BIGINT AS k FROM events")
+def json_shape(spark, d):
+    return table(spark, d, "events").select("event_id", F.json_object_keys("props")[0].alias("first_key"), L.json_shape(F.col("props")).alias("shape"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query(f"""WITH {_FRAMES}, f AS (SELECT episode, t, CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 51 = 0 THEN -1.0 WHEN event_id % 52 = 0 THEN t - 1e7 ELSE t END AS u, event_id FROM frames),
+r AS (SELECT episode, event_id AS frame, CASE WHEN u IS NULL THEN 'not finite' WHEN u < 0 THEN 'negative' WHEN lag(u) OVER (PARTITION BY episode ORDER BY t, event_id) >= u THEN 'not increasing' END AS reason, t FROM f)
+SELECT episode, reason, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY ALL""")
+def bad_times(spark, d):
+    f = frames(spark, d)
+    bad = F.when(F.col("event_id") % 50 == 0, None).when(F.col("event_id") % 51 == 0, -1.0).when(F.col("event_id") % 52 == 0, F.col("t") - 1e7).otherwise(F.col("t"))
+    return V.bad_times(f.select("episode", F.struct("t", "event_id").alias("frame"), bad.alias("t"))).groupBy("episode", "reason").agg(F.count("*").alias("n"))
+
+
+@query("""WITH e AS (SELECT user_id, event_type, ts, event_id FROM events), k AS (SELECT *, row_number() OVER (PARTITION BY user_id, (event_id % 3) ORDER BY (event_type = 'error')::INT, event_id DESC) AS n FROM e)
+SELECT user_id, event_id % 3 AS fmt, event_id, event_type FROM k WHERE n = 1""")
+def latest_wins(spark, d):
+    e = table(spark, d, "events").withColumn("fmt", F.col("event_id") % 3)
+    return C.latest_wins(e, ["user_id", "fmt"], "event_id", F.col("event_type") == "error").select("user_id", "fmt", "event_id", "event_type")
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL")
+def first_wins(spark, d):
+    return C.first_wins(table(spark, d, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
+
+
+@query("""WITH r AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS r, count(*) OVER (PARTITION BY c_nationkey) AS n FROM customer)
+SELECT c_nationkey, c_custkey FROM r WHERE n <= 7 OR r IN (SELECT unnest(list_transform(range(0, 7), lambda i: i * n // 7)))""")
+def even_split(spark, d):
+    return C.even_split(table(spark, d, "customer"), ["c_nationkey"], ["c_custkey"], 7).select("c_nationkey", "c_custkey")
+
+
+@query("""SELECT c_nationkey, c_custkey, seed_rank FROM (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY sha256('1729:' || c_nationkey || ':' || c_custkey)) AS seed_rank FROM customer) WHERE seed_rank <= 10""")
+def hash_seeds(spark, d):
+    out = C.hash_seeds(table(spark, d, "customer"), ["c_nationkey"], [F.col("c_nationkey"), F.col("c_custkey")], 10)
+    return out.select("c_nationkey", "c_custkey", F.col("seed_rank").cast("long").alias("seed_rank"))
+
+
+@query("""SELECT p_brand, p_partkey, turn FROM (SELECT p_brand, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS turn FROM part) ORDER BY turn, p_brand LIMIT 40""")
+def round_robin_topk(spark, d):
+    out = C.round_robin(table(spark, d, "part"), "p_brand", [F.desc("p_retailprice"), "p_partkey"], 40)
+    return out.select("p_brand", "p_partkey", F.col("turn").cast("long").alias("turn"))
+
+
+@query("""WITH m AS (SELECT s_nationkey, median(s_acctbal) AS mid, count(*) AS n FROM supplier GROUP BY 1), k AS (SELECT s.s_nationkey, s_name, abs(s_acctbal - mid) AS gap, n, row_number() OVER (PARTITION BY s.s_nationkey ORDER BY abs(s_acctbal - mid), s_name) AS r FROM supplier s JOIN m USING (s_nationkey))
+SELECT s_nationkey, s_name, round(gap, 6) AS gap, n FROM k WHERE r = 1""")
+def view_nearest_median(spark, d):
+    return r6(C.nearest_median(table(spark, d, "supplier"), "s_nationkey", "s_name", "s_acctbal"))
+
+
+@query("""WITH i AS (SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderkey) - 1 AS new_id FROM (SELECT DISTINCT o_orderkey FROM orders))
+SELECT new_id, count(*) AS n_lines, round(sum(l_quantity), 3) AS quantity FROM lineitem JOIN i ON l_orderkey = o_orderkey GROUP BY new_id""")
+def index_translation(spark, d):
+    index = C.renumber(table(spark, d, "orders"), "o_orderkey")
+    good, _ = C.translate(table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), index, "o_orderkey", "new_id")
+    return good.groupBy("new_id").agg(F.count("*").alias("n_lines"), F.round(F.sum("l_quantity"), 3).alias("quantity"))
+
+
+@query("""SELECT count(*) AS n_pairs, count(DISTINCT l_orderkey) = count(*) AS a_unique, count(DISTINCT l_suppkey) = count(*) AS b_unique FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)""")
+def index_injective(spark, d):
+    return C.injective(table(spark, d, "lineitem"), "l_orderkey", "l_suppkey")
+
+
+@query("""SELECT user_id, event_type FROM (SELECT DISTINCT user_id FROM events), (SELECT DISTINCT event_type FROM events) EXCEPT SELECT user_id, event_type FROM events WHERE value > 60""")
+def missing_cells(spark, d):
+    e = table(spark, d, "events")
+    return V.missing_cells(e.where("value > 60").select("user_id", "event_type").distinct(), e.select("user_id").distinct(), e.select("event_type").distinct())
+
+
+@query("""SELECT user_id, event_type, greatest(a - b, 0)::BIGINT AS short, least(a, b)::BIGINT AS shared FROM (SELECT user_id, event_type, count(*) FILTER (event_id % 2 = 0) AS a, count(*) FILTER (event_id % 2 = 1) AS b FROM events GROUP BY ALL)""")
+def completeness_multiset(spark, d):
+    n = lambda k: F.count_if(F.col("event_id") % 2 == k)
+    out = table(spark, d, "events").groupBy("user_id", "event_type").agg(n(0).alias("a"), n(1).alias("b"))
+    return out.select("user_id", "event_type", F.greatest(F.col("a") - F.col("b"), F.lit(0)).cast("long").alias("short"), F.least("a", "b").alias("shared"))
+
+
+# ---- kernels: dynamic programs and resampling; tested against plain versions -------------------------------------
+
+
+def packed(spark, d) -> DataFrame:
+    return S.pack(ref_spans(spark, d), "ref").join(S.pack(pred_spans(spark, d), "pred"), "episode", "full")
+
+
+def _kernel(df: DataFrame, fn, schema: str) -> DataFrame:
+    """fn(row) -> tuple for each row, in Arrow batches."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            rows = [fn(r) for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=kind)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    names = StructType.fromDDL(schema).names
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+    return df.mapInArrow(run, schema)
+
+
+@query()
+def boundary_f1(spark, d):
+    starts = lambda spans: [s["start"] for s in (spans or [])[1:]]
+    fn = lambda r: (r["episode"], *(x for tol in (60.0, 3600.0) for x in K.boundary_f1(starts(r["pred"]), starts(r["ref"]), tol)))
+    return _kernel(packed(spark, d), fn, "episode long, p_1m double, r_1m double, f1_1m double, p_1h double, r_1h double, f1_1h double")
+
+
+@query()
+def macro_iou(spark, d):
+    ends = lambda spans: [(s["start"], s["end"]) for s in spans or []]
+    return _kernel(packed(spark, d), lambda r: (r["episode"], K.macro_iou(ends(r["pred"]), ends(r["ref"]))), "episode long, macro_iou double")
+
+
+@query()
+def edit_score(spark, d):
+    texts = lambda spans: [s["text"] for s in spans or []]
+    return _kernel(packed(spark, d), lambda r: (r["episode"], K.edit_score(texts(r["pred"]), texts(r["ref"]))), "episode long, edit_score double")
+
+
+@query()
+def index_recovery(spark, d):
+    texts = lambda spans: [s["text"] for s in spans or []]
+    return _kernel(packed(spark, d), lambda r: (r["episode"], *K.index_recovery(texts(r["pred"]), texts(r["ref"]))), "episode long, matched int, ways int, indices array<int>")
+
+
+@query()
+def dp_boundaries(spark, d):
+    """Episodes rescaled to a minute; the model's first three boundaries shifted, the prior equal quarters."""
+    rows = S.pack(ref_spans(spark, d)).join(S.episode_extent(frames(spark, d)), "episode").where("t_last > t0")
+
+    def fn(r):
+        scale = 60.0 / (r["t_last"] - r["t0"])
+        model = sorted((s["start"] - r["t0"]) * scale for s in r["spans"][1:4])
+        return r["episode"], model, K.solve_boundaries(model, 0.0, 60.0, [1 / (len(model) + 1)] * (len(model) + 1)) or model
+
+    return _kernel(rows, fn, "episode long, model array<double>, solved array<double>")
+
+
+@query()
+def cluster_bootstrap(spark, d):
+    """Total price by order status: clusters are nations. One row an arm, so an arm is a task."""
+    rows = order_scores(spark, d).groupBy("o_orderstatus", "c_nationkey").agg(F.sort_array(F.collect_list("o_totalprice")).alias("v"))
+    arms = rows.groupBy("o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("c_nationkey", "v"))).alias("g"))
+    return _kernel(arms, lambda r: (r["o_orderstatus"], *K.cluster_bootstrap([x["v"] for x in r["g"]], 100)), "o_orderstatus string, point double, low double, high double")
+
+
+@query()
+def motion_sampling(spark, d):
+    rows = frames(spark, d).groupBy("episode").agg(F.array_sort(F.collect_list(F.struct("t", "event_id", "value"))).alias("f"))
+    fn = lambda r: (r["episode"], K.motion_times([x["t"] for x in r["f"]], [[[x["value"]] for x in r["f"]]], 12))
+    return _kernel(rows, fn, "episode long, times array<double>")
+
+
+@query()
+def study_scores(spark, d):
+    """The whole score row of every episode, with those that have no prediction."""
+    from .plans.study import scores
+
+    f = frames(spark, d)
+    return scores(f.select("episode").distinct(), pred_spans(spark, d), ref_spans(spark, d))
+
+
+@query()
+def annotated_frames(spark, d):
+    """Frames with their language columns, from run-length spans through stitching and plans."""
+    from .plans.study import annotate
+
+    out, _ = annotate(frames(spark, d), ref_spans(spark, d))
+    return out.select("episode", "t", "event_id", F.size("language_persistent").alias("n_persistent"), F.size("language_events").alias("n_events"))
