@@ -151,3 +151,14 @@ def test_entry_without_llm(tmp_path):
     shutil.copy(root / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'rle_spans' in q and not any(n.startswith('op') or n == 'pipeline' for n in q); e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+
+
+def test_model_replies_become_spans(spark):
+    from spanwright.plans.generate import canned, generate_json, reply_spans
+
+    model = canned({"one": {"spans": [{"text": " a ", "start": 0, "end": 1}, {"text": "b", "start": 3, "end": 2}, {"index": 1, "text": "c", "start": 5, "end": 6}, {"text": "d", "start": None, "end": 1}]}})
+    rows = spark.createDataFrame([(1, "say one"), (2, "say one"), (3, "say two"), (4, None)], "episode long, prompt string")
+    out = generate_json(rows, model)
+    assert {r.episode: r.reply is not None for r in out.collect()} == {1: True, 2: True, 3: False, 4: False}
+    got = sorted((r.idx, r.text, r.start, r.end) for r in reply_spans(out).where("episode = 1").collect())
+    assert got == [(0, "a", 0, 1), (1, "b", 2, 3)]
