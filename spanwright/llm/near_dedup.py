@@ -12,8 +12,11 @@
    candidate of it, and the exact similarity decides.
 4. Links make components by alternating large and small stars.
 5. In regions of more than `near` documents that aren't one component yet, pairs
-   across components at larger distances in the order are tested, `near` more
-   each turn, until none is left; so a dense region loses no link either.
+   across components at larger distances in the order are tested, to four times
+   the distance each turn and over those regions' documents only, until none is
+   left; pairs whose share of equal minimum hashes is five deviations below the
+   limit (a chance of 3e-7 for a linked pair) are passed over. So no region has
+   a cap on partners.
 
 What is sent grows with documents, never with pairs of a group: copies are
 grouped first, a region gives at most `near` candidates a document and turn, and a text
@@ -110,6 +113,8 @@ class Forest:
         """
         trees, depth, levels, near, percent, width = self.trees, self.depth, self.levels, self.near, self.percent, self.shingle
         bits = self.groups.blocks(max(self.groups.bytes / 2000, 1) * trees, 1 << 18)
+        n_hashes, limit = trees * levels, percent / 100
+        least = n_hashes * limit - 5 * (n_hashes * limit * (1 - limit)) ** 0.5
 
         def plant(p, docs, back):
             pick, seen = [], set()
@@ -128,21 +133,28 @@ class Forest:
             sig = _signatures(x, edge, trees * levels)
             ids = np.array([pick[i][1] for i in has], np.int64)
             size, label = (np.array([pick[i][k] for i in has], np.int64) for k in (2, 3))
+            keys = []
             for t in range(trees):
-                own = sig[:, t * levels : (t + 1) * levels]
                 key = np.full(len(ids), (t + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, U64)
                 for k in range(depth):
-                    key = tb.mix(key ^ own[:, k])
-                order = np.argsort(key, kind="stable")
-                block = key[order] >> U64(64 - bits)
-                for a, b in _runs(block):
-                    o = order[a:b]
-                    yield int(block[a]), _join(tb.pack_sorted(key[o]), np.ascontiguousarray(own[o, depth:]).astype(">u4").tobytes(), tb.pack(ids[o].view(U64) ^ _SIGN), tb.pack(size[o]), tb.pack(label[o].view(U64) ^ _SIGN))
+                    key = tb.mix(key ^ sig[:, t * levels + k])
+                keys.append(key)
+            # all trees' entries together: one message a block
+            key, row, tree = np.concatenate(keys), np.tile(np.arange(len(ids)), trees), np.repeat(np.arange(trees), len(ids))
+            order = np.argsort(key, kind="stable")
+            key, row, tree = key[order], row[order], tree[order]
+            deep = sig[row[:, None], (tree * levels)[:, None] + np.arange(depth, levels)]
+            for a, b in _runs(key >> U64(64 - bits)):
+                o = row[a:b]
+                # in later turns, over few documents, each entry has a byte of every hash along
+                whole = sig[o].astype(np.uint8).tobytes() if turn else b""
+                yield int(key[a] >> U64(64 - bits)), _join(tb.pack_sorted(key[a:b]), np.ascontiguousarray(deep[a:b]).astype(">u4").tobytes(), tb.pack(ids[o].view(U64) ^ _SIGN), tb.pack(size[o]), tb.pack(label[o].view(U64) ^ _SIGN), zstandard.ZstdCompressor(level=1).compress(whole))
 
         def neighbours(block, senders, payloads):
-            keys, deeps, ids, sizes, labels, homes = [], [], [], [], [], []
+            keys, deeps, ids, sizes, labels, homes, sigs = [], [], [], [], [], [], []
             for p, x in zip(senders, payloads, strict=True):
-                k, v, d, n, c = _split(x)
+                k, v, d, n, c, w = _split(x)
+                sigs.append(zstandard.ZstdDecompressor().decompress(w))
                 keys.append(tb.unpack_sorted(k))
                 deeps.append(np.frombuffer(v, ">u4").reshape(len(keys[-1]), -1))
                 ids.append((tb.unpack(d) ^ _SIGN).view(np.int64))
@@ -152,14 +164,18 @@ class Forest:
             key, deep, d, n, c, home = (np.concatenate(x) for x in (keys, deeps, ids, sizes, labels, homes))
             order = np.lexsort((d, *deep.T[::-1], key))
             key, d, n, c, home = key[order], d[order], n[order], c[order], home[order]
+            sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(key), -1)[order] if turn else None
             out = []
-            for step in range(turn * near + 1, (turn + 1) * near + 1):
+            for step in range(1 + (near * 4 ** (turn - 1) if turn else 0), near * 4**turn + 1):
                 i = np.flatnonzero(key[step:] == key[:-step]) if step < len(key) else np.zeros(0, np.int64)
                 if not len(i):
                     break
                 j = i + step
                 good = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (c[i] != c[j]) & (d[i] != d[j])
                 i, j = i[good], j[good]
+                if turn:  # five deviations of the estimate below the limit
+                    alike = (sig[i] == sig[j]).sum(1) >= least
+                    i, j = i[alike], j[alike]
                 swap = d[i] > d[j]
                 out.append(np.stack([np.where(swap, j, i), np.where(swap, i, j)]))
             if out:
@@ -169,7 +185,7 @@ class Forest:
                 for x, y in _runs(home[a]):
                     yield int(home[a[x]]), _join(tb.pack(d[a[x:y]].view(U64) ^ _SIGN), tb.pack(d[b[x:y]].view(U64) ^ _SIGN), tb.pack(home[b[x:y]]))
             first = tb.group_starts(key)
-            wide = np.diff(np.append(np.flatnonzero(first), len(key)))[np.cumsum(first) - 1] > (turn + 1) * near + 1
+            wide = np.diff(np.append(np.flatnonzero(first), len(key)))[np.cumsum(first) - 1] > near * 4**turn + 1
             if wide.any():
                 yield -1 - block, _join(tb.pack_sorted(key[wide]), tb.pack(d[wide].view(U64) ^ _SIGN))
 
@@ -233,12 +249,39 @@ class Forest:
         return self.groups.apply(verify, "a long, b long", sent.select(F.col("block").cast("int").alias("p"), F.col("p").cast("long").alias("block"), "payload"))
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _union(batches):
+    """Components of all edges of one task, by union-find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while root[top] != top:
+            top = root[top]
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch["u"].to_pylist(), batch["v"].to_pylist(), strict=True):
+            root.setdefault(u, u)
+            root.setdefault(v, v)
+            a, b = find(u), find(v)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+    nodes = list(root)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["node", "component"])
+
+
+def components(edges: DataFrame, task_edges: int = 500_000) -> DataFrame:
     """(node, component): for each node of an edge (a, b), the smallest node it is connected with.
 
-    Large and small stars in turn (Kiveris et al., 2014), each an aggregate and a join, until nothing changes.
+    At most task_edges distinct edges, a counted bound of some MB, are joined by union-find in one
+    task. More go through large and small stars in turn (Kiveris et al., 2014), each an aggregate
+    and a join, until nothing changes.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
+    if edges.count() <= task_edges:
+        return edges.coalesce(1).mapInArrow(_union, "node long, component long")
     mark = F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))
     last = None
     while True:
@@ -263,7 +306,7 @@ def _members(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), np.int32)), pa.array(key), pa.array(d)], ["kind", "a", "b"])
 
 
-def labelled(forest: Forest) -> tuple[DataFrame, DataFrame]:
+def labelled(forest: Forest, restrict_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Nodes (p, doc_id, n_shingles, root: the smallest id with an equal set) and components of roots."""
     nodes = written(forest.nodes())
     real = nodes.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -279,14 +322,18 @@ def labelled(forest: Forest) -> tuple[DataFrame, DataFrame]:
         requests = forest.candidates(chosen, turn)
         links = forest.confirmed(requests.where("p >= 0")).select(F.lit(0).alias("kind"), "a", "b")
         found = written(links.unionByName(requests.where("p < 0").mapInArrow(_members, "kind int, a long, b long")))
-        edges = edges.unionByName(found.where("kind = 0").select("a", "b"))
-        labels = written(components(edges))
+        new = found.where("kind = 0").select("a", "b")
+        if not turn or not new.isEmpty():
+            edges = edges.unionByName(new)
+            labels = written(components(edges))
         members = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("member"))
         members = written(members.join(labels, members["member"] == labels["node"], "left").select("region", "member", F.coalesce("component", "member").alias("label")))
         open_ = members.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         left = written(members.join(open_, "region", "left_semi").select("member", "label").distinct())
-        if left.isEmpty():
+        n = left.count()
+        if not n:
             return nodes, labels
+        forest.groups.restrict(left.select(F.col("member").alias("doc_id")), small=n <= restrict_rows)
         chosen, turn = reps.join(left, reps["doc_id"] == left["member"]).select("p", "doc_id", "n_shingles", "label"), turn + 1
 
 

@@ -56,6 +56,11 @@ class Groups:
         self.bytes = int(size)
         self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / group_bytes))
         self.table = docs.select(F.pmod(F.xxhash64(ids, texts), F.lit(self.n)).cast("int").alias("p"), ids.alias("doc_id"), texts.alias("text"), *[docs[c].alias(f"_{i}") for i, c in enumerate(carry or [])])
+        self.all = self.table
+
+    def restrict(self, ids: DataFrame, small: bool) -> None:
+        """From now on only documents with these ids take part; small: the ids' number is checked and may be broadcast."""
+        self.table = self.all.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi").select(self.all.columns)
 
     def blocks(self, keys: float, per_block: int = 1 << 21) -> int:
         """Bits of a block number so that a block has about per_block of so many keys."""
