@@ -47,19 +47,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def _parts(column: pa.Array, limit: int = 1 << 20):
+    batch = pa.RecordBatch.from_arrays([column], ["t"])
+    for x in tb.slices(batch, "t", limit):
+        yield x["t"]
+
+
 def _contexts(texts: list[bytes]) -> tuple[Counter, int]:
     """In how many different contexts each word, and each word's beginning, stands; and how many there are."""
-    buf, offs = tb.column_bytes(pa.array(texts, pa.binary()))
-    starts, ends, doc = tb.words(buf, offs)
-    token = tb.hash_spans(buf, starts, ends)
-    around = np.zeros((2, len(token)), U64)
-    same = doc[1:] == doc[:-1]
-    around[0, 1:][same], around[1, :-1][same] = token[:-1][same], token[1:][same]
-    context = tb.mix(tb.mix(around[0] + U64(1)) ^ token) ^ (around[1] * U64(0x9E3779B97F4A7C15))
-    seen = np.unique(context, return_index=True)[1]
-    _, first, times = np.unique(token[seen], return_index=True, return_counts=True)
-    raw, at = buf.tobytes(), seen[first]
-    out = Counter(dict(zip((raw[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)), times.tolist(), strict=True)))
+    seen, token, known = np.zeros(0, U64), np.zeros(0, U64), {}
+    for part in _parts(pa.array(texts, pa.binary())):
+        buf, offs = tb.column_bytes(part)
+        starts, ends, doc = tb.words(buf, offs)
+        own = tb.hash_spans(buf, starts, ends)
+        around = np.zeros((2, len(own)), U64)
+        same = doc[1:] == doc[:-1]
+        around[0, 1:][same], around[1, :-1][same] = own[:-1][same], own[1:][same]
+        context = tb.mix(tb.mix(around[0] + U64(1)) ^ own) ^ (around[1] * U64(0x9E3779B97F4A7C15))
+        seen, at = np.unique(np.concatenate([seen, context]), return_index=True)
+        token = np.concatenate([token, own])[at]
+        value, first = np.unique(own, return_index=True)
+        raw = buf.tobytes()
+        for h, i in zip(value.tolist(), first.tolist(), strict=True):
+            if h not in known:
+                known[h] = raw[starts[i] : ends[i]]
+    out = Counter({known[h]: n for h, n in zip(*(x.tolist() for x in np.unique(token, return_counts=True)), strict=True)})
     for w, n in list(out.items()):
         for k in BEGINNINGS:
             if len(w) > k:
@@ -157,9 +169,7 @@ def fit_texts(texts: list[str], toxic: list[int], window: int = 16) -> Model:
     if not len(y) or y.min() == y.max():
         return Model(window=window, rate=float(y.mean()) if len(y) else 0.0)
     column = pa.array(texts, pa.string())
-    buf, offs = tb.column_bytes(column)
-    raw = tb.LOWER[buf].tobytes()
-    low = [raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+    low = [tb.LOWER[np.frombuffer(t.encode(), np.uint8)].tobytes() for t in texts]
     fold = np.zeros(len(y), int)
     for c in (0, 1):  # each class dealt evenly
         own = np.flatnonzero(y == c)
@@ -168,14 +178,13 @@ def fit_texts(texts: list[str], toxic: list[int], window: int = 16) -> Model:
     for k in (0, 1):
         own, other = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
         gains = Gains(*train_dictionaries([low[i] for i in other if y[i]], [low[i] for i in other if not y[i]]), window)
-        part = tb.column_bytes(column.take(pa.array(own)))
-        rows[own] = features(*gains(*part), len(own))[0]
+        rows[own] = np.concatenate([features(*gains(*tb.column_bytes(x)), len(x))[0] for x in _parts(column.take(pa.array(own)))])
     base, tox = train_dictionaries([t for t, v in zip(low, y, strict=True) if v], [t for t, v in zip(low, y, strict=True) if not v])
     centre, scale = rows.mean(0), np.maximum(rows.std(0), 1e-6)
     return Model(base, tox, window, float(y.mean()), centre, scale, _logistic(np.column_stack([np.ones(len(y)), (rows - centre) / scale]), y))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id", toxic_rows: int = 2000, ordinary_rows: int = 6000, window: int = 16) -> Model:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", label_id_col: str = "doc_id", toxic_rows: int = 1200, ordinary_rows: int = 3600, window: int = 16) -> Model:
     """Fits on a bounded sample of labelled rows that aren't held out."""
     ids = labels.select(labels[label_id_col].cast("long").alias("label_id"), labels[label_col].cast("int").alias("label")).where("label_id IS NOT NULL AND label IN (0, 1)")
     ids = ids.where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("label").alias("label"))
