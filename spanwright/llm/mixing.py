@@ -11,8 +11,8 @@ hashed number of its own (a sum of Poisson counts is Poisson), so distribution
 tables stay short and exp(-mean) never underflows.
 
 Sizes are summed partially before the shuffle, so a source with a third of all
-rows costs a row a task; the table of means has one row a source and is joined,
-not collected. Copies are dealt by the hash, so the order has no hot range.
+rows costs a row a task; the table of means has one row a source. It is broadcast
+when it has at most `broadcast_rows` rows (about half a KB each), else joined by a shuffle. Copies are dealt by the hash, so the order has no hot range.
 
 Defined cases: a null size counts 0; a null source is a source of its own; sources without
 a weight, or with weight 0, contribute nothing, and where weights is None every
@@ -27,6 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rounds import written
+
 _SCALE = float(1 << 52)
 
 
@@ -61,13 +63,16 @@ def repetition_means(docs: DataFrame, source_col: str, size: Column, weights: di
     return sizes.join(F.broadcast(total)).where("size > 0 AND all_weight > 0").select("source", mean.alias("mean")).where("mean > 0")
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = 17, step: float = 8.0) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, weights: dict[str, float] | None = None, budget: float = 1.0, seed: int = 17, step: float = 8.0, broadcast_rows: int = 20_000) -> DataFrame:
     """docs with each row repeated, in a global order; columns of docs, then `copy` (from 1) and `mix_key`."""
     size = docs["n_chars"] if size is None else size
     length = math.ceil(step + 12 * math.sqrt(step) + 20)
     means = repetition_means(docs, source_col, size, weights, budget)
     parts = F.greatest(F.lit(1), F.ceil(F.col("mean") / step)).cast("int")
     means = means.select(F.col("source").alias("_mix_source"), parts.alias("_mix_parts"), poisson_table(F.col("mean") / parts, length).alias("_mix_table"))
+    means = written(means)
+    if means.count() <= broadcast_rows:  # a checked bound; beyond it the join shuffles
+        means = F.broadcast(means)
     rows = docs.join(means, docs[source_col].eqNullSafe(means["_mix_source"]))
     count = F.aggregate(
         F.sequence(F.lit(1), F.col("_mix_parts")),
