@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated runs of three lines out of the texts; n_chars follows the text."""
-    return line_dedup_rows(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Takes repeated runs of three lines, or of more than 50 words, out of the texts; n_chars follows the text."""
+    return line_dedup_rows(docs, words=50).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

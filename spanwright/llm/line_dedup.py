@@ -3,12 +3,14 @@
 A document is the sequence of its lines that have a word, without the white
 space at their ends. Of each `run` consecutive line hashes the least is a
 fingerprint (winnowing with a guarantee of `run` lines: two places that share so
-many lines share a fingerprint).
+many lines share a fingerprint). With `words` given, one to `run` - 1 lines in a
+row that have more words than that are matched too, each such stretch being its
+own fingerprint.
 
 1. Groups send each distinct fingerprint once, with its number of places; those
    with one place in all go no further.
 2. Around every other fingerprint the match is extended both ways: each stretch
-   of `run` lines that it stands for is sent as a 96-bit key with its earliest
+   of lines that it stands for is sent as a 96-bit key with its earliest
    place, and exact grouping tells which stretches start earlier elsewhere.
 3. Overlapping stretches make up the maximal repeated runs, and those lines go.
 
@@ -16,7 +18,8 @@ Places are ordered by (doc_id, line). A line that fills a third of the corpus
 reaches its block once a group of documents, and no pairs of places are formed.
 
 Defined cases: null text gives no lines and an empty text; blank lines are never
-removed and don't part runs; texts with fewer than `run` lines keep all; rows that share
+removed and don't part runs; texts with fewer than `run` lines keep all but
+stretches of more than `words` words; rows that share
 a doc_id are compared by (doc_id, line) too; a row with a null doc_id neither
 removes nor loses lines; every input row gives one row; other columns are
 ignored, or come along unchanged in line_dedup_rows.
@@ -40,9 +43,9 @@ _SIGN = U64(1 << 63)
 
 
 class Lines:
-    """Lines of a group's texts, their hashes, and the stretches of `run` lines."""
+    """Lines of a group's texts, their hashes, and the stretches of `run` lines, or fewer with more than `words` words."""
 
-    def __init__(self, docs: pa.Table, run: int):
+    def __init__(self, docs: pa.Table, run: int, words: int | None = None):
         self.run = run
         self.buf, self.offs = tb.column_bytes(docs["text"])
         starts, ends, doc = tb.words(self.buf, self.offs)
@@ -60,27 +63,38 @@ class Lines:
         n = max(len(self.hash) - run + 1, 0)
         self.valid = (self.doc[:n] == self.doc[run - 1 :][:n]) & real[self.doc[:n]]
         self.least = _slide(self.hash, run, np.minimum)[:n]
+        # first lines of the long stretches of each smaller number of lines
+        self.long = []
+        if words is not None:
+            total = np.append(np.flatnonzero(first), len(first))
+            for width in range(1, run):
+                n = max(len(self.hash) - width + 1, 0)
+                many = total[width:][:n] - total[:n] > words
+                self.long.append((width, np.flatnonzero(many & (self.doc[:n] == self.doc[width - 1 :][:n]) & real[self.doc[:n]])))
 
     def fingerprints(self) -> np.ndarray:
         pad = np.zeros(self.run - 1, U64)
         most = _slide(np.concatenate([pad, np.where(self.valid, self.least, U64(0)), pad]), self.run, np.maximum)[: len(self.hash)]
-        return self.hash[most == self.hash]
+        return np.concatenate([self.hash[most == self.hash], *[tb.window_hashes(self.hash, width, 1)[at] for width, at in self.long]])
 
     def stretches(self):
-        """First line, key, check, doc_id and line of each stretch of one text."""
-        at = np.flatnonzero(self.valid)
-        key = tb.window_hashes(self.hash, self.run, 1)[at]
-        check = tb.window_hashes(self.hash, self.run, 2)[at] >> U64(32)
-        return at, key, check, self.ids[self.doc[at]], at - self.edge[self.doc[at]]
+        """First line, number of lines, fingerprint, key, check, doc_id and line of each stretch of one text."""
+        parts = []
+        for width, at in [(self.run, np.flatnonzero(self.valid)), *self.long]:
+            key = tb.window_hashes(self.hash, width, 1)[at]
+            check = tb.window_hashes(self.hash, width, 2)[at] >> U64(32)
+            parts.append((at, np.full(len(at), width), self.least[at] if width == self.run else key, key, check))
+        at, width, mark, key, check = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return at, width, mark, key, check, self.ids[self.doc[at]], at - self.edge[self.doc[at]]
 
 
-def _rounds(groups: Groups, run: int) -> DataFrame:
+def _rounds(groups: Groups, run: int, words: int | None) -> DataFrame:
     """Replies to each group: the stretches whose earliest place isn't its own."""
     expected = max(groups.bytes / 64, 1)
     bits = groups.blocks(expected)
 
     def fingerprints(p, docs, _):
-        value, n = np.unique(Lines(docs, run).fingerprints(), return_counts=True)
+        value, n = np.unique(Lines(docs, run, words).fingerprints(), return_counts=True)
         for a, b in _runs(value >> U64(64 - bits)):
             yield int(value[a] >> U64(64 - bits)), _join(tb.pack_sorted(value[a:b]), np.packbits(n[a:b] > 1).tobytes())
 
@@ -105,11 +119,11 @@ def _rounds(groups: Groups, run: int) -> DataFrame:
     def extend(p, docs, back):
         if not back:
             return
-        lines = Lines(docs, run)
+        lines = Lines(docs, run, words)
         known = np.concatenate([tb.unpack_sorted(_split(back[k])[0]) for k in sorted(back)])
-        at, key, check, ids, nth = lines.stretches()
-        i = np.minimum(np.searchsorted(known, lines.least[at]), len(known) - 1)
-        keep = known[i] == lines.least[at]
+        _, _, mark, key, check, ids, nth = lines.stretches()
+        i = np.minimum(np.searchsorted(known, mark), len(known) - 1)
+        keep = known[i] == mark
         key, check, ids, nth = key[keep], check[keep], ids[keep], nth[keep]
         order = np.lexsort((nth, ids, check, key))
         rows = order[tb.group_starts(key[order], check[order])]
@@ -141,7 +155,7 @@ def _rounds(groups: Groups, run: int) -> DataFrame:
 
 def _repeated(lines: Lines, back: dict) -> np.ndarray:
     """True for each line in a stretch that starts earlier too."""
-    at, key, check, ids, nth = lines.stretches()
+    at, width, _, key, check, ids, nth = lines.stretches()
     order = np.lexsort((nth, ids, check, key))
     head = np.maximum.accumulate(np.where(tb.group_starts(key[order], check[order]), np.arange(len(order)), 0))
     gone = np.zeros(len(at), bool)
@@ -152,11 +166,14 @@ def _repeated(lines: Lines, back: dict) -> np.ndarray:
         for step in range(4):
             i = np.minimum(lead + step, len(k) - 1)
             gone |= (k[i] == key) & (c[i] == check)
-    return tb.covered(at[gone], lines.run, len(lines.hash))
+    lost = np.zeros(len(lines.hash), bool)
+    for n in np.unique(width[gone]).tolist():
+        lost |= tb.covered(at[gone & (width == n)], n, len(lost))
+    return lost
 
 
-def _remove(docs: pa.Table, back: dict, run: int):
-    lines = Lines(docs, run)
+def _remove(docs: pa.Table, back: dict, run: int, words: int | None):
+    lines = Lines(docs, run, words)
     lost = _repeated(lines, back)
     n = len(lines.offs) - 1
     gone = np.bincount(lines.doc[lost], minlength=n)
@@ -174,30 +191,30 @@ def _remove(docs: pa.Table, back: dict, run: int):
     return np.diff(lines.edge), gone, runs, pa.array(texts, pa.binary()).cast(pa.string())
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, words: int | None = None) -> DataFrame:
     """One row a document: doc_id, n_lines, n_removed, n_runs, kept_text."""
     groups = Groups(docs, id_col, text_col)
 
     def remove(p, docs, back):
-        total, gone, runs, texts = _remove(docs, back, run)
+        total, gone, runs, texts = _remove(docs, back, run, words)
         return pa.table({"doc_id": docs["doc_id"].cast(pa.int64()), "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "n_runs": pa.array(runs, pa.int64()), "kept_text": texts})
 
-    return groups.apply(remove, SCHEMA, _rounds(groups, run))
+    return groups.apply(remove, SCHEMA, _rounds(groups, run, words))
 
 
-def line_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3) -> DataFrame:
+def line_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, words: int | None = None) -> DataFrame:
     """The rows of docs with repeated runs taken out of the text; a row that loses its last word goes."""
     groups = Groups(docs, id_col, text_col, carry=docs.columns)
     names = [f"_{i}" for i in range(len(docs.columns))]
     text_at = docs.columns.index(text_col)
 
     def remove(p, table, back):
-        total, gone, _, texts = _remove(table, back, run)
+        total, gone, _, texts = _remove(table, back, run, words)
         cols = [texts if i == text_at else table[c] for i, c in enumerate(names)]
         # a null text stays null
         cols[text_at] = pa.compute.if_else(table["text"].combine_chunks().is_valid(), texts, pa.scalar(None, pa.string()))
         return pa.table(dict(zip(names, cols, strict=True))).filter(pa.array((gone == 0) | (gone < total)))
 
     schema = ", ".join(f"{n} {docs.schema[i].dataType.simpleString()}" for i, n in enumerate(names))
-    out = groups.apply(remove, schema, _rounds(groups, run))
+    out = groups.apply(remove, schema, _rounds(groups, run, words))
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])

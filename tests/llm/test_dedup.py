@@ -103,3 +103,36 @@ def test_suffix_order_sorts_all_suffixes():
         x = np.array([r.randint(1, 2) for _ in range(r.randint(0, 50))], np.int64)
         want = sorted(range(len(x)), key=lambda i: x[i:].tolist())
         assert np.argsort(suffix_order(x, 100), kind="stable").tolist() == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_line_dedup_takes_long_lines_and_pairs(spark, seed):
+    """With words, each stretch of three lines, or of fewer lines with over 50 words, stays at its first place only."""
+    r = random.Random(seed)
+    say = lambda k: " ".join(f"w{r.randrange(900)}" for _ in range(k))
+    line, pair, short = say(51), [say(26), say(25)], say(50)
+    texts = [(1, f"{line}\n{short}"), (2, line), (3, "\n".join([say(4), *pair, say(4)])), (4, "\n".join(["", *pair, short])), (5, "\n".join([pair[0], say(3), pair[1]])), (6, None), *[(i + 7, t) for i, t in H.sample(seed)]]
+    seen, want = set(), {}
+    for i, t in texts:
+        raw = (t or "").split("\n")
+        said = [(k, x.strip(" \t\n\r\x0b\x0c")) for k, x in enumerate(raw) if x.encode().split()]
+        lost = set()
+        for width in (1, 2, 3):
+            for k in range(len(said) - width + 1):
+                key = tuple(x for _, x in said[k : k + width])
+                if width == 3 or sum(len(x.encode().split()) for x in key) > 50:
+                    if key in seen:
+                        lost |= {n for n, _ in said[k : k + width]}
+                    seen.add(key)
+        want[i] = (len(said), len(lost), "\n".join(x for k, x in enumerate(raw) if k not in lost))
+    got = {x.doc_id: (x.n_lines, x.n_removed, x.kept_text) for x in line_dedup(H.docs(spark, texts), words=50).collect()}
+    assert got == want
+    assert want[2][1] == 1 and want[4][1] == 2 and want[5][1] == 0
+
+
+def test_pipeline_takes_long_lines_out(spark, tmp_path):
+    import corpus_pipeline
+
+    long = " ".join(f"w{k}" for k in range(51))
+    out = corpus_pipeline.lines(spark, H.docs(spark, [(1, long), (2, f"{long}\nown words"), (3, long)]), str(tmp_path))
+    assert {r.doc_id: r.text for r in out.collect()} == {1: long, 2: "own words"}
