@@ -671,12 +671,12 @@ def index_recovery(spark, d):
 
 @query()
 def dp_boundaries(spark, d):
-    """Episodes rescaled to a minute; the model's first three boundaries shifted, the prior equal quarters."""
+    """Episodes rescaled to a minute; all internal boundaries of the model shifted, the prior equal shares."""
     rows = S.pack(ref_spans(spark, d)).join(S.episode_extent(frames(spark, d)), "episode").where("t_last > t0")
 
     def fn(r):
         scale = 60.0 / (r["t_last"] - r["t0"])
-        model = sorted((s["start"] - r["t0"]) * scale for s in r["spans"][1:4])
+        model = sorted((s["start"] - r["t0"]) * scale for s in r["spans"][1:])
         return r["episode"], model, K.solve_boundaries(model, 0.0, 60.0, [1 / (len(model) + 1)] * (len(model) + 1)) or model
 
     return _kernel(rows, fn, "episode long, model array<double>, solved array<double>")
