@@ -684,10 +684,8 @@ def dp_boundaries(spark, d):
 
 @query()
 def cluster_bootstrap(spark, d):
-    """Total price by order status: clusters are nations. One row an arm, so an arm is a task."""
-    rows = order_scores(spark, d).groupBy("o_orderstatus", "c_nationkey").agg(F.sort_array(F.collect_list("o_totalprice")).alias("v"))
-    arms = rows.groupBy("o_orderstatus").agg(F.sort_array(F.collect_list(F.struct("c_nationkey", "v"))).alias("g"))
-    return _kernel(arms, lambda r: (r["o_orderstatus"], *K.cluster_bootstrap([x["v"] for x in r["g"]], 100)), "o_orderstatus string, point double, low double, high double")
+    """Total price by order status: clusters are nations."""
+    return T.cluster_bootstrap(order_scores(spark, d), "o_orderstatus", "c_nationkey", "o_totalprice")
 
 
 @query()

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import kernels as K
+
 
 def modal(rows: DataFrame, keys: list[str], value: str, *ties: Column | str) -> DataFrame:
     """The most frequent value of each key; equals are settled by the tie columns, which see value, n and first_at."""
@@ -107,3 +113,78 @@ def noise_pairs(rows: DataFrame, cluster: str, unit: str, repeat: str, value: st
     # over sorted values the sum over pairs is linear: sum of (2k - n + 1) v_k
     total = F.aggregate(F.transform("v", lambda x, k: (2 * k - F.size("v") + 1) * x), F.lit(0.0), lambda s, x: s + x)
     return full.select(cluster, unit, F.col("have").alias("n_repeats"), (total / (F.col("have") * (F.col("have") - 1) / 2)).alias("noise"))
+
+
+def _rows(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """The rows that fn(row) yields as tuples, in Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                out = list(fn(row))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(kind)], schema=kind)
+
+    return df.mapInArrow(run, schema)
+
+
+def cluster_bootstrap(scores: DataFrame, arm: str, cluster: str, value: str, n_boot: int = 10_000, seed: int = 17, level: float = 0.95, part_rows: int = 4096, draws: int = 50) -> DataFrame:
+    """(arm, point, low, high): mean of cluster means and a bias-corrected percentile interval of a two-stage resample.
+
+    Each block of `draws` draws has seeds of its own, so blocks spread over tasks. In a draw, how often
+    a cluster is picked, how many of its rows then come from each of its parts (of about part_rows rows), and
+    the rows in a part are drawn in turn, each from the count before, so that a task needs one part only.
+    """
+    x = scores.where(F.col(value).isNotNull()).select(F.col(arm).alias("arm"), F.col(cluster).alias("cluster"), F.col(value).cast("double").alias("x"))
+    w = Window.partitionBy("arm")
+    clusters = x.groupBy("arm", "cluster").agg(F.count("*").alias("n"), F.avg("x").alias("m")).withColumn("i", F.row_number().over(w.orderBy("cluster")) - 1)
+    arms = clusters.groupBy("arm").agg(F.count("*").alias("k"), F.avg("m").alias("point"))
+    arms = arms.withColumn("a", F.row_number().over(Window.orderBy("arm")))  # some arms, one row each
+    numbers = clusters.alias("c").join(arms.alias("r"), F.expr("c.arm <=> r.arm")).select("c.arm", "cluster", "n", "i", "a")
+    # equal values lie in one part with their count, so that parts depend on the values only
+    own = x.groupBy("arm", "cluster", "x").agg(F.count("*").alias("c")).alias("x").join(numbers.alias("c"), F.expr("x.arm <=> c.arm AND x.cluster <=> c.cluster"))
+    own = own.withColumn("part", F.pmod(F.xxhash64("x.x"), F.ceil(F.col("n") / part_rows)).cast("int"))
+    parts = own.groupBy("a", "i", "n", "part").agg(F.sum("c").alias("size"), F.sort_array(F.collect_list(F.struct(F.col("x.x").alias("x"), "c"))).alias("v"))
+    sizes = parts.groupBy("a", "i", "n").agg(F.sort_array(F.collect_list(F.struct("part", "size"))).alias("sizes"))
+
+    def block(row) -> int:
+        return min(draws, n_boot - row["block"] * draws)
+
+    def pick(row):
+        k, size = row["k"], block(row)
+        got = np.random.default_rng([seed, 1, row["block"]]).integers(0, k, (size, k)) + np.arange(size)[:, None] * k
+        times = np.bincount(got.ravel(), minlength=size * k).reshape(size, k)
+        for i in np.flatnonzero(times.any(0)).tolist():
+            yield row["a"], k, row["block"], i, times[:, i]
+
+    def deal(row):
+        size = np.array([s["size"] for s in row["sizes"]], np.int64)
+        took = np.random.default_rng([seed, 2, row["block"], row["i"]]).multinomial(np.array(row["times"]) * row["n"], size / size.sum())
+        for j, s in enumerate(row["sizes"]):
+            yield row["a"], row["i"], s["part"], row["block"], row["n"] * row["k"], took[:, j]
+
+    def draw(row):
+        values, ends = np.array([v["x"] for v in row["v"]]), np.cumsum([v["c"] for v in row["v"]])
+        rng, sums = np.random.default_rng([seed, 3, row["block"], row["i"], row["part"]]), []
+        for n in row["took"]:
+            at = rng.integers(0, ends[-1], n)
+            sums.append(values[at if ends[-1] == len(values) else np.searchsorted(ends, at, side="right")].sum() / row["share"])
+        yield row["a"], row["block"], row["i"], row["part"], sums
+
+    blocks = arms.select("a", "k", F.explode(F.sequence(F.lit(0), F.lit((n_boot - 1) // draws))).alias("block"))
+    spread = scores.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    picked = _rows(blocks.repartition(int(spread), "a", "block"), pick, "a int, k long, block int, i int, times array<long>")
+    dealt = _rows(picked.join(sizes, ["a", "i"]), deal, "a int, i int, part int, block int, share long, took array<long>")
+    drawn = _rows(dealt.join(parts.select("a", "i", "part", "v"), ["a", "i", "part"]), draw, "a int, block int, i int, part int, sums array<double>")
+    means = drawn.select("a", "block", F.posexplode("sums").alias("nth", "s")).groupBy("a", "block", "nth").agg(F.sum("s").alias("mean"))
+    # n_boot numbers an arm
+    all_draws = means.groupBy("a").agg(F.sort_array(F.collect_list("mean")).alias("draws")).join(arms, "a")
+
+    def interval(row):
+        yield (row["a"], row["point"], *(K._bias_corrected(row["point"], row["draws"], level) if row["point"] == row["point"] else (row["point"],) * 2))
+
+    ends = _rows(all_draws.select("a", "point", "draws"), interval, "a int, point double, low double, high double")
+    return ends.join(arms.select("a", F.col("arm").alias(arm)), "a").select(arm, "point", "low", "high")

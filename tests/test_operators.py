@@ -1,4 +1,5 @@
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,27 @@ def test_model_replies_become_spans(spark):
     assert {r.episode: r.reply is not None for r in out.collect()} == {1: True, 2: True, 3: False, 4: False}
     got = sorted((r.idx, r.text, r.start, r.end) for r in reply_spans(out).where("episode = 1").collect())
     assert got == [(0, "a", 0, 1), (1, "b", 2, 3)]
+
+
+def test_cluster_bootstrap_draws_ten_thousand_times(spark, tmp_path):
+    import random
+
+    from spanwright import catalog
+    from spanwright.functions import kernels as K
+    from spanwright.operators import stats as T
+
+    r = random.Random(4)
+    rows = [(arm, c, r.gauss(10 * c, 40)) for arm in ("F", "O") for c in range(6) for _ in range(5 + 9 * c)]
+    rows += [("F", 0, 1.5)] * 4
+    spark.createDataFrame([(k, arm, x) for k, (arm, _, x) in enumerate(rows)], "o_custkey long, o_orderstatus string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k, c) for k, (_, c, _) in enumerate(rows)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    got = {x.o_orderstatus: x[1:] for x in catalog.cluster_bootstrap(spark, str(tmp_path)).collect()}
+    small = {x.arm: x[1:] for x in T.cluster_bootstrap(spark.createDataFrame(rows, "arm string, c int, x double"), "arm", "c", "x", part_rows=8).collect()}
+    for arm in ("F", "O"):
+        point, low, high = K.cluster_bootstrap([[x for a, c, x in rows if a == arm and c == k] for k in range(6)])
+        for own in (got[arm], small[arm]):
+            assert own[0] == pytest.approx(point)
+            assert abs(own[1] - low) < 0.05 * (high - low) and abs(own[2] - high) < 0.05 * (high - low)
+    bad = T.cluster_bootstrap(spark.createDataFrame([("a", 1, 1.0), ("a", 2, math.nan), ("b", 1, 2.0)], "arm string, c int, x double"), "arm", "c", "x", n_boot=70)
+    bad = {x.arm: x[1:] for x in bad.collect()}
+    assert all(math.isnan(x) for x in bad["a"]) and bad["b"] == (2.0, 2.0, 2.0)
