@@ -14,8 +14,8 @@
 5. In regions of more than `near` documents that aren't one component yet, pairs
    across components at larger distances in the order are tested, to four times
    the distance each turn and over those regions' documents only, until none is
-   left; pairs whose share of equal minimum hashes is five deviations below the
-   limit (a chance of 3e-7 for a linked pair) are passed over. So no region has
+   left; pairs with so few equal minimum hashes that a linked pair has them by a
+   chance of 3e-7 at most (by the binomial tail) are passed over. So no region has
    a cap on partners.
 
 What is sent grows with documents, never with pairs of a group: copies are
@@ -30,6 +30,8 @@ along unchanged in near_dedup_rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -81,6 +83,14 @@ def _signatures(shingles: np.ndarray, edge: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _least_alike(n: int, limit: float, chance: float = 3e-7) -> int:
+    """The largest number of n equal hashes that a pair at the limit stays below with at most this chance."""
+    tail, least = 0.0, 0
+    while least < n and tail + (p := math.comb(n, least) * limit**least * (1 - limit) ** (n - least)) <= chance:
+        tail, least = tail + p, least + 1
+    return least
+
+
 class Forest:
     """What the steps share."""
 
@@ -114,7 +124,7 @@ class Forest:
         trees, depth, levels, near, percent, width = self.trees, self.depth, self.levels, self.near, self.percent, self.shingle
         bits = self.groups.blocks(max(self.groups.bytes / 2000, 1) * trees, 1 << 18)
         n_hashes, limit = trees * levels, percent / 100
-        least = n_hashes * limit - 5 * (n_hashes * limit * (1 - limit)) ** 0.5
+        least = _least_alike(n_hashes, limit)
 
         def plant(p, docs, back):
             pick, seen = [], set()
@@ -173,7 +183,7 @@ class Forest:
                 j = i + step
                 good = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (c[i] != c[j]) & (d[i] != d[j])
                 i, j = i[good], j[good]
-                if turn:  # five deviations of the estimate below the limit
+                if turn:  # estimates that a linked pair has by a chance of 3e-7 at most go
                     alike = (sig[i] == sig[j]).sum(1) >= least
                     i, j = i[alike], j[alike]
                 swap = d[i] > d[j]

@@ -136,3 +136,14 @@ def test_pipeline_takes_long_lines_out(spark, tmp_path):
     long = " ".join(f"w{k}" for k in range(51))
     out = corpus_pipeline.lines(spark, H.docs(spark, [(1, long), (2, f"{long}\nown words"), (3, long)]), str(tmp_path))
     assert {r.doc_id: r.text for r in out.collect()} == {1: long, 2: "own words"}
+
+
+@pytest.mark.parametrize("limit", [0.8, 0.85])
+def test_passed_over_pairs_are_as_rare_as_said(limit):
+    from math import comb
+
+    from spanwright.llm.near_dedup import _least_alike
+
+    below = lambda m: sum(comb(144, k) * limit**k * (1 - limit) ** (144 - k) for k in range(m))
+    least = _least_alike(144, limit)
+    assert below(least) <= 3e-7 < below(least + 1)
