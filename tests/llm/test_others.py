@@ -182,3 +182,12 @@ def test_pipeline_runs_on_awkward_tables(spark, tmp_path):
         kept = {r.doc_id for r in out.collect()}
         assert kept <= {r.doc_id for r in docs.collect()}
     assert pipeline.run(spark, str(tmp_path)).count() >= 0
+
+
+def test_toxicity_fits_on_up_to_2000_and_6000_texts(spark, monkeypatch):
+    from spanwright.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "fit_texts", lambda texts, toxic, window: (len(texts), sum(toxic)))
+    docs = spark.range(11000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(11000).selectExpr("id AS doc_id", "CAST(id % 11 < 3 AS int) AS toxic")
+    assert toxicity.fit_toxicity(docs, labels) == (8000, 2000)
