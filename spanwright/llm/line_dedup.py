@@ -30,7 +30,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .rounds import Groups, answer
@@ -204,7 +203,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def line_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, words: int | None = None) -> DataFrame:
     """The rows of docs with repeated runs taken out of the text; a row that loses its last word goes."""
-    groups = Groups(docs, id_col, text_col, carry=docs.columns)
+    groups = Groups(docs, id_col, text_col, carry=True)
     names = [f"_{i}" for i in range(len(docs.columns))]
     text_at = docs.columns.index(text_col)
 
@@ -217,4 +216,4 @@ def line_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = ", ".join(f"{n} {docs.schema[i].dataType.simpleString()}" for i, n in enumerate(names))
     out = groups.apply(remove, schema, _rounds(groups, run, words))
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+    return out.toDF(*docs.columns)

@@ -1,35 +1,44 @@
 """MinHash near-dedup with an LSH forest, links confirmed on full shingle sets.
 
-1. A pass makes each document's set of word shingles; equal sets are grouped
-   exactly and only the smallest doc_id of each goes on.
+1. A pass makes each document's set of word shingles; sets with one digest of
+   all their shingles are equal, and only the smallest doc_id of each goes on.
 2. Each of `trees` trees orders the rest by its own sequence of minimum hashes.
-   Documents that agree on a tree's first `depth` hashes form a region; inside
-   it, in the order of the deeper ones, those with the longest common prefixes
-   stand side by side, and each document's candidates are its `near` next
-   neighbours: a region that small is searched whole, a denser one as deep as
-   it takes. Size bounds that no linked pair exceeds drop candidates early.
+   Documents that agree on a tree's first `depth` hashes form a region. In the
+   sorted order the common prefix of each entry with the one before is measured,
+   and a region of more than `near` + 1 documents is divided by one more hash as
+   long as that takes it below that number, to `levels` hashes at most: its depth
+   adapts to how dense it is. Candidates of a document are the `near` next ones
+   of its own part, those with the longest common prefixes. Size bounds that no
+   linked pair exceeds drop candidates early.
 3. The text of the smaller id goes once to every group of documents that holds a
    candidate of it, and the exact similarity decides.
 4. Links make components by alternating large and small stars.
-5. In regions of more than `near` documents that aren't one component yet, pairs
-   across components at larger distances in the order are tested, to four times
-   the distance each turn and over those regions' documents only, until none is
-   left; pairs with so few equal minimum hashes that a linked pair has them by a
-   chance of 3e-7 at most (by the binomial tail) are passed over. So no region has
-   a cap on partners.
+5. Regions of more than `near` + 1 documents that aren't one component yet stay
+   open. Of their documents, a count tells how many shingles occur in no other
+   open document. That bounds every overlap: documents that can't reach the limit
+   with any other are set aside, and of the rest, pairs across components whose
+   bound reaches it are tested, at distances in the order of up to 16 times as
+   many places each turn, until no region is open; pairs with so few equal
+   minimum hashes that a linked pair has them by a chance of 3e-7 at most (by the
+   binomial tail) are passed over. So no
+   region has a cap on partners. A later turn sends a document only for the
+   trees in which its region is open.
 
 What is sent grows with documents, never with pairs of a group: copies are
-grouped first, a region gives at most `near` candidates a document and turn, and a text
-reaches a group of documents once.
+grouped first, a region gives at most `near` candidates a document, and a text
+reaches a group of documents once. Where a join's key may be that of a large
+group of copies, frequent keys go by a broadcast of counted size (spread_join).
 
 Defined cases: null and blank texts have the empty set and link with nothing;
 rows that share a doc_id are one node; a row with a null doc_id is its own
-component, kept, with a null component_id; other columns are ignored, or come
-along unchanged in near_dedup_rows.
+component, kept, with a null component_id; texts of any length are taken whole
+(a task holds about 40 bytes for each byte of its longest text); other columns are
+ignored, or come along unchanged, whatever their names, in near_dedup_rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -39,13 +48,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .rounds import Groups, answer, written
+from .rounds import Groups, answer, dropped, numbered, spread_join, written
 from .suffix_dedup import _join, _runs
 from .substring_dedup import _split
 
 U64 = np.uint64
 _SIGN = U64(1 << 63)
-_NODE = "p int, doc_id long, n_shingles long, key1 long, key2 long"
+_NODE = "p int, doc_id long, n_shingles long, digest binary"
+_TREE = U64(31)  # low bits of a region's key: its tree
+#: How many times as far each turn looks.
+_WIDER = 16
 
 
 def _shingles(buf: np.ndarray, offs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,20 +118,36 @@ class Forest:
             for whole in batches:
                 for batch in tb.slices(whole, "text"):
                     x, edge = _shingles(*tb.column_bytes(batch["text"]), width)
-                    n, k1, k2 = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+                    n, digest = np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows
                     for i in np.flatnonzero(np.diff(edge)).tolist():
                         own = np.unique(x[edge[i] : edge[i + 1]])
                         n[i] = len(own)
-                        k1[i] = np.sum(tb.mix(own)).view(np.int64)
-                        k2[i] = np.sum(tb.mix(own ^ U64(0xD1B54A32D192ED03))).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([batch["p"], batch["doc_id"], pa.array(n), pa.array(k1), pa.array(k2)], ["p", "doc_id", "n_shingles", "key1", "key2"])
+                        digest[i] = hashlib.blake2b(own.astype("<u8").tobytes(), digest_size=20).digest()
+                    yield pa.RecordBatch.from_arrays([batch["p"], batch["doc_id"], pa.array(n), pa.array(digest, pa.binary())], ["p", "doc_id", "n_shingles", "digest"])
 
         return self.groups.table.select("p", "doc_id", "text").mapInArrow(run, _NODE)
 
+    def shared(self) -> DataFrame:
+        """(doc_id, n): how many of a document's distinct shingles no other document now taking part has."""
+        width = self.shingle
+
+        def run(batches):
+            for whole in batches:
+                for batch in tb.slices(whole, "text", 1 << 20):
+                    x, edge = _shingles(*tb.column_bytes(batch["text"]), width)
+                    sets = [np.unique(x[i:j]).view(np.int64) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+                    ids = batch["doc_id"].take(pa.array(np.repeat(np.arange(len(sets)), [len(v) for v in sets])))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))], ["doc_id", "shingle"])
+
+        rows = self.groups.table.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
+        alone = rows.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")
+        return alone.groupBy("doc_id").agg(F.count("*").alias("n"))
+
     def candidates(self, chosen: DataFrame, turn: int) -> DataFrame:
         """Requests (p, block, payload) to the groups of smaller ids: which texts to send where.
 
-        chosen: (p, doc_id, n_shingles, label); pairs with one label are left out.
+        chosen: (p, doc_id, n_shingles, most: how many of them another document may share, label, mask: a bit
+        for each tree to look in); pairs with one label are left out.
         """
         trees, depth, levels, near, percent, width = self.trees, self.depth, self.levels, self.near, self.percent, self.shingle
         bits = self.groups.blocks(max(self.groups.bytes / 2000, 1) * trees, 1 << 18)
@@ -142,15 +170,17 @@ class Forest:
             edge = np.append(edge[has], edge[-1])
             sig = _signatures(x, edge, trees * levels)
             ids = np.array([pick[i][1] for i in has], np.int64)
-            size, label = (np.array([pick[i][k] for i in has], np.int64) for k in (2, 3))
-            keys = []
+            size, most, label, mask = (np.array([pick[i][k] for i in has], np.int64) for k in (2, 3, 4, 5))
+            keys, rows = [], []
             for t in range(trees):
-                key = np.full(len(ids), (t + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, U64)
+                at = np.flatnonzero(mask >> t & 1)
+                key = np.full(len(at), (t + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1, U64)
                 for k in range(depth):
-                    key = tb.mix(key ^ sig[:, t * levels + k])
-                keys.append(key)
+                    key = tb.mix(key ^ sig[at, t * levels + k])
+                keys.append(key & ~_TREE | U64(t))
+                rows.append(at)
             # all trees' entries together: one message a block
-            key, row, tree = np.concatenate(keys), np.tile(np.arange(len(ids)), trees), np.repeat(np.arange(trees), len(ids))
+            key, row, tree = np.concatenate(keys), np.concatenate(rows), np.repeat(np.arange(trees), [len(x) for x in rows])
             order = np.argsort(key, kind="stable")
             key, row, tree = key[order], row[order], tree[order]
             deep = sig[row[:, None], (tree * levels)[:, None] + np.arange(depth, levels)]
@@ -158,33 +188,53 @@ class Forest:
                 o = row[a:b]
                 # in later turns, over few documents, each entry has a byte of every hash along
                 whole = sig[o].astype(np.uint8).tobytes() if turn else b""
-                yield int(key[a] >> U64(64 - bits)), _join(tb.pack_sorted(key[a:b]), np.ascontiguousarray(deep[a:b]).astype(">u4").tobytes(), tb.pack(ids[o].view(U64) ^ _SIGN), tb.pack(size[o]), tb.pack(label[o].view(U64) ^ _SIGN), zstandard.ZstdCompressor(level=1).compress(whole))
+                yield int(key[a] >> U64(64 - bits)), _join(tb.pack_sorted(key[a:b]), np.ascontiguousarray(deep[a:b]).astype(">u4").tobytes(), tb.pack(ids[o].view(U64) ^ _SIGN), tb.pack(size[o]), tb.pack(most[o]), tb.pack(label[o].view(U64) ^ _SIGN), zstandard.ZstdCompressor(level=1).compress(whole))
 
         def neighbours(block, senders, payloads):
-            keys, deeps, ids, sizes, labels, homes, sigs = [], [], [], [], [], [], []
+            keys, deeps, ids, sizes, mosts, labels, homes, sigs = [], [], [], [], [], [], [], []
             for p, x in zip(senders, payloads, strict=True):
-                k, v, d, n, c, w = _split(x)
+                k, v, d, n, m, c, w = _split(x)
                 sigs.append(zstandard.ZstdDecompressor().decompress(w))
                 keys.append(tb.unpack_sorted(k))
                 deeps.append(np.frombuffer(v, ">u4").reshape(len(keys[-1]), -1))
                 ids.append((tb.unpack(d) ^ _SIGN).view(np.int64))
                 sizes.append(tb.unpack(n).astype(np.int64))
+                mosts.append(tb.unpack(m).astype(np.int64))
                 labels.append((tb.unpack(c) ^ _SIGN).view(np.int64))
                 homes.append(np.full(len(keys[-1]), p))
-            key, deep, d, n, c, home = (np.concatenate(x) for x in (keys, deeps, ids, sizes, labels, homes))
+            key, deep, d, n, m, c, home = (np.concatenate(x) for x in (keys, deeps, ids, sizes, mosts, labels, homes))
             order = np.lexsort((d, *deep.T[::-1], key))
-            key, d, n, c, home = key[order], d[order], n[order], c[order], home[order]
+            key, deep, d, n, m, c, home = key[order], deep[order], d[order], n[order], m[order], c[order], home[order]
             sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(key), -1)[order] if turn else None
+            first = tb.group_starts(key)
+            members = _group_sizes(first)
+            # the common prefix of each entry with the one before, and the depth at which its part is small enough
+            prefix, parted = np.where(first, 0, depth), np.full(len(key), depth)
+            new = first
+            for level in range(deep.shape[1]):
+                wide = _group_sizes(new) > near + 1
+                new = new | np.append(True, deep[1:, level] != deep[:-1, level])[: len(key)]
+                prefix[~new] += 1
+                parted[wide] += 1
+            if turn:  # all of an open region
+                parted[:] = depth
             out = []
-            for step in range(1 + (near * 4 ** (turn - 1) if turn else 0), near * 4**turn + 1):
-                i = np.flatnonzero(key[step:] == key[:-step]) if step < len(key) else np.zeros(0, np.int64)
-                if not len(i):
+            live, common = np.flatnonzero(prefix[1:] >= depth), prefix[1:].copy()
+            for step in range(1, near * _WIDER**turn + 1):
+                live = live[live + step < len(key)]
+                common[live] = np.minimum(common[live], prefix[live + step])  # a pair's prefix is the least on the way
+                live = live[common[live] >= depth]
+                if not len(live):
                     break
+                i = live[common[live] >= parted[live]]
                 j = i + step
-                good = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (c[i] != c[j]) & (d[i] != d[j])
+                both = np.minimum(m[i], m[j])  # at most
+                good = (100 * both >= percent * (n[i] + n[j] - both)) & (c[i] != c[j]) & (d[i] != d[j])
                 i, j = i[good], j[good]
                 if turn:  # estimates that a linked pair has by a chance of 3e-7 at most go
-                    alike = (sig[i] == sig[j]).sum(1) >= least
+                    alike = np.zeros(len(i), bool)
+                    for x in range(0, len(i), 1 << 17):
+                        alike[x : x + (1 << 17)] = (sig[i[x : x + (1 << 17)]] == sig[j[x : x + (1 << 17)]]).sum(1) >= least
                     i, j = i[alike], j[alike]
                 swap = d[i] > d[j]
                 out.append(np.stack([np.where(swap, j, i), np.where(swap, i, j)]))
@@ -194,12 +244,11 @@ class Forest:
                 a, b = a[by], b[by]
                 for x, y in _runs(home[a]):
                     yield int(home[a[x]]), _join(tb.pack(d[a[x:y]].view(U64) ^ _SIGN), tb.pack(d[b[x:y]].view(U64) ^ _SIGN), tb.pack(home[b[x:y]]))
-            first = tb.group_starts(key)
-            wide = np.diff(np.append(np.flatnonzero(first), len(key)))[np.cumsum(first) - 1] > near * 4**turn + 1
+            wide = members > near * _WIDER**turn + 1
             if wide.any():
                 yield -1 - block, _join(tb.pack_sorted(key[wide]), tb.pack(d[wide].view(U64) ^ _SIGN))
 
-        payload = F.expr("unhex(concat(lpad(hex(n_shingles), 16, '0'), lpad(hex(label), 16, '0')))")
+        payload = F.expr("unhex(concat(lpad(hex(n_shingles), 16, '0'), lpad(hex(most), 16, '0'), lpad(hex(label), 16, '0'), lpad(hex(mask), 16, '0')))")
         return answer(self.groups.send(plant, chosen.select("p", F.col("doc_id").alias("block"), payload.alias("payload"))), neighbours)
 
     def confirmed(self, requests: DataFrame) -> DataFrame:
@@ -259,6 +308,12 @@ class Forest:
         return self.groups.apply(verify, "a long, b long", sent.select(F.col("block").cast("int").alias("p"), F.col("p").cast("long").alias("block"), "payload"))
 
 
+def _group_sizes(first: np.ndarray) -> np.ndarray:
+    """The size of each row's group, where groups begin at `first`."""
+    at = np.flatnonzero(first)
+    return np.diff(np.append(at, len(first)))[np.cumsum(first) - 1]
+
+
 def _union(batches):
     """Components of all edges of one task, by union-find."""
     root: dict[int, int] = {}
@@ -287,7 +342,7 @@ def components(edges: DataFrame, task_edges: int = 500_000) -> DataFrame:
 
     At most task_edges distinct edges, a counted bound of some MB, are joined by union-find in one
     task. More go through large and small stars in turn (Kiveris et al., 2014), each an aggregate
-    and a join, until nothing changes.
+    and a join that spreads hubs, until nothing changes.
     """
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     if edges.count() <= task_edges:
@@ -298,13 +353,14 @@ def components(edges: DataFrame, task_edges: int = 500_000) -> DataFrame:
         now = edges.agg(F.count("*"), mark).first()
         if now == last:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v")).groupBy("node").agg(F.min("component").alias("component"))
-        last = now
-        both = edges.union(edges.select("v", "u"))
+        last, old = now, edges
+        both = written(edges.union(edges.select("v", "u")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+        large = written(spread_join(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(least)
+        small = spread_join(large, least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").union(least)
         edges = written(small.distinct())
+        dropped(old, both, large)
 
 
 def _members(batches):
@@ -316,48 +372,74 @@ def _members(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), np.int32)), pa.array(key), pa.array(d)], ["kind", "a", "b"])
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """The members (region, member, label) of regions with two labels or more."""
+    several = members.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("region")
+    return spread_join(members, several, "region")
+
+
 def labelled(forest: Forest, restrict_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """Nodes (p, doc_id, n_shingles, root: the smallest id with an equal set) and components of roots."""
-    nodes = written(forest.nodes())
-    real = nodes.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    roots = real.groupBy("key1", "key2", "n_shingles").agg(F.min("doc_id").alias("root"))
-    nodes = written(nodes.join(roots, ["key1", "key2", "n_shingles"], "left").select("p", "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("root")))
+    seen = written(forest.nodes())
+    real = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    roots = seen.where(real).groupBy("digest").agg(F.min("doc_id").alias("root"))
+    nodes = spread_join(seen.where(real), roots, "digest").select("p", "doc_id", "n_shingles", "root")
+    nodes = written(nodes.unionByName(seen.where(~real).select("p", "doc_id", "n_shingles", F.col("doc_id").alias("root"))))
+    dropped(seen)
     reps = nodes.where("doc_id = root AND n_shingles > 0").groupBy("p", "doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     # rows that share a doc_id tie their sets together
-    several = nodes.where("n_shingles > 0").groupBy("doc_id").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    several = nodes.where("n_shingles > 0").groupBy("doc_id").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("n_shingles").alias("m"), F.max("n_shingles").alias("n")).where("x <> y OR m <> n").select("doc_id")
     edges = nodes.where("doc_id <> root").join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("root").alias("b"))
-    chosen, turn = reps.withColumn("label", F.col("doc_id")), 0
+    chosen, turn, labels, used = reps.select("*", F.col("n_shingles").alias("most"), F.col("doc_id").alias("label"), F.lit((1 << forest.trees) - 1).cast("long").alias("mask")), 0, None, []
     while True:
         # one job, so that its steps share one exchange of documents
         requests = forest.candidates(chosen, turn)
         links = forest.confirmed(requests.where("p >= 0")).select(F.lit(0).alias("kind"), "a", "b")
         found = written(links.unionByName(requests.where("p < 0").mapInArrow(_members, "kind int, a long, b long")))
-        new = found.where("kind = 0").select("a", "b")
+        new = written(found.where("kind = 0").select("a", "b").distinct())
+        edges = edges.unionByName(new)
         if not turn or not new.isEmpty():
-            edges = edges.unionByName(new)
-            labels = written(components(edges))
-        members = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("member"))
+            old, labels = labels, written(components(edges))
+            if old is not None:
+                dropped(old)
+        members = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("member")).distinct()
         members = written(members.join(labels, members["member"] == labels["node"], "left").select("region", "member", F.coalesce("component", "member").alias("label")))
-        open_ = members.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        left = written(members.join(open_, "region", "left_semi").select("member", "label").distinct())
-        n = left.count()
+        left = written(_open(members))
+        dropped(found, members, *used)
+        n = left.select("member").distinct().count()
+        if n:
+            # an open document whose shingles are too rarely shared links with no other
+            forest.groups.restrict(left.select(F.col("member").alias("doc_id")).distinct(), small=n <= restrict_rows)
+            own = forest.shared().join(several, "doc_id", "left_anti").withColumnsRenamed({"doc_id": "member", "n": "own"})
+            sizes = reps.groupBy(F.col("doc_id").alias("member")).agg(F.max("n_shingles").alias("n"))
+            judged = written(left.select("member").distinct().join(own, "member", "left").join(sizes, "member").select("member", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")))
+            maybe = written(left.join(judged.where(100 * F.col("most") >= forest.percent * F.col("n")), "member"))
+            rest = written(_open(maybe))
+            dropped(judged, maybe, left)
+            used = [rest]
+            # a region's tree is in the low bits of its key
+            open_ = rest.groupBy("member", "label", "most").agg(F.bit_or(F.expr("shiftleft(1L, CAST(region & 31 AS int))")).alias("mask"))
+            n = open_.count()
         if not n:
             return nodes, labels
-        forest.groups.restrict(left.select(F.col("member").alias("doc_id")), small=n <= restrict_rows)
-        chosen, turn = reps.join(left, reps["doc_id"] == left["member"]).select("p", "doc_id", "n_shingles", "label"), turn + 1
+        forest.groups.restrict(open_.select(F.col("member").alias("doc_id")), small=n <= restrict_rows)
+        chosen, turn = reps.join(open_, reps["doc_id"] == open_["member"]).select("p", "doc_id", "n_shingles", "most", "label", "mask"), turn + 1
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 24, depth: int = 4, levels: int = 6, near: int = 32) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, kept (doc_id is the component's smallest)."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, trees: int, depth: int, levels: int, near: int) -> DataFrame:
     nodes, labels = labelled(Forest(docs, id_col, text_col, shingle, percent, trees, depth, levels, near))
-    out = nodes.join(labels, nodes["root"] == labels["node"], "left")
-    component = F.coalesce("component", "root")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return spread_join(nodes, labels.select(F.col("node").alias("root"), "component"), "root", "left").withColumn("component", F.coalesce("component", "root"))
 
 
-def near_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 24, depth: int = 4, levels: int = 6, near: int = 32) -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 24, depth: int = 4, levels: int = 6, near: int = 4) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, kept (doc_id is the component's smallest)."""
+    out = _judged(docs, id_col, text_col, shingle, percent, trees, depth, levels, near)
+    return out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def near_dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, trees: int = 24, depth: int = 4, levels: int = 6, near: int = 4) -> DataFrame:
     """The rows of docs, with their columns, but for all members of a component other than its smallest id."""
-    nodes, labels = labelled(Forest(docs, id_col, text_col, shingle, percent, trees, depth, levels, near))
-    judged = nodes.join(labels, nodes["root"] == labels["node"], "left")
-    drop = judged.where(F.col("doc_id") != F.coalesce("component", "root")).select(F.col("doc_id").alias("_near_drop")).distinct()
-    return docs.join(drop, docs[id_col].cast("long") == F.col("_near_drop"), "left_anti")
+    judged = _judged(docs, id_col, text_col, shingle, percent, trees, depth, levels, near)
+    drop = judged.where(F.col("doc_id") != F.col("component")).select(F.col("doc_id").alias("gone")).distinct()
+    rows, at = numbered(docs, id_col)
+    return rows.join(drop, rows[at].cast("long") == drop["gone"], "left_anti").toDF(*docs.columns)

@@ -6,6 +6,13 @@ every key at most once; each block answers each group with one packed reply.
 So a key of any frequency reaches its block once a group, and what a task holds
 is bounded by the group's bytes or the block's share of a uniform hash. All
 rounds of a query read the same exchange of documents, which Spark reuses.
+
+Number of messages: T bytes of text make G = T / (4 MB g) groups, and K keys
+B = K / (2 M g) blocks, where g is the square root of T / 16 GB, between 1 and 16.
+A round sends at most G B messages. From 16 GB to 4 TB that is T K / 8e12 * 16 GB / T,
+so in proportion to the input, with about 500 keys a message; beyond, where g stays
+16 (groups of 64 MB) so that a task's memory is bounded, a message has
+2000 TB / T keys, some 20 at 100 TB.
 """
 
 from __future__ import annotations
@@ -24,13 +31,18 @@ _MESSAGE = pa.schema([("p", pa.int32()), ("block", pa.int64()), ("payload", pa.b
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; set only where the cluster names none."""
+    """The folder that all executors share: spark.checkpoint.dir, or else the checkpoint folder that was set.
+
+    Only a session in one process (local mode) may do without; there it is a folder of the warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             return found.get()
-        folder = os.path.join(os.path.abspath(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")), "_checkpoints")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -40,22 +52,58 @@ def written(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there and lost executors don't matter."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_written_at"] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that written() made and that nothing will read again."""
+    for t in tables:
+        if path := t.__dict__.pop("_written_at", None):
+            jvm = t.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def numbered(docs: DataFrame, *columns: str) -> tuple:
+    """docs with its columns named _0, _1, ... (whatever their names were), and the new names of some."""
+    return docs.toDF(*[f"_{i}" for i in range(len(docs.columns))]), *[f"_{docs.columns.index(c)}" for c in columns]
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", parts: int = 4096) -> DataFrame:
+    """left joined by key to right, which has one row a key, without a hot key.
+
+    Keys of more than a parts-th of left's rows, which are fewer than `parts` by
+    count, are looked up in a broadcast; the others, none of them large, shuffle.
+    """
+    often = left.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_often")).count().where(F.col("count") > left.count() // parts + 1).select("_often")
+    found = F.broadcast(right.join(F.broadcast(often), F.col(key) == F.col("_often"), "left_semi"))
+    marked = left.join(F.broadcast(often), F.col(key) == F.col("_often"), "left")
+    # keys that are frequent in left but not in right match nothing in either way
+    hot, rest = marked.where("_often IS NOT NULL").drop("_often"), marked.where("_often IS NULL").drop("_often")
+    return hot.join(found, key, how).unionByName(rest.join(right, key, how))
+
+
+def growth(size: int) -> float:
+    """How many times as large groups and blocks are as those of a small input (see above)."""
+    return min(16.0, max(1.0, math.sqrt(size / (16 << 30))))
 
 
 class Groups:
     """Documents dealt into groups `p` of about group_bytes of text by a hash of id and text.
 
-    Columns named in carry come along as _0, _1, ... for the last step to return.
+    With carry, the columns of docs come along as _0, _1, ... for the last step to return.
     """
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20, carry: list[str] | None = None):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_bytes: int = 4 << 20, carry: bool = False):
         spark = docs.sparkSession
-        ids, texts = docs[id_col].cast("long"), docs[text_col].cast("string")
-        size = docs.agg(F.sum(F.octet_length(texts)).alias("b")).first()["b"] or 0
-        self.bytes = int(size)
-        self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / group_bytes))
-        self.table = docs.select(F.pmod(F.xxhash64(ids, texts), F.lit(self.n)).cast("int").alias("p"), ids.alias("doc_id"), texts.alias("text"), *[docs[c].alias(f"_{i}") for i, c in enumerate(carry or [])])
+        rows, ids, texts = numbered(docs, id_col, text_col)
+        ids, texts = rows[ids].cast("long"), rows[texts].cast("string")
+        self.bytes = int(rows.agg(F.sum(F.octet_length(texts)).alias("b")).first()["b"] or 0)
+        self.grow = growth(self.bytes)
+        self.n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(self.bytes / (group_bytes * self.grow)))
+        self.table = rows.select(F.pmod(F.xxhash64(ids, texts), F.lit(self.n)).cast("int").alias("p"), ids.alias("doc_id"), texts.alias("text"), *([rows[c] for c in rows.columns] if carry else []))
         self.all = self.table
 
     def restrict(self, ids: DataFrame, small: bool) -> None:
@@ -64,7 +112,7 @@ class Groups:
 
     def blocks(self, keys: float, per_block: int = 1 << 21) -> int:
         """Bits of a block number so that a block has about per_block of so many keys."""
-        return max(3, math.ceil(math.log2(max(1.0, keys / per_block))))
+        return max(3, math.ceil(math.log2(max(1.0, keys / (per_block * self.grow)))))
 
     def send(self, emit: Callable, replies: DataFrame | None = None) -> DataFrame:
         """emit(p, docs table, {(tag, block): payload}) yields (block, payload)."""
