@@ -1,11 +1,11 @@
 """Token counts from a table of frequent pre-token lengths, without a shuffle of pre-tokens.
 
 Tier one: a table of at most `table_size` frequent pre-tokens and their numbers of
-tokens is broadcast. It comes from all documents: each partition keeps its most
-frequent pre-tokens, the partial counts are summed, and the most frequent overall
-are encoded. Tier two: a pre-token that misses is encoded by the library once and
-kept in the worker's cache, which is emptied when it holds `cache_size` entries.
-The table only saves time; counts don't depend on it.
+tokens is broadcast. They are taken from a random sample of about `sample_rows`
+documents of at most `sample_bytes` bytes each, which the driver counts. Tier two: a
+pre-token that misses is encoded by the library once and kept in the worker's
+cache, which is emptied when it holds `cache_size` entries. The table only saves
+time; counts don't depend on it, and every text is counted whole.
 
 A pre-token is a maximal piece that the tokenizer's own pattern cuts out, so the
 lengths of a text's pieces sum to its length. That holds for texts made of
@@ -14,7 +14,8 @@ any other text, and one that holds a special token's string, goes to the library
 whole.
 
 Defined cases: null and empty texts have 0 bytes and 0 tokens; repeated rows each
-count; an empty table gives no rows; other columns are ignored.
+count; a text of any length is one string of its task, and batches are cut to
+about 4 MB; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import textbytes as tb
+from .rounds import numbered
+
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 #: The pre-token pattern of the tokenizer file this module counts for (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -71,23 +75,16 @@ class PieceCounter:
         return n
 
 
-def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text", table_size: int = 1 << 15, per_partition: int = 1 << 13) -> dict[str, int]:
-    """Pre-token -> number of tokens, for the most frequent pre-tokens of all documents."""
-
-    def count(batches):
-        own, split = Counter(), PieceCounter(path)
-        for batch in batches:
-            for text in batch["text"].to_pylist():
-                own.update(split.pieces(text) or () if text else ())
-            if len(own) > 32 * per_partition:  # the counts of a long partition stay bounded
-                own = Counter(dict(own.most_common(16 * per_partition)))
-        top = own.most_common(per_partition)
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["piece", "n"])
-
-    rows = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(count, "piece string, n long")
-    top = rows.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(table_size)
-    counter = PieceCounter(path)
-    return {r["piece"]: counter.whole(r["piece"]) for r in top.select("piece").collect()}  # table_size rows at most
+def frequent_pieces(docs: DataFrame, path: str, text_col: str = "text", table_size: int = 1 << 15, sample_rows: int = 2000, sample_bytes: int = 1 << 15) -> dict[str, int]:
+    """Pre-token -> number of tokens, for the most frequent pre-tokens of a sample of documents."""
+    rows, t = numbered(docs, text_col)
+    share = min(1.0, sample_rows / max(1, rows.count()))
+    # some sample_rows rows, of sample_rows * sample_bytes bytes at most
+    sample = rows.select(rows[t].cast("string").alias("text")).sample(share, 7).where(F.octet_length("text") <= sample_bytes)
+    counter, own = PieceCounter(path), Counter()
+    for row in sample.toLocalIterator():
+        own.update(counter.pieces(row["text"]) or ())
+    return {piece: counter.whole(piece) for piece, _ in own.most_common(table_size)}
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", table_size: int = 1 << 15, cache_size: int = 1 << 18) -> DataFrame:
@@ -96,10 +93,12 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         counter = PieceCounter(path, known.value, cache_size)
-        for batch in batches:
-            texts = batch["text"].to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()), pa.array([counter(t) if t else 0 for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
-            )
-
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+        for whole in batches:
+            for batch in tb.slices(whole, "text"):
+                texts = batch["text"].to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()), pa.array([counter(t) if t else 0 for t in texts], pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
+                )
+
+    rows, i, t = numbered(docs, id_col, text_col)
+    return rows.select(rows[i].cast("long").alias("doc_id"), rows[t].cast("string").alias("text")).mapInArrow(run, SCHEMA)
