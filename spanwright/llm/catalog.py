@@ -53,14 +53,17 @@ many AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g)
 rep AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM many, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
 lines AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 base AS (SELECT d.doc_id, source, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
-           (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+           (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(ls) AS n_lines,
            (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
          FROM d JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
-hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS f FROM judged WHERE source IS NOT NULL GROUP BY source),
-prior AS (SELECT m, CASE WHEN v < 1e-12 THEN 1000.0 ELSE least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS w
-          FROM (SELECT avg(f::DOUBLE / n) AS m, var_pop(f::DOUBLE / n) AS v FROM hosts)),
-bad AS (SELECT source FROM hosts, prior WHERE (f + m * w) / (n + w) > 0.5)
+fails AS (SELECT source, unnest([1, 2, 3, 4, 5]) AS rule, unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_symbols > n_words,
+            word_chars < 3 * n_words OR word_chars > 10 * n_words, 10 * n_dup_lines > 3 * n_lines]) AS failed FROM judged WHERE source IS NOT NULL),
+hosts AS (SELECT source, rule, count(*) AS n, count(*) FILTER (failed) AS f FROM fails GROUP BY ALL),
+prior AS (SELECT rule, m, CASE WHEN v < 1e-12 THEN 1000.0 ELSE least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) END AS w
+          FROM (SELECT rule, avg(f::DOUBLE / n) AS m, var_pop(f::DOUBLE / n) AS v FROM hosts GROUP BY rule)),
+bad AS (SELECT DISTINCT source FROM hosts JOIN prior USING (rule)
+        WHERE (f + m * w) / (n + w) > least(0.5, greatest(0.2, m + 3 * sqrt(m * (1 - m) / (w + 1)))))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
 FROM judged
@@ -111,12 +114,12 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM s GROUP BY conv_id
 """)
 def op10_chat_format(spark, sf_dir):
-    from .chat import chat_format, read_turns, unescape
+    from .chat import as_events, chat_format, read_turns, unescape
 
     said = "<|im_end|><|im_start|>assistant ok"
     own = spark.sql(f"SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, '{said}' AS text UNION ALL SELECT -1L, 1L, 'assistant', '{said}'")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
-    out = chat_format(rows).withColumn("turns", read_turns(F.col("formatted")))
+    out = chat_format(as_events(rows), turn=["turn", "nth"], seq="seq", kind="kind").withColumn("turns", read_turns(F.col("formatted")))
     learned = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["piece"])), "")
     out = out.withColumn("learned", learned)
     return out.select(
