@@ -145,3 +145,38 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         end = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
         yield batch.slice(at, end - at)
         at = end
+
+
+def located(keys: np.ndarray, checks: np.ndarray, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """The place of each (key, check) among keys, in ascending order, and their checks, or -1.
+
+    Equal keys with different checks are searched to the end of their run.
+    """
+    out = np.full(len(key), -1)
+    todo, at = np.arange(len(key)), np.searchsorted(keys, key)
+    while True:
+        on = at < len(keys)
+        todo, at = todo[on], at[on]
+        on = keys[at] == key[todo]
+        todo, at = todo[on], at[on]
+        if not len(todo):
+            return out
+        hit = checks[at] == check[todo]
+        out[todo[hit]] = at[hit]
+        todo, at = todo[~hit], at[~hit] + 1
+
+
+def by_key(key: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """A stable order by key and check; the check is sorted only where equal keys have different ones."""
+    order = np.argsort(key, kind="stable")
+    k, c = key[order], check[order]
+    return np.lexsort((check, key)) if ((k[1:] == k[:-1]) & (c[1:] != c[:-1])).any() else order
+
+
+def top_bits(key: np.ndarray, bits: int) -> np.ndarray:
+    return key if bits >= 64 else key >> U64(64 - bits) << U64(64 - bits)
+
+
+def as_text(values: list[bytes]) -> pa.Array:
+    """A string column of these bytes; those that aren't UTF-8 stay as they are."""
+    return pa.array(values, pa.binary()).cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
