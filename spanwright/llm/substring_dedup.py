@@ -5,8 +5,9 @@ documents sketches its distinct windows, the partial sketches meet block by
 block (a block is a range of a row's cells) and are summed, and each group gets
 back, for its own cells, whether the sum is two or more. The smallest answer
 over the rows never falls below a window's count, so no repeat is lost. The
-second pass sends only windows so estimated, as 96-bit keys with the smallest
-doc_id of the group, and groups them exactly.
+second pass sends only windows so estimated, as a 64-bit key and a 32-bit check
+with the smallest doc_id of the group, and groups them by both; the chance that any
+two different windows of 100 TB of text agree in both is 0.002.
 
 The sketch has `cells` cells a window and row whatever the input's size, and no
 task holds more than a block of it, so it is as sharp at 100 TB as at 1 GB.
@@ -14,7 +15,8 @@ task holds more than a block of it, so it is as sharp at 100 TB as at 1 GB.
 Defined cases: null or blank text has no words and is kept as the empty string;
 rows that share a doc_id are one document's texts, so they don't remove from one
 another; a row with a null doc_id neither removes nor loses words; every input
-row gives one row; other columns are ignored.
+row gives one row; a text is taken whole, however long (a task holds some 60 bytes
+a word of its group); bytes that aren't UTF-8 stay; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ SCHEMA = "doc_id long, n_words long, n_removed long, kept_text string"
 U64 = np.uint64
 
 
-def _windows(docs: pa.Table, window: int):
+def _windows(docs: pa.Table, window: int, key_bits: int = 64):
     """Word bounds, and of each window: first word, doc_id, 64-bit key and 32-bit check."""
     buf, offs = tb.column_bytes(docs["text"])
     starts, ends, doc = tb.words(buf, offs)
@@ -41,14 +43,14 @@ def _windows(docs: pa.Table, window: int):
     real = docs["doc_id"].is_valid().to_numpy(zero_copy_only=False)
     n = max(len(tokens) - window + 1, 0)
     ok = np.flatnonzero((doc[:n] == doc[window - 1 :][:n]) & real[doc[:n]])
-    key = tb.window_hashes(tokens, window, 1)[ok]
+    key = tb.top_bits(tb.window_hashes(tokens, window, 1)[ok], key_bits)
     check = tb.window_hashes(tokens, window, 2)[ok] >> U64(32)
     return (buf, offs, starts, doc), ok, ids[doc[ok]], key, check
 
 
 def _distinct(ids: np.ndarray, key: np.ndarray, check: np.ndarray):
     """For each distinct window of the group, in key order: its row, and whether two ids have it."""
-    order = np.argsort(key, kind="stable")  # rows are in order of doc_id, so the first has the smallest
+    order = tb.by_key(key, check)  # rows are in order of doc_id, so the first has the smallest
     k, c, d = key[order], check[order], ids[order]
     first = tb.group_starts(k, c)
     at = np.flatnonzero(first)
@@ -60,8 +62,11 @@ def _cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
     return tb.mix(key ^ U64(((row + 1) * 0xA0761D6478BD642F) & ((1 << 64) - 1))) >> U64(64 - bits)
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, depth: int = 2, cells: int = 8) -> DataFrame:
-    """One row a document: doc_id, n_words, n_removed, kept_text (words joined by one space)."""
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, depth: int = 2, cells: int = 8, key_bits: int = 64) -> DataFrame:
+    """One row a document: doc_id, n_words, n_removed, kept_text (words joined by one space).
+
+    Fewer key_bits than 64 make different windows share keys, which only tests want.
+    """
     groups = Groups(docs, id_col, text_col)
     expected = max(groups.bytes / 6, 1)  # words
     bits = min(60, max(16, math.ceil(math.log2(expected * cells))))
@@ -69,7 +74,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     exact_bits = groups.blocks(expected / 4)
 
     def sketch(p, docs, _):
-        _, _, ids, key, check = _windows(docs, window)
+        _, _, ids, key, check = _windows(docs, window, key_bits)
         rows, several = _distinct(ids, key, check)
         for row in range(depth):
             cell = _cells(key[rows], row, bits)
@@ -104,7 +109,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def estimated(p, docs, back):
         """Sends the windows whose smallest sum over the rows is two or more."""
-        _, _, ids, key, check = _windows(docs, window)
+        _, _, ids, key, check = _windows(docs, window, key_bits)
         rows, several = _distinct(ids, key, check)
         keep = np.ones(len(rows), bool)
         for row in range(depth):
@@ -147,20 +152,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield p, b"".join(len(x).to_bytes(4, "little") + x for x in parts)
 
     def remove(p, docs, back):
-        (buf, offs, starts, doc), at, ids, key, check = _windows(docs, window)
+        (buf, offs, starts, doc), at, ids, key, check = _windows(docs, window, key_bits)
         rows, _ = _distinct(ids, key, check)
-        order = np.argsort(key, kind="stable")
+        order = tb.by_key(key, check)
         first = tb.group_starts(key[order], check[order])
         which = np.empty(len(key), np.int64)
         which[order] = np.cumsum(first) - 1
         gone = ids > ids[rows][which] if len(rows) else np.zeros(0, bool)
         if back:
             k, c = (np.concatenate(x) for x in zip(*((tb.unpack_sorted(a), np.frombuffer(b, "<u4")) for a, b in (_split(back[n]) for n in sorted(back))), strict=True))
-            lead = np.searchsorted(k, key[rows])
-            hit = np.zeros(len(rows), bool)
-            for step in range(4):  # equal 64-bit keys with other checks stand side by side
-                i = np.minimum(lead + step, len(k) - 1)
-                hit |= (k[i] == key[rows]) & (c[i] == check[rows])
+            hit = tb.located(k, c, key[rows], check[rows]) >= 0
             gone |= hit[which]
         lost = tb.covered(at[gone], window, len(starts))
         return kept_words(docs, buf, offs, doc, lost)
@@ -190,4 +191,4 @@ def kept_words(docs: pa.Table, buf: np.ndarray, offs: np.ndarray, doc: np.ndarra
         if gone[i]:
             own = [w for w, x in zip(own, lost[edge[i] : edge[i + 1]].tolist(), strict=True) if not x]
         texts.append(b" ".join(own))
-    return pa.table({"doc_id": docs["doc_id"].cast(pa.int64()), "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept_text": pa.array(texts, pa.binary()).cast(pa.string())})
+    return pa.table({"doc_id": docs["doc_id"].cast(pa.int64()), "n_words": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept_text": tb.as_text(texts)})

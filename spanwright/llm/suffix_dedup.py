@@ -120,7 +120,7 @@ class Windows:
             start, count = start[which] + nth * _PIECE, np.minimum(count[which] - nth * _PIECE, _PIECE)
         return start, count
 
-    def keys(self, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def keys(self, start: np.ndarray, count: np.ndarray, key_bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """Two hashes of each context's bytes, made from its parts' hashes."""
         last = start + count + self.reach - 2
         key = tb.mix(count.astype(U64) + U64(0x2545F4914F6CDD1D))
@@ -134,7 +134,7 @@ class Windows:
             at += self.part
             on = at < last[todo] + self.part
             todo, at = todo[on], at[on]
-        return key, tb.mix(check) >> U64(32)
+        return tb.top_bits(key, key_bits), tb.mix(check) >> U64(32)
 
     def where(self, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         doc = np.searchsorted(self.offs, start, side="right") - 1
@@ -236,7 +236,7 @@ def later_windows(text: np.ndarray, start: np.ndarray, ids: np.ndarray, at: np.n
     return late
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, part: int = 48, cells: int = 32, hot: int = 4096) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, part: int = 48, cells: int = 32, hot: int = 4096, key_bits: int = 64) -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes)."""
     groups = Groups(docs, id_col, text_col)
     expected = max(groups.bytes / (window - part + 1) * 2, 1)  # anchors
@@ -287,7 +287,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         which = np.repeat(np.arange(len(start)), hi - lo)
         each = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[which]
         own = np.bincount(which[w.h[anchors[each]] == w.least[start[which]]], minlength=len(start))
-        key, check = w.keys(start, n)
+        key, check = w.keys(start, n, key_bits)
         ids, at = w.where(start)
         order = np.lexsort((at, ids, check, key))
         first = np.flatnonzero(tb.group_starts(key[order], check[order]))
@@ -330,16 +330,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         extra = np.concatenate([np.unpackbits(np.frombuffer(x[4], np.uint8), count=len(x[3]) // 4) for x in parts]).astype(bool) if parts else np.zeros(0, bool)
         return k, c, extra
 
-    def found(key, check, k, c):
-        """The place of each (key, check) in k and c, or -1."""
-        out = np.full(len(key), -1)
-        if len(k):
-            lead = np.searchsorted(k, key)
-            for step in range(4):
-                i = np.minimum(lead + step, len(k) - 1)
-                out[(k[i] == key) & (c[i] == check)] = i[(k[i] == key) & (c[i] == check)]
-        return out
-
     def suffixes(p, docs, back):
         """Sends the bytes of the earliest contexts to the block of their anchor."""
         w = Windows(docs, window, part)
@@ -347,8 +337,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         k, c, busy = listed(back, 2)
         if not len(k) or not len(start):
             return
-        key, check = w.keys(start, n)
-        at = found(key, check, k, c)
+        key, check = w.keys(start, n, key_bits)
+        at = tb.located(k, c, key, check)
         pick = np.flatnonzero(at >= 0)
         # of each context, the earliest place of the group; more only where rows share doc_id and place
         ids, off = w.where(start[pick])
@@ -402,11 +392,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         start, n = w.contexts()
         gone = np.zeros(w.places, bool)
         if len(start):
-            key, check = w.keys(start, n)
+            key, check = w.keys(start, n, key_bits)
             k, c, _ = listed(back, 0)
-            whole = found(key, check, k, c) >= 0
+            whole = tb.located(k, c, key, check) >= 0
             # a context whose group holds an earlier one goes too
-            order = np.argsort(key, kind="stable")
+            order = tb.by_key(key, check)
             again = ~tb.group_starts(key[order])
             again[:-1] |= again[1:]
             order = order[again]
