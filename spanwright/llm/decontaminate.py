@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
+from .rounds import numbered, written
 
 SCHEMA = "doc_id long, n_words long, n_hit long, items array<string>, hit_spans array<struct<first:long,words:long>>"
 U64 = np.uint64
@@ -181,12 +182,15 @@ def scan(batch: pa.RecordBatch, shards: list, id_col: str = "doc_id", text_col:
 
 def pattern_shards(benchmark: DataFrame, item_col: str, text_col: str, window: int, shard_bytes: int) -> list:
     """Broadcast patterns, each made of about shard_bytes of item text at most."""
-    rows = benchmark.select(benchmark[item_col].cast("string").alias("item"), benchmark[text_col].cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    rows, i, t = numbered(benchmark, item_col, text_col)
+    rows = rows.select(rows[i].cast("string").alias("item"), rows[t].cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / shard_bytes))
     sc = benchmark.sparkSession.sparkContext
+    if n > 1:  # written in order of shard, so that each is read by itself
+        rows = written(rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))).repartition("shard").sortWithinPartitions("shard"))
     # each shard is bounded; an item is never split, so a longer one makes a longer shard
-    return [sc.broadcast(Patterns.of([(r["item"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).toLocalIterator()], window)) for k in range(n)]
+    return [sc.broadcast(Patterns.of([(r["item"], r["text"]) for r in (rows.where(F.col("shard") == k) if n > 1 else rows).select("item", "text").toLocalIterator()], window)) for k in range(n)]
 
 
 def _values(shards: list):
@@ -209,20 +213,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     ["doc_id", "n_words", "n_hit", "items", "hit_spans"],
                 )
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    rows, i, t = numbered(docs, id_col, text_col)
+    return rows.select(rows[i].cast("long").alias("doc_id"), rows[t].cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, shard_bytes: int = 4 << 20) -> DataFrame:
     """The rows of docs, with their columns, whose text holds no benchmark window."""
     shards = pattern_shards(benchmark, item_col, item_text_col, window, shard_bytes)
 
+    rows, t = numbered(docs, text_col)
+
     def hits(batches):
         for whole in batches:
-            for batch in tb.slices(whole, text_col):
-                _, hit, _, _ = scan(batch, _values(shards), text_col=text_col)
+            for batch in tb.slices(whole, t):
+                _, hit, _, _ = scan(batch, _values(shards), text_col=t)
                 yield batch.filter(pa.array(hit == 0))
 
-    return docs.mapInArrow(hits, docs.schema)
+    return rows.mapInArrow(hits, rows.schema).toDF(*docs.columns)
 
 
 def contaminated() -> Column:

@@ -80,17 +80,20 @@ def bytes_removed(texts, width=100):
     return out
 
 
-def lines_removed(texts, run=3):
+def lines_removed(texts, run=3, words=None):
     seen, out = set(), {}
     for i, t in sorted(texts, key=lambda x: x[0]):
         raw = (t or "").split("\n")
         said = [(k, x.strip(" \t\n\r\x0b\x0c")) for k, x in enumerate(raw) if x.encode().split()]
         lost = [False] * len(said)
-        for k in range(len(said) - run + 1):
-            key = tuple(x for _, x in said[k : k + run])
-            if key in seen:
-                lost[k : k + run] = [True] * run
-            seen.add(key)
+        for width in range(1, run + 1):
+            for k in range(len(said) - width + 1):
+                key = tuple(x for _, x in said[k : k + width])
+                if width < run and (words is None or sum(len(x.encode().split()) for x in key) <= words):
+                    continue
+                if key in seen:
+                    lost[k : k + width] = [True] * width
+                seen.add(key)
         drop = {said[k][0] for k in range(len(said)) if lost[k]}
         runs = sum(1 for k in range(len(said)) if lost[k] and (k == 0 or not lost[k - 1]))
         out[i] = (len(said), len(drop), runs, "\n".join(x for k, x in enumerate(raw) if k not in drop))

@@ -3,8 +3,10 @@ import random
 import numpy as np
 import pytest
 
+from spanwright.llm import textbytes as tb
 from spanwright.llm.line_dedup import line_dedup, line_dedup_rows
 from spanwright.llm.near_dedup import components, near_dedup, near_dedup_rows
+from spanwright.llm.rounds import growth, spread_join
 from spanwright.llm.substring_dedup import substring_dedup
 from spanwright.llm.suffix_dedup import suffix_dedup, suffix_order
 
@@ -32,14 +34,48 @@ def test_suffix_dedup_spreads_busy_anchors(spark):
     assert got == H.bytes_removed(texts)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_line_dedup_is_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "hot", "key_bits"), [(1, 4096, 64), (2, 4096, 64), (2, 1, 64), (1, 1, 2)])
+def test_line_dedup_is_brute_force(spark, seed, hot, key_bits):
+    """Also where every fingerprint counts as busy, and where many stretches share a key."""
     texts = H.sample(seed)
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.kept_text) for r in line_dedup(H.docs(spark, texts)).collect()}
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.kept_text) for r in line_dedup(H.docs(spark, texts), hot=hot, key_bits=key_bits).collect()}
     assert got == H.lines_removed(texts)
     assert sum(x[1] for x in got.values()) > 10
 
 
+def test_equal_keys_are_told_apart_by_their_checks(spark):
+    """With 2 bits of key, each key stands for far more than four windows."""
+    texts = H.sample(5, 40)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring_dedup(H.docs(spark, texts), key_bits=2).collect()}
+    assert got == H.words_removed(texts)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(H.docs(spark, texts), key_bits=2).collect()}
+    assert got == H.bytes_removed(texts)
+
+
+def test_located_searches_a_run_to_its_end():
+    keys, checks = np.array([3, 3, 3, 3, 3, 3, 7], np.uint64), np.array([1, 2, 3, 4, 5, 6, 1], np.uint32)
+    found = tb.located(keys, checks, np.array([3, 3, 3, 7, 9, 0], np.uint64), np.array([6, 9, 1, 1, 1, 1], np.uint32))
+    assert found.tolist() == [5, -1, 0, 6, -1, -1]
+
+
+def test_bytes_that_are_not_utf8(spark):
+    texts = spark.createDataFrame([(1, b"\xffA b\nc d\ne f"), (2, b"\xffA b\nc d\ne f")], "doc_id long, b binary").selectExpr("doc_id", "CAST(b AS string) AS text")
+    got = {r.doc_id: (r.n_removed, bytes(r.k)) for r in line_dedup(texts).selectExpr("doc_id", "n_removed", "CAST(kept_text AS binary) AS k").collect()}
+    assert got == {1: (0, b"\xffA b\nc d\ne f"), 2: (3, b"")}
+    assert substring_dedup(texts, window=2).where("n_removed = 6").count() == 1
+
+
+def test_messages_grow_with_the_input():
+    """Messages of a round a byte of input: the same from 16 GB to 4 TB, then at most in proportion to keys."""
+    def messages(size, keys_a_byte=0.25):
+        g = growth(size)
+        return size / ((4 << 20) * g) * size * keys_a_byte / ((1 << 21) * g)
+
+    rate = [messages(x) / x for x in (32 << 30, 1 << 40, 4 << 40)]
+    assert max(rate) < 1.01 * min(rate)
+    assert messages(100 << 40) < (100 << 40) * 0.25 / 10
+
+
 @pytest.mark.parametrize(("seed", "width", "percent"), [(1, 3, 85), (2, 5, 80), (3, 3, 60)])
 def test_near_dedup_is_brute_force(spark, seed, width, percent):
     texts = H.sample(seed, 90)
@@ -84,9 +120,17 @@ def test_null_ids_and_repeated_rows(spark, run):
     assert gone[9] not in ({0}, {False})
 
 
+def test_spread_join_is_a_join(spark):
+    left = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), ("c", 2), (None, 3)], "k string, v int")
+    right = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, w string")
+    for how, n in (("inner", 51), ("left", 53)):
+        out = spread_join(left, right, "k", how, parts=10)
+        assert out.count() == n == left.join(right, "k", how).count() and out.columns == ["k", "v", "w"]
+
+
 def test_filtering_forms_keep_columns(spark):
     texts = H.sample(4)
-    table = H.docs(spark, texts)
+    table = H.docs(spark, texts).withColumnsRenamed({"p": "a.b", "block": "gone"})
     for fn in (line_dedup_rows, near_dedup_rows):
         out = fn(table)
         assert out.columns == table.columns
