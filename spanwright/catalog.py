@@ -44,9 +44,19 @@ def ref_spans(spark, d):
     return S.run_length_spans(frames(spark, d))
 
 
+def guessed(spark, d) -> DataFrame:
+    """Frames with the label of the frame before, and errors taken for views: a prediction that lags and mistakes."""
+    before = F.coalesce(F.lag("label").over(Window.partitionBy("episode").orderBy("t", "event_id")), F.col("label"))
+    return frames(spark, d).withColumn("label", before).withColumn("label", F.when(F.col("label") == "error", "view").otherwise(F.col("label")))
+
+
 def pred_spans(spark, d):
-    """The reference's labels over frames of which every seventh is missing."""
-    return S.run_length_spans(frames(spark, d).where("event_id % 7 <> 0"))
+    return S.run_length_spans(guessed(spark, d))
+
+
+def coarse_spans(spans: DataFrame) -> DataFrame:
+    """The same spans under coarser labels, so that neighbours may share one."""
+    return spans.withColumn("text", F.when(F.col("text").isin("view", "click"), "Browse").when(F.col("text") == "error", "the browse").otherwise(F.col("text")))
 
 
 def r6(df: DataFrame) -> DataFrame:
@@ -64,7 +74,8 @@ _FRAMES = """frames AS (SELECT user_id AS episode, event_id, epoch_us(ts) / 1e6
   CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type IN ('signup', 'purchase') THEN 'convert' ELSE event_type END AS coarse, value, props FROM events)"""
 _EXT = "ext AS (SELECT episode, min(t) AS t0, max(t) AS t1, count(*) AS n_frames FROM frames GROUP BY episode)"
 _REF = f"WITH {_FRAMES},{rle('ref', 'frames')}"
-_BOTH = f"{_REF}, part AS (SELECT * FROM frames WHERE event_id % 7 <> 0),{rle('pred', 'part')}"
+_BOTH = f"""{_REF}, part AS (SELECT episode, t, event_id, CASE WHEN x = 'error' THEN 'view' ELSE x END AS label FROM
+  (SELECT *, coalesce(lag(label) OVER (PARTITION BY episode ORDER BY t, event_id), label) AS x FROM frames)),{rle('pred', 'part')}"""
 _PAIRS = f"""{_BOTH},
 pairs0 AS (SELECT p.episode, p.idx AS pi, p.text AS pt, r.idx AS ri, r.text AS rt, greatest(p."end", r."end") - least(p.start, r.start) AS hull,
   greatest(least(p."end", r."end") - greatest(p.start, r.start), 0) AS ov, p.start = r.start AND p."end" = r."end" AS eq FROM pred p JOIN ref r USING (episode)),
@@ -76,18 +87,19 @@ def rle_spans(spark, d):
     return r6(ref_spans(spark, d))
 
 
-@query(f"""{_REF}, {_EXT}, st AS (SELECT * FROM ref WHERE idx % 3 <> 0),
+@query(f"""{_REF}, {_EXT}, st AS (SELECT episode, idx, text, start + 3600.0 AS start FROM ref),
 n AS (SELECT episode, idx, text, start, row_number() OVER w AS k, lead(start) OVER w AS nx, t0, t1 FROM st JOIN ext USING (episode) WINDOW w AS (PARTITION BY episode ORDER BY start, idx)),
 o AS (SELECT episode, idx, text, CASE WHEN k = 1 THEN t0 ELSE start END AS start, nx, t1 FROM n)
 SELECT episode, idx, text, round(start, 6) AS start, round(greatest(coalesce(nx, t1), start), 6) AS "end" FROM o""")
 def stitched_cover(spark, d):
-    return r6(S.stitch(ref_spans(spark, d).where("idx % 3 <> 0"), S.episode_extent(frames(spark, d))))
+    late = ref_spans(spark, d).withColumn("start", F.col("start") + 3600.0)
+    return r6(S.stitch(late, S.episode_extent(frames(spark, d))))
 
 
-@query(f"""{_REF}, {_EXT}, st AS (SELECT episode, idx, text, start FROM ref WHERE idx % 2 = 0)
+@query(f"""{_REF}, {_EXT}, st AS (SELECT episode, idx, text, start FROM ref)
 SELECT episode, idx, text, round(start, 6) AS start, round(coalesce(lead(start) OVER (PARTITION BY episode ORDER BY start, idx), greatest(start, t1)), 6) AS "end" FROM st LEFT JOIN ext USING (episode)""")
 def spans_from_start_rows(spark, d):
-    return r6(S.spans_from_starts(ref_spans(spark, d).where("idx % 2 = 0").select("episode", "idx", "text", "start"), S.episode_extent(frames(spark, d))))
+    return r6(S.spans_from_starts(ref_spans(spark, d).select("episode", "idx", "text", "start"), S.episode_extent(frames(spark, d))))
 
 
 @query(f"""WITH {_FRAMES}, {rle('fine', 'frames').strip()},
@@ -128,6 +140,16 @@ def frame_accuracy(spark, d):
     return r6(M.frame_accuracy(pred_spans(spark, d), ref_spans(spark, d), points))
 
 
+@query(f"""{_BOTH}, e AS (SELECT episode, arg_min(start, idx) AS t0, arg_max("end", idx) AS t1 FROM ref GROUP BY episode),
+g AS (SELECT episode, i, t0 + (i + 0.5) * least(3600.0, t1 - t0) AS "at" FROM (SELECT *, unnest(range(0, CASE WHEN t1 > t0 THEN greatest(1, floor((t1 - t0) / 3600.0)::BIGINT) ELSE 0 END)) AS i FROM e)),
+a AS (SELECT g.episode, i, arg_min(s.text, s.idx) AS p FROM g JOIN pred s ON g.episode = s.episode AND g."at" >= s.start AND g."at" < s."end" GROUP BY ALL),
+b AS (SELECT g.episode, i, arg_min(s.text, s.idx) AS r FROM g JOIN ref s ON g.episode = s.episode AND g."at" >= s.start AND g."at" < s."end" GROUP BY ALL),
+m AS (SELECT g.episode, avg(CASE WHEN p = r THEN 1.0 ELSE 0.0 END) AS mof, count(*) AS n FROM g LEFT JOIN a USING (episode, i) LEFT JOIN b USING (episode, i) GROUP BY g.episode)
+SELECT e.episode, round(coalesce(mof, 0), 6) AS mof, coalesce(n, 0) AS n_samples FROM e LEFT JOIN m USING (episode)""")
+def mean_over_frames(spark, d):
+    return r6(M.mof(pred_spans(spark, d), ref_spans(spark, d), 3600.0))
+
+
 @query(f"""{_REF} SELECT a.episode, a.idx, round(a.start, 6) AS start,
 (SELECT string_agg(k || '. ' || text, chr(10) ORDER BY k) FROM (SELECT b.text, b.idx - a.idx + 1 AS k FROM ref b WHERE b.episode = a.episode AND b.idx >= a.idx)) AS plan FROM ref a""")
 def remaining_plan(spark, d):
@@ -164,15 +186,24 @@ def floor_uniform(spark, d):
     return out.withColumns({c: F.round(c, 1) for c in ("start", "end")})
 
 
-_WINDOWS = """n AS (SELECT episode, greatest(1, round_even((t1 - t0) / 3600.0, 0)::BIGINT) AS n FROM ext), k AS (SELECT *, ceil(n / 59.0)::BIGINT AS k FROM n),
-f AS (SELECT *, greatest(k - 2, 0) AS full_, n - greatest(k - 2, 0) * 59 AS tail FROM k), i AS (SELECT *, unnest(range(0, k)) AS idx FROM f)"""
+_WINDOWS = """n AS (SELECT *, greatest(1, round_even((t1 - t0) / 3600.0, 0)::BIGINT) AS n FROM ext WHERE t1 > t0), k AS (SELECT *, ceil(n / 59.0)::BIGINT AS k FROM n),
+f AS (SELECT *, greatest(k - 2, 0) AS full_, t0 + greatest(k - 2, 0) * 59 * 3600.0 AS from_, n - greatest(k - 2, 0) * 59 AS left_ FROM k),
+m AS (SELECT *, from_ + (t1 - from_) * floor(left_ / 2) / left_ AS middle FROM f), i AS (SELECT *, unnest(range(0, k)) AS idx FROM m)"""
+_EDGE = "CASE WHEN {0} = 0 THEN t0 WHEN {0} = k THEN t1 WHEN {0} <= full_ THEN t0 + {0} * 59 * 3600.0 ELSE middle END"
 
 
 @query(f"""WITH {_FRAMES}, {_EXT}, {_WINDOWS}
-SELECT episode, idx::BIGINT AS idx, (CASE WHEN idx <= full_ THEN idx * 59 ELSE full_ * 59 + ceil(tail / 2.0) END)::BIGINT AS first,
-  (CASE WHEN idx < full_ THEN (idx + 1) * 59 WHEN idx = full_ AND k > 1 THEN full_ * 59 + ceil(tail / 2.0) ELSE n END)::BIGINT AS last FROM i""")
+SELECT episode, idx::BIGINT AS idx, round({_EDGE.format('idx')}, 3) AS start, round({_EDGE.format('(idx + 1)')}, 3) AS "end" FROM i""")
 def generation_windows(spark, d):
-    return S.generation_windows(S.episode_extent(frames(spark, d)), 1 / 3600.0, 60)
+    out = S.generation_windows(S.episode_extent(frames(spark, d)), 1 / 3600.0, 60)
+    return out.withColumns({c: F.round(c, 3) for c in ("start", "end")})
+
+
+@query(f"""WITH {_FRAMES}, {_EXT}, k AS (SELECT *, greatest(1, ceil((t1 - t0) / 86400.0)::INT) AS k FROM ext WHERE t1 > t0)
+SELECT episode, i::BIGINT AS idx, round(t0 + (t1 - t0) * i / k, 3) AS start, round(t0 + (t1 - t0) * (i + 1) / k, 3) AS "end" FROM (SELECT *, unnest(range(0, k)) AS i FROM k)""")
+def generation_windows_of_one_frame(spark, d):
+    out = S.generation_windows(S.episode_extent(frames(spark, d)), 1 / 86400.0, 1)
+    return out.withColumns({c: F.round(c, 3) for c in ("start", "end")})
 
 
 @query(f"""WITH {_FRAMES}, {_EXT} SELECT episode, i::BIGINT AS idx, round(t0 + i * 86400.0, 6) AS start, round(least(t0 + (i + 1) * 86400.0, t1), 6) AS "end"
@@ -214,11 +245,22 @@ def segment_counts(spark, d):
     return r6(M.segment_counts(pred_spans(spark, d), ref_spans(spark, d)))
 
 
-@query(f"""{_PAIRS}, {_COUNTS}, best AS (SELECT episode, pi, iou, ri FROM (SELECT *, row_number() OVER (PARTITION BY episode, pi ORDER BY iou DESC, ri) AS k FROM pairs WHERE pt = rt) WHERE k = 1),
-t AS (SELECT episode, t, count(DISTINCT ri) AS tp FROM best, (SELECT unnest([0.10, 0.25, 0.50]) AS t) WHERE iou >= t GROUP BY ALL)
-SELECT episode, {", ".join(f"round(2.0 * coalesce((SELECT tp FROM t WHERE t.episode = n.episode AND t.t = {x}), 0) / (n_pred + n_ref), 6) AS f1_{round(x * 100)}" for x in (0.10, 0.25, 0.50))} FROM n""")
+_MERGED = f"""{_BOTH}, {", ".join(f'''
+{x}_norm AS (SELECT *, CASE WHEN text IN ('view', 'click', 'error') THEN 'browse' ELSE text END AS key FROM {x}),
+{x}_mark AS (SELECT *, CASE WHEN lag(key) OVER w = key AND lag("end") OVER w = start THEN 0 ELSE 1 END AS nw FROM {x}_norm WINDOW w AS (PARTITION BY episode ORDER BY idx)),
+{x}_r AS (SELECT *, sum(nw) OVER (PARTITION BY episode ORDER BY idx ROWS UNBOUNDED PRECEDING) AS g FROM {x}_mark),
+{x}_c AS (SELECT episode, g - 1 AS idx, min(key) AS text, arg_min(start, idx) AS start, arg_max("end", idx) AS "end" FROM {x}_r GROUP BY episode, g)''' for x in ("ref", "pred"))}"""
+
+
+@query(f"""{_MERGED}, p0 AS (SELECT p.episode, p.idx AS pi, r.idx AS ri, greatest(p."end", r."end") - least(p.start, r.start) AS hull, greatest(least(p."end", r."end") - greatest(p.start, r.start), 0) AS ov, p.start = r.start AND p."end" = r."end" AS eq FROM pred_c p JOIN ref_c r ON p.episode = r.episode AND p.text = r.text),
+best AS (SELECT episode, pi, iou, ri FROM (SELECT *, row_number() OVER (PARTITION BY episode, pi ORDER BY iou DESC, ri) AS k FROM (SELECT *, CASE WHEN hull > 0 THEN ov / hull WHEN eq THEN 1.0 ELSE 0.0 END AS iou FROM p0)) WHERE k = 1),
+t AS (SELECT episode, t, count(DISTINCT ri) AS tp FROM best, (SELECT unnest([0.10, 0.25, 0.50]) AS t) WHERE iou >= t GROUP BY ALL),
+p AS (SELECT episode, count(*) AS a FROM pred_c GROUP BY 1), r AS (SELECT episode, count(*) AS b FROM ref_c GROUP BY 1), n AS (SELECT episode, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM p FULL JOIN r USING (episode)),
+x AS (SELECT n.*, {", ".join(f"coalesce((SELECT tp FROM t WHERE t.episode = n.episode AND t.t = {x}), 0) AS tp_{round(x * 100)}" for x in (0.10, 0.25, 0.50))} FROM n)
+SELECT episode, {", ".join(f"round(coalesce(2.0 * tp_{k} / nullif(a + b, 0), 0), 6) AS f1_{k}, round(coalesce(tp_{k} / nullif(a, 0), 0), 6) AS precision_{k}, round(coalesce(tp_{k} / nullif(b, 0), 0), 6) AS recall_{k}" for k in (10, 25, 50))} FROM x""")
 def f1_at_iou(spark, d):
-    return r6(M.f1_at_iou(pred_spans(spark, d), ref_spans(spark, d)))
+    """Spans under coarse labels in several spellings, not merged before."""
+    return r6(M.f1_at_iou(coarse_spans(pred_spans(spark, d)), coarse_spans(ref_spans(spark, d))))
 
 
 @query(f"""{_PAIRS}, b AS (SELECT episode, ri AS idx, max(CASE WHEN pt = rt THEN iou ELSE -1 END) AS m FROM pairs GROUP BY ALL),
@@ -234,10 +276,21 @@ def cw_label_accuracy(spark, d):
     return r6(M.label_accuracy(pred_spans(spark, d), ref_spans(spark, d)))
 
 
-@query(f"""{_BOTH}, j AS (SELECT r.episode, r.idx, p.idx IS NOT NULL AS placed, p.start AS ps, p."end" AS pe, r.start AS rs, r."end" AS re, min(r.start) OVER e AS f, max(r."end") OVER e AS l FROM ref r LEFT JOIN pred p ON r.episode = p.episode AND r.idx = p.idx AND r.text = p.text WINDOW e AS (PARTITION BY r.episode)),
+_GREEDY = f"""{_BOTH.replace("WITH ", "WITH RECURSIVE ", 1)}, most AS (SELECT max(idx) AS n FROM ref),
+m AS (SELECT episode, (-1)::BIGINT AS idx, (-1)::BIGINT AS last, NULL::BIGINT AS p FROM (SELECT DISTINCT episode FROM ref)
+  UNION ALL SELECT episode, idx, coalesce(p, last), p FROM (SELECT m.episode, r.idx, any_value(m.last) AS last, min(q.idx) AS p FROM m JOIN ref r ON r.episode = m.episode AND r.idx = m.idx + 1 LEFT JOIN pred q ON q.episode = r.episode AND q.text = r.text AND q.idx > m.last GROUP BY m.episode, r.idx)),
+took AS (SELECT m.episode, m.idx, m.p, q.start AS ps, q."end" AS pe FROM m LEFT JOIN pred q ON q.episode = m.episode AND q.idx = m.p WHERE m.idx >= 0)"""
+
+
+@query(f"{_GREEDY} SELECT episode, idx, p AS p_idx, round(ps, 6) AS p_start, round(pe, 6) AS p_end FROM took")
+def ordered_matches(spark, d):
+    return r6(M.ordered_matches(pred_spans(spark, d), ref_spans(spark, d)))
+
+
+@query(f"""{_GREEDY}, j AS (SELECT r.episode, r.idx, t.p IS NOT NULL AS placed, ps, pe, r.start AS rs, r."end" AS re, arg_min(r.start, r.idx) OVER e AS f, arg_max(r."end", r.idx) OVER e AS l FROM ref r JOIN took t USING (episode, idx) WINDOW e AS (PARTITION BY r.episode)),
 k AS (SELECT episode, idx, placed, CASE WHEN NOT placed THEN 0.0 WHEN greatest(pe, re) - least(ps, rs) > 0 THEN greatest(least(pe, re) - greatest(ps, rs), 0) / (greatest(pe, re) - least(ps, rs)) WHEN ps = rs AND pe = re THEN 1.0 ELSE 0.0 END AS iou,
   CASE WHEN placed THEN abs(ps - rs) END AS e, greatest(abs(rs - f), abs(l - rs)) AS w FROM j)
-SELECT episode, round(avg(placed::INT), 6) AS placed_fraction, round(avg(iou), 6) AS tiou, round(avg(e) FILTER (idx > 0), 6) AS mae_placed, round(avg(coalesce(e, w)) FILTER (idx > 0), 6) AS mae, round(quantile_cont(coalesce(e, w), 0.5) FILTER (idx > 0), 6) AS median_error,
+SELECT episode, round(avg(placed::INT), 6) AS placed_fraction, round(avg(iou), 6) AS tiou, round(avg(e) FILTER (idx > 0), 6) AS mae_placed, round(avg(coalesce(e, w)) FILTER (idx > 0), 6) AS mae, round(quantile_cont(coalesce(e, w), 0.5) FILTER (idx > 0), 6) AS median_error, round(quantile_cont(coalesce(e, w), 0.9) FILTER (idx > 0), 6) AS p90_error,
   {", ".join(f"round(coalesce(avg(CASE WHEN e <= {h} THEN 1.0 ELSE 0.0 END) FILTER (idx > 0), 1.0), 6) AS hit_{h}" for h in (1, 3, 5))} FROM k GROUP BY episode""")
 def fixed_label_alignment(spark, d):
     return r6(M.fixed_label(pred_spans(spark, d), ref_spans(spark, d)))
@@ -261,24 +314,30 @@ def sequence_valid(spark, d):
 from .functions import kernels as K  # noqa: E402
 from .functions import labels as L  # noqa: E402
 
-_SEQ = f"{_REF}, seq AS (SELECT episode, list(text ORDER BY idx)[1:3] AS s, min(idx) AS i FROM ref GROUP BY episode)"
+_SEQ = "WITH seq AS (SELECT conv_id AS i, list(role ORDER BY turn) AS s, arg_min(role, turn) AS task FROM conversations GROUP BY conv_id), n AS (SELECT task, s, count(*) AS n, min(i) AS first_at FROM seq GROUP BY ALL)"
 
 
 def sequences(spark, d):
-    """The first three labels of each episode (the sequence whose mode is asked for)."""
-    return S.pack(ref_spans(spark, d)).select("episode", F.transform(F.slice("spans", 1, 3), lambda s: s["text"]).alias("labels"), F.lit("all").alias("task"), F.col("episode").alias("position"))
+    """The whole sequence of roles of each conversation; its task is the first one."""
+    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("x"))
+    return turns.select(F.col("conv_id").alias("position"), F.transform("x", lambda t: t["role"]).alias("labels"), F.col("x")[0]["role"].alias("task"))
 
 
-@query(f"""{_SEQ} SELECT 'all' AS task, s AS labels, count(*) AS n FROM seq GROUP BY s ORDER BY n DESC, s LIMIT 1""")
+@query(f"""{_SEQ} SELECT task, s AS labels, n FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n DESC, s) AS k FROM n) WHERE k = 1""")
 def modal_sequence(spark, d):
     return T.modal(sequences(spark, d).drop("position"), ["task"], "labels")
 
 
-@query(f"""{_SEQ} SELECT 'all' AS task, s AS labels, count(*) AS n, min(episode) AS first_at FROM seq GROUP BY s ORDER BY n DESC, first_at LIMIT 1""")
+@query(f"""{_SEQ} SELECT task, s AS labels, n, first_at FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n DESC, first_at) AS k FROM n) WHERE k = 1""")
 def modal_first_seen(spark, d):
     return T.modal(sequences(spark, d), ["task"], "labels", "first_at")
 
 
+@query(f"""{_SEQ} SELECT task, s AS labels, n, first_at FROM (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n DESC, len(s) DESC, first_at) AS k FROM n) WHERE k = 1""")
+def modal_longest(spark, d):
+    return T.modal(sequences(spark, d), ["task"], "labels", -F.size("labels"), "first_at")
+
+
 @query("""WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL), p AS (SELECT *, n / sum(n) OVER (PARTITION BY user_id) AS p FROM c)
 SELECT user_id, sum(n)::BIGINT AS n, count(*) AS n_distinct, round(max(p), 6) AS modal_share, round(-sum(p * ln(p)), 6) AS entropy, round(CASE WHEN sum(n) > 1 THEN -sum(p * ln(p)) / ln(sum(n)) ELSE 0 END, 6) AS entropy_norm FROM p GROUP BY user_id""")
 def label_entropy(spark, d):
@@ -482,22 +541,22 @@ from .operators import validation as V  # noqa: E402
 
 
 def language(spark, d):
-    """Conversation rows as language rows: system turns are plans, user turns subtasks or interjections, assistant turns vqa or speech."""
+    """Conversation rows as language rows: system turns are plans, user turns subtasks or interjections, assistant turns vqa (the text as a label, the turn as a count) or speech."""
     style = F.when(F.col("role") == "system", "plan").when(F.col("role") == "user", F.when(F.col("turn") % 4 == 0, "subtask").otherwise("interjection")).when(F.col("turn") % 4 == 1, "vqa")
-    return table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t"), "role", F.substring("text", 1, 20).alias("content"), style.alias("style"), F.lit(None).cast("string").alias("camera"), F.col("turn").alias("position"))
+    return table(spark, d, "conversations").withColumn("_style", style).select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t"), "role", F.when(F.col("_style") == "vqa", F.to_json(F.struct(F.col("text").alias("label"), F.col("turn").alias("count")))).otherwise(F.col("text")).alias("content"), F.col("_style").alias("style"), F.lit(None).cast("string").alias("camera"), F.col("turn").alias("position"))
 
 
-_LANG = """lang AS (SELECT conv_id AS episode, turn::DOUBLE AS t, role, substr(text, 1, 20) AS content, turn AS position,
-  CASE WHEN role = 'system' THEN 'plan' WHEN role = 'user' THEN CASE WHEN turn % 4 = 0 THEN 'subtask' ELSE 'interjection' END WHEN turn % 4 = 1 THEN 'vqa' END AS style FROM conversations)"""
+_LANG = """lang AS (SELECT episode, t, role, CASE WHEN style = 'vqa' THEN json_object('label', text, 'count', position)::VARCHAR ELSE text END AS content, position, style FROM (SELECT conv_id AS episode, turn::DOUBLE AS t, role, text, turn AS position,
+  CASE WHEN role = 'system' THEN 'plan' WHEN role = 'user' THEN CASE WHEN turn % 4 = 0 THEN 'subtask' ELSE 'interjection' END WHEN turn % 4 = 1 THEN 'vqa' END AS style FROM conversations))"""
 _STYLE = "CASE WHEN style IS NULL OR style IN ('interjection', 'vqa') THEN 'events' WHEN style IN ('subtask', 'plan', 'memory', 'task_aug') THEN 'persistent' END"
 
 
 def turn_frames(spark, d):
-    return table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t")).where("t % 3 <> 2")
+    return table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), F.col("turn").cast("double").alias("t"))
 
 
 @query(f"""WITH {_LANG}, p AS (SELECT episode, string_agg(style || ':' || content, '|' ORDER BY t, style, role, position) AS s, count(*) AS n FROM lang WHERE {_STYLE} = 'persistent' GROUP BY episode),
-f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)
+f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations)
 SELECT f.episode, f.t, coalesce(n, 0) AS n_persistent, coalesce(s, '') AS persistent FROM f LEFT JOIN p USING (episode)""")
 def persistent_broadcast(spark, d):
     out = G.language_columns(turn_frames(spark, d), language(spark, d))
@@ -506,7 +565,7 @@ def persistent_broadcast(spark, d):
 
 
 @query(f"""WITH {_LANG}, e AS (SELECT episode, t, string_agg(coalesce(style, 'speech') || ':' || content, '|' ORDER BY coalesce(style, ''), coalesce(role, ''), position) AS s, count(*) AS n FROM lang WHERE {_STYLE} = 'events' GROUP BY ALL),
-f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)
+f AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations)
 SELECT f.episode, f.t, coalesce(n, 0) AS n_events, coalesce(s, '') AS events FROM f LEFT JOIN e USING (episode, t)""")
 def event_bucket(spark, d):
     out = G.language_columns(turn_frames(spark, d), language(spark, d))
@@ -515,12 +574,12 @@ def event_bucket(spark, d):
 
 
 @query(f"""WITH {_LANG}, s AS (SELECT episode, row_number() OVER (PARTITION BY episode ORDER BY t, role, position) - 1 AS idx, content AS text, t AS start FROM lang WHERE style = 'subtask'),
-f AS (SELECT DISTINCT conv_id AS episode FROM conversations WHERE turn % 3 <> 2) SELECT s.episode, idx::BIGINT AS idx, text, start FROM s JOIN f USING (episode)""")
+f AS (SELECT DISTINCT conv_id AS episode FROM conversations) SELECT s.episode, idx::BIGINT AS idx, text, start FROM s JOIN f USING (episode)""")
 def subtask_readback(spark, d):
     return G.subtask_rows(G.language_columns(turn_frames(spark, d), language(spark, d)))
 
 
-_F3 = "f3 AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations WHERE turn % 3 <> 2)"
+_F3 = "f3 AS (SELECT conv_id AS episode, turn::DOUBLE AS t FROM conversations)"
 _VIOLATIONS = f"""WITH {_LANG}, {_F3}, v AS (
 SELECT episode, 'routing' AS "check" FROM lang WHERE {_STYLE} IS NULL
 UNION ALL SELECT episode, 'off_frame' FROM lang l WHERE {_STYLE} = 'events' AND NOT EXISTS (SELECT 1 FROM f3 WHERE f3.episode = l.episode AND f3.t = l.t)
@@ -646,9 +705,10 @@ def _kernel(df: DataFrame, fn, schema: str) -> DataFrame:
 
 @query()
 def boundary_f1(spark, d):
+    """Internal boundaries at five tolerances, in hours."""
     starts = lambda spans: [s["start"] for s in (spans or [])[1:]]
-    fn = lambda r: (r["episode"], *(x for tol in (60.0, 3600.0) for x in K.boundary_f1(starts(r["pred"]), starts(r["ref"]), tol)))
-    return _kernel(packed(spark, d), fn, "episode long, p_1m double, r_1m double, f1_1m double, p_1h double, r_1h double, f1_1h double")
+    fn = lambda r: (r["episode"], *(x for tol in (0.5, 1.0, 2.0, 3.0, 5.0) for x in K.boundary_f1(starts(r["pred"]), starts(r["ref"]), tol * 3600)))
+    return _kernel(packed(spark, d), fn, "episode long, " + ", ".join(f"{x}_{tag} double" for tag in ("0p5", "1", "2", "3", "5") for x in ("precision", "recall", "f1")))
 
 
 @query()

@@ -5,21 +5,21 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Dropped articles, and the opposed words of which a label pair may hold only one side.
+# Dropped articles, and groups of opposed words, each word with its side.
 ARTICLES = ("the", "a", "an")
 CONTRASTS = (
-    (("open",), ("close", "shut")),
-    (("left",), ("right",)),
-    (("up", "raise", "lift"), ("down", "lower")),
-    (("pick", "grasp", "grab"), ("place", "release", "put")),
-    (("push",), ("pull",)),
-    (("on",), ("off",)),
-    (("in", "insert"), ("out", "remove")),
-    (("first",), ("second",)),
+    {"left": "L", "leftmost": "L", "right": "R", "rightmost": "R"},
+    {"open": "O", "opens": "O", "opening": "O", "opened": "O", "close": "C", "closes": "C", "closing": "C", "closed": "C", "shut": "C"},
+    {"up": "U", "upward": "U", "upwards": "U", "down": "D", "downward": "D", "downwards": "D"},
+    {"in": "I", "into": "I", "inside": "I", "on": "N", "onto": "N", "atop": "N"},
+    {"push": "P", "pushes": "P", "pushing": "P", "pull": "L", "pulls": "L", "pulling": "L"},
+    {"first": "1", "second": "2", "third": "3", "fourth": "4"},
+    {"top": "T", "bottom": "B", "upper": "T", "lower": "B"},
+    {"front": "F", "back": "K", "rear": "K"},
 )
 
 
@@ -51,13 +51,100 @@ def contrast_conflict(a: Column, b: Column) -> Column:
     """Whether some group of opposed words has exactly one side in each label, and not the same."""
     x, y = token_set(a), token_set(b)
     out = F.lit(False)
-    for one, other in CONTRASTS:
-        has = lambda t, words: F.arrays_overlap(t, F.array(*[F.lit(w) for w in words]))
-        x1, x2, y1, y2 = has(x, one), has(x, other), has(y, one), has(y, other)
-        out = out | ((x1 != x2) & (y1 != y2) & (x1 != y1))
+    for group in CONTRASTS:
+        side = F.create_map(*[F.lit(v) for pair in group.items() for v in pair])
+        sides = lambda t: F.array_distinct(F.filter(F.transform(t, lambda w: F.try_element_at(side, w)), lambda v: v.isNotNull()))  # noqa: E731, B023
+        p, q = sides(x), sides(y)
+        out = out | ((F.size(p) == 1) & (F.size(q) == 1) & (F.get(p, F.lit(0)) != F.get(q, F.lit(0))))
     return out
 
 
+class Exact:
+    """Labels are the same when their normal forms are."""
+
+    name = "exact"
+
+    def prepare(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        """pairs with whatever similarity() needs of the label columns a and b."""
+        return pairs
+
+    def similarity(self, a: str, b: str) -> Column:
+        return F.when(normalise_label(F.col(a)) == normalise_label(F.col(b)), 1.0).otherwise(0.0)
+
+    def equivalent(self, a: str, b: str) -> Column:
+        return self.similarity(a, b) >= 1.0
+
+
+class TokenF1(Exact):
+    """F1 of the words; a diagnostic, as opposites share most of their words."""
+
+    name = "token_f1"
+
+    def __init__(self, threshold: float = 0.8):
+        self.threshold = threshold
+
+    def similarity(self, a: str, b: str) -> Column:
+        return token_f1(F.col(a), F.col(b))
+
+    def equivalent(self, a: str, b: str) -> Column:
+        return self.similarity(a, b) >= self.threshold
+
+
+class Embedding(Exact):
+    """Cosine of label vectors, 0 where the labels take different sides of a contrast.
+
+    vectors has one row a normal form: (label, vector). It is looked up twice; a vocabulary of at
+    most broadcast_rows labels is broadcast. A label without a vector is similar to nothing.
+    """
+
+    name = "embedding"
+
+    def __init__(self, vectors: DataFrame, threshold: float = 0.93, guard: bool = True, broadcast_rows: int = 100_000):
+        self.vectors, self.threshold, self.guard = vectors.select("label", "vector"), threshold, guard
+        self.small = vectors.count() <= broadcast_rows
+
+    def prepare(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        for c in (a, b):
+            v = self.vectors.select(F.col("label").alias(f"{c}__key"), F.col("vector").alias(f"{c}__vector"))
+            pairs = pairs.withColumn(f"{c}__key", normalise_label(F.col(c))).join(F.broadcast(v) if self.small else v, f"{c}__key", "left").drop(f"{c}__key")
+        return pairs
+
+    def similarity(self, a: str, b: str) -> Column:
+        near = F.when(F.col(f"{a}__vector").isNull() | F.col(f"{b}__vector").isNull(), 0.0).otherwise(cosine(F.col(f"{a}__vector"), F.col(f"{b}__vector")))
+        return F.when(contrast_conflict(F.col(a), F.col(b)), 0.0).otherwise(near) if self.guard else near
+
+    def equivalent(self, a: str, b: str) -> Column:
+        return self.similarity(a, b) >= self.threshold
+
+
+class Judged(Exact):
+    """Verdicts that were given before, by the order-independent id of the pair; equal normal forms need none.
+
+    cache has one row a pair: (pair, verdict). A pair without a verdict is taken as different; misses() lists them.
+    """
+
+    name = "judge"
+
+    def __init__(self, cache: DataFrame):
+        self.cache = cache.select("pair", "verdict").dropDuplicates(["pair"])
+
+    def prepare(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        return pairs.withColumn("pair", pair_id(F.col(a), F.col(b))).join(self.cache, "pair", "left").withColumnsRenamed({"pair": f"{a}__pair", "verdict": f"{a}__verdict"})
+
+    def similarity(self, a: str, b: str) -> Column:
+        same = normalise_label(F.col(a)) == normalise_label(F.col(b))
+        return F.when(same, 1.0).when(contrast_conflict(F.col(a), F.col(b)), 0.0).otherwise(F.when(F.coalesce(f"{a}__verdict", F.lit(False)), 1.0).otherwise(0.0))
+
+    def misses(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        """(pair, left, right) of label pairs that neither equality nor the guard nor the cache decides, each once."""
+        x, y = normalise_label(F.col(a)), normalise_label(F.col(b))
+        rows = pairs.where((x != y) & ~contrast_conflict(F.col(a), F.col(b))).select(pair_id(F.col(a), F.col(b)).alias("pair"), F.least(x, y).alias("left"), F.greatest(x, y).alias("right"))
+        return rows.dropDuplicates(["pair"]).join(self.cache, "pair", "left_anti")
+
+
+EXACT = Exact()
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity held in [0, 1]."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

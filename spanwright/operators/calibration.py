@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,25 +38,77 @@ def cumulative_prior(ref: DataFrame, extent: DataFrame) -> DataFrame:
     return f.select("idx", (F.sum("fraction").over(Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)) / total).alias("cumulative"))
 
 
-def leave_one_out(errors: DataFrame, weights: tuple[float, ...] = (0.0, 0.25, 0.5, 1.0, 2.0, 4.0)) -> DataFrame:
-    """Mean absolute error of each shrinkage weight when an episode is corrected by the others' offsets.
+def leave_one_out(pred: DataFrame, ref: DataFrame, cohort: DataFrame, seeds: int = 200) -> DataFrame:
+    """(cohort, n_episodes, weight, held_out, bare) of episodes (episode, cohort): the duration weight that does best on episodes left out.
 
-    The correction is weight times the mean of the other episodes' errors at that boundary,
-    from group sums less the row's own, so no refit per episode runs.
+    Episodes whose prediction can't be fitted (seed_reason) don't take part. A cohort has one number of
+    segments and some ten seeds, which one task takes; of more than `seeds`, it is an error.
     """
-    w = Window.partitionBy("idx")
-    rows = errors.withColumn("others", F.try_divide(F.sum("e").over(w) - F.col("e"), F.count("*").over(w) - 1)).where("others IS NOT NULL")
-    tried = rows.select("episode", "e", "others", F.explode(F.array(*[F.lit(x) for x in weights])).alias("weight"))
-    per = tried.groupBy("weight", "episode").agg(F.avg(F.abs(F.col("e") - F.col("weight") * F.col("others"))).alias("m"))
-    return per.groupBy("weight").agg(F.avg("m").alias("mae"), F.count("*").alias("n_episodes"))
+    import pyarrow as pa
 
+    from ..functions.kernels import duration_weight
+    from .eligibility import seed_reason
+    from .spans import pack
 
-def best_weight(scores: DataFrame) -> DataFrame:
-    """The weight of least error, the smaller of equals; 1 where fewer than three episodes were scored."""
-    best = scores.agg(F.min(F.struct("mae", "weight")).alias("b"), F.max("n_episodes").alias("n"))
-    return best.select(F.when(F.coalesce(F.col("n"), F.lit(0)) < 3, 1.0).otherwise(F.col("b.weight")).alias("weight"), F.col("b.mae").alias("mae"))
+    usable = seed_reason(pred, ref).where("reason IS NULL").select("episode")
+    rows = pack(pred, "p").join(pack(ref, "r"), "episode").join(usable, "episode", "left_semi").join(cohort.select("episode", "cohort"), "episode")
+
+    def run(table: pa.Table) -> pa.Table:
+        if table.num_rows > seeds:
+            raise ValueError(f"cohort {table['cohort'][0].as_py()} has more than {seeds} seeds")
+        spans = lambda c: [[(s["start"], s["end"], s["text"]) for s in x] for x in table[c].to_pylist()]
+        order = np.argsort(np.array(table["episode"].to_pylist()), kind="stable").tolist()
+        p, r = spans("p"), spans("r")
+        if len({len(x) for x in r}) > 1:
+            raise ValueError("a positional calibration requires one segment count")
+        w, held, bare = duration_weight([(p[i], r[i]) for i in order])
+        return pa.table({"cohort": [table["cohort"][0].as_py()], "n_episodes": pa.array([table.num_rows], pa.int64()), "weight": [w], "held_out": [held], "bare": [bare]})
+
+    kind = dict(cohort.dtypes)["cohort"]
+    return rows.groupBy("cohort").applyInArrow(run, f"cohort {kind}, n_episodes long, weight double, held_out double, bare double")
 
 
 def accept(first_mae: Column, gain: Column, least_mae: float = 1.5, least_gain: float = 3.0) -> Column:
     """The reason a fit is refused, or null: too little bias at the first boundary, or too little held-out gain."""
     return F.when(first_mae < least_mae, "first boundary error below limit").when(gain < least_gain, "held-out gain below limit")
+
+
+def count_positions(ref: DataFrame, least: int = 3) -> DataFrame:
+    """(n_segments, i, position): median relative boundary i of the episodes of a number of segments (at least `least`), made non-decreasing and at most 1."""
+    rel = relative_boundaries(ref)
+    own = rel.groupBy("n_segments", "i").agg(F.count("*").alias("n"), F.median("x").alias("m")).where(F.col("n") >= least)
+    w = Window.partitionBy("n_segments").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    return own.select("n_segments", "i", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.max("m").over(w))).alias("position"))
+
+
+def relative_boundaries(ref: DataFrame) -> DataFrame:
+    """(episode, n_segments, i, x): internal starts over the spans' own extent, i from 1."""
+    w = Window.partitionBy("episode")
+    rows = ref.withColumns({"_t0": F.min_by("start", "idx").over(w), "_t1": F.max_by("end", "idx").over(w), "n_segments": F.count("*").over(w), "i": F.row_number().over(w.orderBy("idx")) - 1})
+    return rows.where("i > 0 AND _t1 > _t0").select("episode", "n_segments", "i", ((F.col("start") - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))).alias("x"))
+
+
+def progress_curve(ref: DataFrame) -> DataFrame:
+    """(x, y): fraction of segments done to fraction of the episode, medians of all episodes' boundaries, never falling, with both ends."""
+    knots = relative_boundaries(ref).groupBy(F.round(F.col("i") / F.col("n_segments"), 9).alias("x")).agg(F.median("x").alias("m"))
+    ends = knots.sparkSession.sql("SELECT * FROM VALUES (0D, 0D), (1D, 1D) AS t(x, m)")
+    # one row a fraction: as many as there are pairs of small numbers
+    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    return knots.where("x > 0 AND x < 1").unionByName(ends).select("x", F.least(F.lit(1.0), F.max("m").over(w)).alias("y"))
+
+
+def route(episodes: DataFrame, fits: DataFrame) -> DataFrame:
+    """Episodes (task, n_segments, arm, ...) with the fit of their task, count and arm, or the arm's uncalibrated counterpart and a reason.
+
+    fits: (task, n_segments, arm, fit), one row each.
+    """
+    out = episodes.join(fits, ["task", "n_segments", "arm"], "left")
+    return out.withColumn("route", F.when(F.col("fit").isNull(), F.col("counterpart")).otherwise(F.col("arm"))).withColumn("reason", F.when(F.col("fit").isNull(), "no fit for task and count"))
+
+
+def runtime_reason(configured: Column, n_placed: Column, scope: Column, exact_needed: Column, labels: Column, want: Column, n_segments: Column) -> Column:
+    """Why a calibration isn't applied to an episode, in order, or 'applied'."""
+    return (
+        F.when(~configured, "not_configured").when(n_placed == 0, "empty_prediction").when(exact_needed & ((scope == "segment_count") | (F.size(want) == 0)), "generated_requires_exact_labels")
+        .when((scope == "segment_count") & (F.size(labels) != n_segments), "segment_count_mismatch").when((scope != "segment_count") & (F.size(want) > 0) & (labels != want), "label_mismatch").otherwise("applied")
+    )

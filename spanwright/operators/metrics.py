@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spans import by_episode
+from ..functions.labels import EXACT, normalise_label
+from .spans import by_episode, collapse
 
 
 def overlap(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
@@ -31,15 +32,22 @@ def pairs(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def covering(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Duration-weighted best overlap of each reference span, the same the other way, and their harmonic mean."""
+    """Duration-weighted best overlap of each reference span, the same the other way, and their harmonic mean.
+
+    Where the covered side has no duration: 1 if the other side is empty, else 0.
+    """
 
     def one(a, b, name):
         best = pairs(b, a).groupBy("episode", "r_idx").agg(F.max("iou").alias("best"))
         rows = a.join(best, (a["episode"] == best["episode"]) & (a["idx"] == best["r_idx"]), "left").select(a["episode"], (F.col("end") - F.col("start")).alias("d"), F.coalesce("best", F.lit(0.0)).alias("best"))
         total = F.sum("d")
-        return rows.groupBy("episode").agg(F.when(total > 0, F.sum(F.col("d") * F.col("best")) / total).otherwise(0.0).alias(name))
+        return rows.groupBy("episode").agg(F.when(total > 0, F.sum(F.col("d") * F.col("best")) / total).alias(name))
 
-    out = one(ref, pred, "covering").join(one(pred, ref, "covering_pred"), "episode", "full")
+    has = lambda x, name: x.groupBy("episode").agg(F.count("*").alias(name))
+    out = one(ref, pred, "covering").join(one(pred, ref, "covering_pred"), "episode", "full").join(has(pred, "_p"), "episode", "left").join(has(ref, "_r"), "episode", "left")
+    # a side without duration is covered only by nothing
+    bare = lambda other: F.when(F.col(other).isNull(), 1.0).otherwise(0.0)
+    out = out.select("episode", F.coalesce("covering", bare("_p")).alias("covering"), F.coalesce("covering_pred", bare("_r")).alias("covering_pred"))
     both = F.col("covering") + F.col("covering_pred")
     return out.select("episode", "covering", "covering_pred", F.when(both > 0, 2 * F.col("covering") * F.col("covering_pred") / both).otherwise(0.0).alias("covering_f"))
 
@@ -63,33 +71,61 @@ def segment_counts(pred: DataFrame, ref: DataFrame) -> DataFrame:
     return out.select("*", d.alias("count_error"), F.abs(d).alias("abs_count_error"), F.try_divide("n_pred", "n_ref").alias("count_ratio"), F.when(ok, F.log(F.col("n_pred") / F.col("n_ref"))).otherwise(float("nan")).alias("log_count_ratio"))
 
 
-def f1_at_iou(pred: DataFrame, ref: DataFrame, thresholds: tuple[float, ...] = (0.10, 0.25, 0.50)) -> DataFrame:
-    """F1 over labelled spans. A prediction takes its best reference of its label, the first of equals, even one
-    already claimed; only the first claim counts."""
-    best = pairs(pred, ref).where("p_text = r_text").groupBy("episode", "p_idx").agg(F.max(F.struct("iou", -F.col("r_idx"))).alias("b")).select("episode", "p_idx", F.col("b.iou").alias("iou"), (-F.col("b.col2")).alias("r_idx"))
+def labelled_pairs(pred: DataFrame, ref: DataFrame, matcher=EXACT) -> DataFrame:
+    """pairs() with `same` and `sim`: whether the matcher takes the labels as one, and how similar they are."""
+    out = matcher.prepare(pairs(pred, ref), "p_text", "r_text")
+    return out.withColumns({"same": matcher.equivalent("p_text", "r_text"), "sim": matcher.similarity("p_text", "r_text")})
+
+
+def f1_at_iou(pred: DataFrame, ref: DataFrame, thresholds: tuple[float, ...] = (0.10, 0.25, 0.50), matcher=EXACT) -> DataFrame:
+    """Precision, recall and F1 over labelled spans, touching ones of one label merged first. A prediction takes its best
+    equivalent reference, the first of equals, even one already claimed; only the first claim counts."""
+    pred, ref = (collapse(x, same_label=normalise_label) for x in (pred, ref))
+    best = labelled_pairs(pred, ref, matcher).where("same").groupBy("episode", "p_idx").agg(F.max(F.struct("iou", -F.col("r_idx"))).alias("b")).select("episode", "p_idx", F.col("b.iou").alias("iou"), (-F.col("b.col2")).alias("r_idx"))
     sizes = segment_counts(pred, ref).select("episode", "n_pred", "n_ref")
-    out = sizes
+    tag = lambda t: round(t * 100)
+    claims = best.groupBy("episode", "r_idx").agg(*[F.max((F.col("iou") >= t).cast("int")).alias(f"c{tag(t)}") for t in thresholds])
+    out = sizes.join(claims.groupBy("episode").agg(*[F.sum(f"c{tag(t)}").alias(f"tp_{tag(t)}") for t in thresholds]), "episode", "left")
+    cols = []
     for t in thresholds:
-        name = f"f1_{round(t * 100)}"
-        claim = best.where(F.col("iou") >= t).groupBy("episode", "r_idx").agg(F.min("p_idx")).groupBy("episode").agg(F.count("*").alias("tp"))
-        out = out.join(claim, "episode", "left").withColumn(name, F.coalesce(2.0 * F.col("tp"), F.lit(0.0)) / (F.col("n_pred") + F.col("n_ref"))).drop("tp")
-    return out.drop("n_pred", "n_ref")
+        tp = F.coalesce(f"tp_{tag(t)}", F.lit(0)).cast("double")
+        cols += [F.coalesce(F.try_divide(2 * tp, F.col("n_pred") + F.col("n_ref")), F.lit(0.0)).alias(f"f1_{tag(t)}"), F.coalesce(F.try_divide(tp, F.col("n_pred")), F.lit(0.0)).alias(f"precision_{tag(t)}"), F.coalesce(F.try_divide(tp, F.col("n_ref")), F.lit(0.0)).alias(f"recall_{tag(t)}")]
+    return out.select("episode", *cols)
 
 
-def dense_caption(pred: DataFrame, ref: DataFrame, thresholds: tuple[float, ...] = (0.3, 0.5, 0.7, 0.9)) -> DataFrame:
-    """Share of reference spans with an equal-labelled prediction of IoU over each threshold, and the mean of these."""
-    best = pairs(pred, ref).groupBy("episode", "r_idx").agg(*[F.max(F.when((F.col("iou") >= t) & (F.col("p_text") == F.col("r_text")), 1.0).otherwise(0.0)).alias(f"h{round(t * 10)}") for t in thresholds])
+def dense_caption(pred: DataFrame, ref: DataFrame, thresholds: tuple[float, ...] = (0.3, 0.5, 0.7, 0.9), matcher=EXACT) -> DataFrame:
+    """Mean over reference spans of the best similarity among predictions of IoU over each threshold, and the mean of these."""
+    best = labelled_pairs(pred, ref, matcher).groupBy("episode", "r_idx").agg(*[F.max(F.when(F.col("iou") >= t, F.col("sim")).otherwise(0.0)).alias(f"h{round(t * 10)}") for t in thresholds])
     rows = ref.select("episode", F.col("idx").alias("r_idx")).join(best, ["episode", "r_idx"], "left")
     cols = [F.avg(F.coalesce(f"h{round(t * 10)}", F.lit(0.0))).alias(f"recall_{round(t * 10)}") for t in thresholds]
     out = rows.groupBy("episode").agg(*cols)
     return out.withColumn("recall_mean", sum((F.col(f"recall_{round(t * 10)}") for t in thresholds), F.lit(0.0)) / len(thresholds))
 
 
-def label_accuracy(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """Share of reference time that equal-labelled predictions overlap, at most its own length a span."""
-    got = pairs(pred, ref).where("p_text = r_text").groupBy("episode", "r_idx").agg(F.sum("overlap").alias("o"))
+def label_accuracy(pred: DataFrame, ref: DataFrame, matcher=EXACT) -> DataFrame:
+    """Share of reference time that equivalent predictions overlap, at most its own length a span; 0 without duration."""
+    got = labelled_pairs(pred, ref, matcher).where("same").groupBy("episode", "r_idx").agg(F.sum("overlap").alias("o"))
     rows = ref.select("episode", F.col("idx").alias("r_idx"), (F.col("end") - F.col("start")).alias("d")).join(got, ["episode", "r_idx"], "left")
-    return rows.groupBy("episode").agg(F.try_divide(F.sum(F.least(F.coalesce("o", F.lit(0.0)), F.col("d"))), F.sum("d")).alias("label_accuracy"))
+    return rows.groupBy("episode").agg(F.coalesce(F.try_divide(F.sum(F.least(F.coalesce("o", F.lit(0.0)), F.col("d"))), F.sum("d")), F.lit(0.0)).alias("label_accuracy"))
+
+
+def mof(pred: DataFrame, ref: DataFrame, step: float = 0.1, matcher=EXACT) -> DataFrame:
+    """Share of a grid's midpoints, `step` apart over the reference's extent, where both sides say the same.
+
+    A grid has max(1, int(duration / step)) points; an uncovered point is wrong; 0 and no points without duration.
+    """
+    from .spans import label_at
+
+    extent = ref.groupBy("episode").agg(F.min_by("start", "idx").alias("t0"), F.max_by("end", "idx").alias("t1"))
+    length = F.col("t1") - F.col("t0")
+    n = F.when(length > 0, F.greatest(F.lit(1), F.floor(length / step).cast("long"))).otherwise(0)
+    grid = extent.withColumns({"_n": n, "_s": F.least(F.lit(step), length)}).where("_n > 0").select("episode", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("id"), "t0", "_s")
+    points = grid.select("episode", "id", (F.col("t0") + (F.col("id") + 0.5) * F.col("_s")).alias("at"))
+    both = label_at(points, ref).withColumnRenamed("text", "r_text").join(label_at(points, pred).select("episode", "id", F.col("text").alias("p_text")), ["episode", "id"])
+    both = matcher.prepare(both, "p_text", "r_text")
+    hit = F.coalesce(matcher.equivalent("p_text", "r_text") & F.col("p_text").isNotNull() & F.col("r_text").isNotNull(), F.lit(False))
+    share = both.groupBy("episode").agg(F.avg(hit.cast("double")).alias("mof"), F.count("*").alias("n_samples"))
+    return extent.select("episode").join(share, "episode", "left").select("episode", F.coalesce("mof", F.lit(0.0)).alias("mof"), F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
 
 
 def frame_accuracy(pred: DataFrame, ref: DataFrame, points: DataFrame) -> DataFrame:
@@ -101,23 +137,46 @@ def frame_accuracy(pred: DataFrame, ref: DataFrame, points: DataFrame) -> DataFr
     return both.groupBy("episode").agg(F.avg(F.when(F.col("p") == F.col("r"), 1.0).otherwise(0.0)).alias("mof"))
 
 
+def ordered_matches(pred: DataFrame, ref: DataFrame) -> DataFrame:
+    """(episode, idx, p_idx, p_start, p_end): each label in turn takes the first prediction of the same text after the last taken one.
+
+    A label that finds none takes nothing and moves nothing.
+    """
+    from .spans import pack
+
+    rows = pack(ref.select("episode", "idx", "text", "start", "end"), "r").join(pack(pred, "p"), "episode", "left")
+    free = lambda a, s: F.filter(F.coalesce("p", F.array().cast("array<struct<idx:bigint,text:string,start:double,end:double>>")), lambda p: (p["idx"] > a["last"]) & (p["text"] == s["text"]))
+    kind = "struct<last:bigint,out:array<struct<idx:bigint,p:struct<idx:bigint,text:string,start:double,end:double>>>>"
+
+    def step(a, s):
+        hit = F.get(free(a, s), F.lit(0))
+        return F.struct(F.coalesce(hit["idx"], a["last"]).alias("last"), F.concat(a["out"], F.array(F.struct(s["idx"].alias("idx"), hit.alias("p")))).alias("out"))
+
+    begin = F.struct(F.lit(-(1 << 62)).cast("long").alias("last"), F.array().alias("out")).cast(kind)
+    out = rows.select("episode", F.explode(F.aggregate("r", begin, step)["out"]).alias("m"))
+    return out.select("episode", F.col("m.idx").alias("idx"), F.col("m.p.idx").alias("p_idx"), F.col("m.p.start").alias("p_start"), F.col("m.p.end").alias("p_end"))
+
+
 def fixed_label(pred: DataFrame, ref: DataFrame, hits: tuple[float, ...] = (1.0, 3.0, 5.0)) -> DataFrame:
-    """Scores where both sides should carry the same ordered labels: span i of the reference meets span i.
+    """Scores where both sides should carry the same ordered labels, by ordered_matches.
 
-    A missing or differently labelled span scores IoU 0, misses every threshold
-    and counts the worst distance its reference allows.
+    A label that isn't placed scores IoU 0, misses every threshold and counts the
+    worst distance its reference allows.
     """
-    rows = ref.alias("r").join(pred.alias("p"), (F.col("r.episode") == F.col("p.episode")) & (F.col("r.idx") == F.col("p.idx")) & (F.col("r.text") == F.col("p.text")), "left")
-    first, last = F.min("r.start").over(Window.partitionBy("r.episode")), F.max("r.end").over(Window.partitionBy("r.episode"))
-    placed = F.col("p.idx").isNotNull()
+    rows = ref.join(ordered_matches(pred, ref), ["episode", "idx"])
+    whole = Window.partitionBy("episode")
+    first, last = F.min_by("start", "idx").over(whole), F.max_by("end", "idx").over(whole)
+    placed = F.col("p_idx").isNotNull()
     rows = rows.select(
-        F.col("r.episode").alias("episode"), F.col("r.idx").alias("idx"), placed.alias("placed"),
-        F.when(placed, iou(F.col("p.start"), F.col("p.end"), F.col("r.start"), F.col("r.end"))).otherwise(0.0).alias("tiou"),
-        F.when(placed, F.abs(F.col("p.start") - F.col("r.start"))).alias("error"),
-        F.greatest(F.abs(F.col("r.start") - first), F.abs(last - F.col("r.start"))).alias("worst"),
+        "episode", "idx", placed.alias("placed"),
+        F.when(placed, iou(F.col("p_start"), F.col("p_end"), F.col("start"), F.col("end"))).otherwise(0.0).alias("tiou"),
+        F.when(placed, F.abs(F.col("p_start") - F.col("start"))).alias("error"),
+        F.greatest(F.abs(F.col("start") - first), F.abs(last - F.col("start"))).alias("worst"),
+        (F.row_number().over(whole.orderBy("idx")) > 1).alias("inner"),
     )
-    inner = F.col("idx") > 0
-    aggs = [F.avg(F.col("placed").cast("double")).alias("placed_fraction"), F.avg("tiou").alias("tiou"), F.avg(F.when(inner, F.col("error"))).alias("mae_placed"), F.avg(F.when(inner, F.coalesce("error", "worst"))).alias("mae"), F.percentile(F.when(inner, F.coalesce("error", "worst")), 0.5).alias("median_error")]
+    inner = F.col("inner")
+    scored = F.when(inner, F.coalesce("error", "worst"))
+    aggs = [F.avg(F.col("placed").cast("double")).alias("placed_fraction"), F.avg("tiou").alias("tiou"), F.avg(F.when(inner, F.col("error"))).alias("mae_placed"), F.avg(scored).alias("mae"), F.percentile(scored, 0.5).alias("median_error"), F.percentile(scored, 0.9).alias("p90_error")]
     aggs += [F.coalesce(F.avg(F.when(inner, F.when(F.col("error") <= h, 1.0).otherwise(0.0))), F.lit(1.0)).alias(f"hit_{round(h)}") for h in hits]
     return rows.groupBy("episode").agg(*aggs)
 

@@ -70,3 +70,26 @@ def injective(index: DataFrame, a: str, b: str) -> DataFrame:
     pairs = index.select(a, b).distinct()
     n = F.count("*")
     return pairs.agg(n.alias("n_pairs"), (F.count_distinct(a) == n).alias("a_unique"), (F.count_distinct(b) == n).alias("b_unique"))
+
+
+def slices(rows: DataFrame, keys: list[str], order: list, ends: int, middle: int) -> DataFrame:
+    """The first `ends` (worst), the last `ends` (best) and the middle `middle` rows of each key, with a `slice` column."""
+    w = Window.partitionBy(*keys)
+    ranked = rows.withColumns({"_k": F.row_number().over(w.orderBy(*order)), "_n": F.count("*").over(w)})
+    first = F.floor((F.col("_n") + 1 - middle) / 2)
+    inside = (F.col("_k") > first) & (F.col("_k") <= first + middle) if middle > 1 else F.col("_k") == F.floor((F.col("_n") + 1) / 2)
+    return ranked.withColumn("slice", F.when(F.col("_k") <= ends, "worst").when(F.col("_k") > F.col("_n") - ends, "best").when(inside, "median")).where("slice IS NOT NULL").drop("_k", "_n")
+
+
+def seed_split(rows: DataFrame, keys: list[str], episode: str, seeds: int, evals: int) -> DataFrame:
+    """The lowest ids of each key as seeds, the next ones as evaluation, with a `split` column."""
+    k = F.row_number().over(Window.partitionBy(*keys).orderBy(episode))
+    return rows.withColumn("_k", k).where(F.col("_k") <= seeds + evals).withColumn("split", F.when(F.col("_k") <= seeds, "seed").otherwise("eval")).drop("_k")
+
+
+def length_quantiles(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
+    """The rows at ranks i / (n - 1) of each key, ends included, each once."""
+    w = Window.partitionBy(*keys)
+    ranked = rows.withColumns({"_k": F.row_number().over(w.orderBy(*order)) - 1, "_n": F.count("*").over(w)})
+    wanted = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.rint(i * (F.col("_n") - 1) / max(n - 1, 1)).cast("int"))
+    return ranked.where(F.array_contains(wanted, F.col("_k"))).drop("_k", "_n")

@@ -44,14 +44,18 @@ def stitch(spans: DataFrame, extent: DataFrame) -> DataFrame:
     return rows.select("episode", "idx", "text", start.alias("start"), F.greatest(F.coalesce("_next", "t_last"), start).alias("end"))
 
 
-def collapse(spans: DataFrame, need_touch: bool = True) -> DataFrame:
-    """Merges neighbours of one label; with need_touch only where one ends exactly where the next starts."""
+def collapse(spans: DataFrame, need_touch: bool = True, same_label=lambda x: x) -> DataFrame:
+    """Merges neighbours of one label; with need_touch only where one ends exactly where the next starts.
+
+    same_label maps a label to what is compared; the first label of a run stays.
+    """
     w = by_episode("idx")
-    same = F.lag("text").over(w).eqNullSafe(F.col("text")) & (F.row_number().over(w) > 1)
+    key = same_label(F.col("text"))
+    same = F.lag(key).over(w).eqNullSafe(key) & (F.row_number().over(w) > 1)
     if need_touch:
         same = same & (F.lag("end").over(w) == F.col("start"))
     runs = spans.withColumn("_new", F.when(same, 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = runs.groupBy("episode", "_run").agg(F.min("text").alias("text"), F.min("start").alias("start"), F.max("end").alias("end"))
+    out = runs.groupBy("episode", "_run").agg(F.min_by("text", "idx").alias("text"), F.min_by("start", "idx").alias("start"), F.max_by("end", "idx").alias("end"))
     return out.select("episode", (F.col("_run") - 1).cast("long").alias("idx"), "text", "start", "end")
 
 
@@ -131,22 +135,25 @@ def equal_split(extent: DataFrame, parts: Column) -> DataFrame:
 
 
 def generation_windows(extent: DataFrame, fps: float, budget: int) -> DataFrame:
-    """Tail-balanced windows of at most budget - 1 intervals of 1/fps s: full ones, then the last two share what is left.
+    """Tail-balanced windows (start, end) of at most budget - 1 intervals of 1/fps s.
 
-    With a budget of one frame or less the episode is one window.
+    Full windows come first; the last two share what is left, the odd interval going to
+    the later one. With a budget of one frame or less the episode is divided equally,
+    a part an interval. An episode without duration has no windows.
     """
-    cap = budget - 1
-    n = F.greatest(F.lit(1), F.rint((F.col("t_last") - F.col("t0")) * fps)).cast("long")
-    rows = extent.withColumn("_n", n)
-    if cap < 1:
-        return rows.select("episode", F.lit(0).cast("long").alias("idx"), F.lit(0).cast("long").alias("first"), F.col("_n").alias("last"))
-    k = F.ceil(F.col("_n") / cap).cast("long")
-    rows = rows.withColumn("_k", k).withColumn("_tail", F.col("_n") - F.greatest(F.col("_k") - 2, F.lit(0)) * cap)
+    cap, length = max(budget - 1, 1), F.col("t_last") - F.col("t0")
+    rows = extent.where(length > 0)
+    if budget <= 1:
+        rows = rows.withColumn("_k", F.greatest(F.lit(1), F.ceil(length * fps)).cast("long"))
+        rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)).alias("idx"))
+        return rows.select("episode", "idx", (F.col("t0") + length * F.col("idx") / F.col("_k")).alias("start"), (F.col("t0") + length * (F.col("idx") + 1) / F.col("_k")).alias("end"))
+    rows = rows.withColumn("_n", F.greatest(F.lit(1), F.rint(length * fps)).cast("long")).withColumn("_k", F.ceil(F.col("_n") / cap).cast("long"))
+    # intervals and start of the last two together
+    rows = rows.withColumn("_full", F.greatest(F.col("_k") - 2, F.lit(0))).withColumn("_from", F.col("t0") + F.col("_full") * cap / fps).withColumn("_left", F.col("_n") - F.col("_full") * cap)
+    middle = F.col("_from") + (F.col("t_last") - F.col("_from")) * F.floor(F.col("_left") / 2) / F.col("_left")
+    edge = lambda i: F.when(i == 0, F.col("t0")).when(i == F.col("_k"), F.col("t_last")).when(i <= F.col("_full"), F.col("t0") + i * cap / fps).otherwise(middle)
     rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)).alias("idx"))
-    full, half = F.greatest(F.col("_k") - 2, F.lit(0)), F.ceil(F.col("_tail") / 2).cast("long")
-    first = F.when(F.col("idx") <= full, F.col("idx") * cap).otherwise(full * cap + half)
-    last = F.when(F.col("idx") < full, (F.col("idx") + 1) * cap).when((F.col("idx") == full) & (F.col("_k") > 1), full * cap + half).otherwise(F.col("_n"))
-    return rows.select("episode", "idx", first.cast("long").alias("first"), last.cast("long").alias("last"))
+    return rows.select("episode", "idx", edge(F.col("idx")).alias("start"), edge(F.col("idx") + 1).alias("end"))
 
 
 def fixed_windows(extent: DataFrame, seconds: float) -> DataFrame:

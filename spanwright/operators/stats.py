@@ -13,10 +13,14 @@ from ..functions import kernels as K
 
 
 def modal(rows: DataFrame, keys: list[str], value: str, *ties: Column | str) -> DataFrame:
-    """The most frequent value of each key; equals are settled by the tie columns, which see value, n and first_at."""
+    """The most frequent value of each key; equals are settled by the tie columns, ascending, which see value, n and first_at.
+
+    An aggregate of aggregates: a key with any number of distinct values costs a row a task.
+    """
     counted = rows.groupBy(*keys, value).agg(F.count("*").alias("n"), *([F.min("position").alias("first_at")] if "position" in rows.columns else []))
-    w = Window.partitionBy(*keys).orderBy(F.desc("n"), *(ties or (value,)))
-    return counted.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    own = [c for c in counted.columns if c not in keys]
+    best = F.min_by(F.struct(*own), F.struct(-F.col("n"), *(ties or (F.col(value),))))
+    return counted.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in own])
 
 
 def entropy(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -89,3 +89,43 @@ def bad_times(frames: DataFrame) -> DataFrame:
 def missing_cells(observed: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """Cells of the expected matrix of two small lists that weren't observed."""
     return left.join(F.broadcast(right)).join(observed, [*left.columns, *right.columns], "left_anti")
+
+
+def split_problems(rows: DataFrame, most_seeds: int = 10) -> DataFrame:
+    """(problem, n) of splits (task, episode, role, has_truth): tasks with too many seeds, episodes named twice in a role,
+    in two tasks or in two roles, seeds without truth."""
+    seeds = rows.where("role = 'seed'")
+    found = [
+        ("too many seeds", seeds.groupBy("task").count().where(F.col("count") > most_seeds)),
+        ("repeated", rows.groupBy("task", "role", "episode").count().where("count > 1")),
+        ("shared", rows.groupBy("episode").agg(F.count_distinct("task").alias("a"), F.count_distinct("role").alias("b")).where("a > 1 OR b > 1")),
+        ("seed without truth", seeds.where(~F.coalesce("has_truth", F.lit(False))).select("task", "episode").distinct()),
+    ]
+    out = [x.agg(F.lit(name).alias("problem"), F.count("*").alias("n")) for name, x in found]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def label_problems(rows: DataFrame, label: str) -> DataFrame:
+    """Rows whose label is empty, or changes when white space at its ends is taken off."""
+    bare = F.trim(F.coalesce(label, F.lit("")))
+    return rows.withColumns({"empty": bare == "", "unstripped": ~F.col(label).eqNullSafe(bare)}).where("empty OR unstripped")
+
+
+def coverage_difference(got: DataFrame, want: DataFrame, group: str, key: str) -> DataFrame:
+    """(group, missing, unexpected) of the groups whose keys aren't exactly the wanted ones."""
+    side = lambda x, name: x.select(group, key).distinct().withColumn(name, F.lit(1))
+    both = side(got, "_g").join(side(want, "_w"), [group, key], "full")
+    return both.groupBy(group).agg(F.count_if(F.col("_g").isNull()).alias("missing"), F.count_if(F.col("_w").isNull()).alias("unexpected")).where("missing + unexpected > 0")
+
+
+def same_labels(pred: DataFrame, ref: DataFrame) -> DataFrame:
+    """(episode, same): whether the labels are the reference's, in order."""
+    labels = lambda x, n: x.groupBy("episode").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "text"))), lambda s: s["text"]).alias(n))
+    return labels(ref, "r").join(labels(pred, "p"), "episode", "left").select("episode", F.coalesce(F.col("p") == F.col("r"), F.lit(False)).alias("same"))
+
+
+def camera_problems(rows: DataFrame, known: list[str], styles: tuple[str, ...] = ("vqa", "trace")) -> DataFrame:
+    """Rows whose camera doesn't fit: view-dependent styles need a known one, the others none."""
+    dependent = F.coalesce(F.col("style").isin(*styles), F.lit(False))
+    problem = F.when(dependent & F.col("camera").isNull(), "camera missing").when(dependent & ~F.col("camera").isin(*known), "unknown camera").when(~dependent & F.col("camera").isNotNull(), "camera given")
+    return rows.withColumn("problem", problem).where("problem IS NOT NULL")

@@ -30,8 +30,8 @@ def test_runs_and_blank_runs(spark):
 
 def test_windows_balance_the_tail(spark):
     ext = spark.createDataFrame([(1, 0.0, 51.18, 1)], "episode long, t0 double, t_last double, n_frames long")
-    got = sorted((r.first, r.last) for r in S.generation_windows(ext, 2.0, 100).collect())
-    assert got == [(0, 51), (51, 102)]
+    got = sorted((r.start, r.end) for r in S.generation_windows(ext, 2.0, 100).collect())
+    assert got == [(0, 25.59), (25.59, 51.18)]  # 51 intervals each
 
 
 def test_metrics_of_equal_and_missing(spark):
@@ -135,9 +135,13 @@ def test_annotate_and_validate(spark):
     assert {r.check for r in validation.all_violations(lone, frames).collect()} == {"routing", "off_frame", "orphan_interjection", "plan_missing"}
 
 
-def test_leave_one_out_prefers_full_correction(spark):
-    errors = spark.createDataFrame([(e, 1, 0.1 + 0.001 * e) for e in range(5)], "episode long, idx long, e double")
-    assert calibration.best_weight(calibration.leave_one_out(errors)).first()["weight"] == 1.0
+def test_leave_one_out_by_cohort(spark):
+    ref = [(e, i, x, a, b) for e in range(4) for i, (x, a, b) in enumerate((("a", 0.0, 10.0 + e), ("b", 10.0 + e, 20.0), ("c", 20.0, 30.0)))]
+    pred = [(e, i, x, a, b) for e in range(4) for i, (x, a, b) in enumerate((("a", 0.0, 13.0 + e), ("b", 13.0 + e, 23.0), ("c", 23.0, 30.0)))]
+    ref, pred = ref + [(9, 0, "a", 0.0, 1.0), (9, 1, "b", 1.0, 2.0)], pred + [(9, 0, "b", 0.0, 1.0)]
+    cohort = spark.createDataFrame([(e, "x") for e in (*range(4), 9)], "episode long, cohort string")
+    row = calibration.leave_one_out(spark.createDataFrame(pred, SPANS), spark.createDataFrame(ref, SPANS), cohort).first()
+    assert (row.cohort, row.n_episodes, row.weight) == ("x", 4, 0.0) and row.held_out > 0.97 > row.bare
 
 
 def test_entry_without_llm(tmp_path):
