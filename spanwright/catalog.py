@@ -761,7 +761,7 @@ def study_scores(spark, d):
     from .plans.study import scores
 
     f = frames(spark, d)
-    return scores(f.select("episode").distinct(), pred_spans(spark, d), ref_spans(spark, d))
+    return scores(f.select("episode").distinct(), pred_spans(spark, d), ref_spans(spark, d), step=3600.0, tolerances=(1800.0, 3600.0, 7200.0, 10800.0, 18000.0))
 
 
 @query()

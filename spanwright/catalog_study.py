@@ -528,3 +528,139 @@ def camera_problems(spark, d):
 
     rows = table(spark, d, "conversations").select(F.col("conv_id").alias("episode"), "turn", F.when(F.col("role") == "assistant", "vqa").otherwise("plan").alias("style"), F.when(F.col("turn") % 3 == 0, "front").when(F.col("turn") % 3 == 1, "rear").alias("camera"))
     return op(rows, ["front", "wrist"]).select("episode", "turn", "problem")
+
+
+# ---- declarations and gates -----------------------------------------------------------------------------
+
+
+@query(f"""WITH {_FRAMES}, {_EXT}, k AS (SELECT episode, i, t0 + i * 43200.0 AS p FROM (SELECT *, unnest(range(0, floor((t1 - t0 + 1e-9) / 43200.0)::INT + 1)) AS i FROM ext)), num AS (SELECT episode, t, row_number() OVER (PARTITION BY episode ORDER BY t) - 1 AS f FROM (SELECT DISTINCT episode, t FROM frames)),
+n AS (SELECT * FROM (SELECT k.episode, f, row_number() OVER (PARTITION BY k.episode, i ORDER BY abs(t - p), t) AS r FROM k JOIN num USING (episode)) WHERE r = 1), e AS (SELECT DISTINCT episode, f + o AS f FROM n, (SELECT unnest([0, 1]) AS o))
+SELECT episode, f::INT AS frame, round(t, 6) AS t FROM e JOIN num USING (episode, f)""")
+def emission_ticks(spark, d):
+    return r6(U.emission_ticks(frames(spark, d), 1 / 43200.0, 2))
+
+
+@query(f"""{_REF}, p AS (SELECT episode, event_id AS id, t AS x FROM frames WHERE label = 'error'), l AS (SELECT p.id, string_agg(k || '. ' || text, chr(10) ORDER BY k) AS plan FROM (SELECT p.id, s.text, row_number() OVER (PARTITION BY p.id ORDER BY s.idx) AS k FROM p JOIN ref s ON s.episode = p.episode AND s."end" > p.x) p GROUP BY p.id)
+SELECT episode, id, round(x, 6) AS "at", coalesce(plan, '') AS plan FROM p LEFT JOIN l USING (id)""")
+def plan_refresh(spark, d):
+    points = frames(spark, d).where("label = 'error'").select("episode", F.col("event_id").alias("id"), F.col("t").alias("at"))
+    return r6(U.plan_at(points, ref_spans(spark, d)))
+
+
+@query(f"""{_REF}, m AS (SELECT episode, idx, start, array_to_string(list(text) OVER (PARTITION BY episode ORDER BY start, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '; ') AS memory FROM ref) SELECT episode, idx, round(start, 6) AS start, memory FROM m WHERE idx > 0""")
+def memory_chain(spark, d):
+    return r6(U.memory_chain(ref_spans(spark, d)))
+
+
+@query("""SELECT o_orderkey, s IS NULL AS ok, s AS error FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'ambiguous' WHEN CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey % 3 END = 0 THEN 'arm produced no spans for this episode' END AS s FROM orders)""")
+def row_status(spark, d):
+    k = F.col("o_orderkey")
+    s = U.row_status(F.col("o_orderstatus") != "F", F.col("o_custkey") % 3, F.when(k % 5 == 0, "ambiguous"))
+    return table(spark, d, "orders").select("o_orderkey", s.alias("s")).select("o_orderkey", "s.ok", "s.error")
+
+
+_STATUS = """x AS (SELECT o_orderkey, o_orderstatus <> 'F' AS job_ok, o_custkey % 3 AS n, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderkey % 4 = 1 END AS applied, o_custkey % 2 = 0 AS configured FROM orders),
+w AS (SELECT *, CASE WHEN coalesce(applied, false) AND NOT configured THEN 'calibration applied without a calibration file' WHEN job_ok AND n > 0 AND applied IS NULL AND configured THEN 'calibrated output has no runtime decision' END AS wrong FROM x)"""
+
+
+@query(f"""WITH {_STATUS} SELECT o_orderkey, CASE WHEN wrong IS NOT NULL THEN NULL WHEN NOT job_ok OR n = 0 THEN false ELSE coalesce(applied, false) END AS applied,
+CASE WHEN wrong IS NOT NULL THEN 'error: ' || wrong WHEN NOT job_ok THEN 'job_failed' WHEN n = 0 THEN 'no_output' WHEN applied IS NOT NULL THEN 'said' ELSE 'not_configured' END AS reason,
+CASE WHEN wrong IS NOT NULL THEN 'error' WHEN NOT job_ok OR n = 0 THEN 'delivery' WHEN applied IS NOT NULL THEN 'runtime' ELSE 'configuration' END AS source FROM w""")
+def calibration_status(spark, d):
+    k = F.col("o_orderkey") % 4
+    s = U.calibration_status(F.col("o_orderstatus") != "F", F.col("o_custkey") % 3, F.when(k != 0, k == 1), F.lit("said"), F.col("o_custkey") % 2 == 0)
+    return table(spark, d, "orders").select("o_orderkey", s.alias("s")).select("o_orderkey", "s.applied", "s.reason", "s.source")
+
+
+@query("""SELECT n_nationkey, CASE n_nationkey % 5 WHEN 0 THEN 'declared' WHEN 1 THEN 'standalone' WHEN 2 THEN 'standalone' WHEN 3 THEN 'undeclared' ELSE 'inferred' END AS kind, CASE n_nationkey % 5 WHEN 0 THEN n_name WHEN 4 THEN 'base__' || n_name || '__wrist' END AS baseline FROM nation""")
+def baseline_expectation(spark, d):
+    k = F.col("n_nationkey") % 5
+    e = U.baseline_expectation(F.when(k == 0, F.col("n_name")).when(k == 1, " None "), k < 2, F.when(k == 2, "base"), F.when(k != 3, F.col("n_name")), F.lit("wrist"), "base")
+    return table(spark, d, "nation").select("n_nationkey", e.alias("e")).select("n_nationkey", "e.kind", "e.baseline")
+
+
+@query("""WITH a AS (SELECT n_name AS arm, CASE n_nationkey % 3 WHEN 0 THEN n_name WHEN 1 THEN 'NOWHERE' WHEN 2 THEN 'FRANCE' END AS b FROM nation) SELECT arm, CASE WHEN arm = b THEN 'paired with itself' ELSE 'baseline missing' END AS problem FROM a WHERE arm = b OR b NOT IN (SELECT arm FROM a)""")
+def pairing_problems(spark, d):
+    k = F.col("n_nationkey") % 3
+    return U.pairing_problems(table(spark, d, "nation").select(F.col("n_name").alias("arm"), F.when(k == 0, F.col("n_name")).when(k == 1, "NOWHERE").otherwise("FRANCE").alias("baseline")))
+
+
+@query("""WITH m AS (SELECT n_name AS arm, CASE WHEN n_nationkey % 7 = 0 THEN '' ELSE 's' || n_nationkey % 2 END AS sup, CASE WHEN n_nationkey % 6 = 1 THEN 'reference' ELSE 'tool' END AS tool, n_nationkey % 8 = 3 AS q, CASE WHEN n_nationkey % 9 = 4 THEN false END AS eq FROM nation),
+c AS (SELECT a.n_name AS a, b.n_name AS b FROM nation a JOIN nation b ON b.n_nationkey = (a.n_nationkey + 5) % 25),
+j AS (SELECT c.a, c.b, x.sup AS sa, y.sup AS sb, x.tool = 'reference' OR y.tool = 'reference' AS ref, CASE WHEN x.sup = '' THEN 'missing metadata: ' || c.a WHEN x.q THEN 'quarantined: ' || c.a WHEN x.eq = false THEN 'not equalised: ' || c.a END AS ra, CASE WHEN y.sup = '' THEN 'missing metadata: ' || c.b WHEN y.q THEN 'quarantined: ' || c.b WHEN y.eq = false THEN 'not equalised: ' || c.b END AS rb FROM c JOIN m x ON x.arm = c.a JOIN m y ON y.arm = c.b),
+r AS (SELECT *, coalesce(ra, rb, CASE WHEN sa <> sb AND NOT ref THEN 'supervision mismatch: ' || sa || ' / ' || sb END) AS refusal FROM j)
+SELECT a, b, refusal, CASE WHEN refusal IS NULL AND sa <> sb THEN 'supervision asymmetry: ' || sa || ' / ' || sb END AS note FROM r""")
+def contrast_policy(spark, d):
+    k, n = F.col("n_nationkey"), table(spark, d, "nation")
+    arms = n.select(F.col("n_name").alias("arm"), F.when(k % 7 == 0, "").otherwise(F.concat(F.lit("s"), (k % 2).cast("string"))).alias("supervision"), F.when(k % 6 == 1, "reference").otherwise("tool").alias("tool"), (k % 8 == 3).alias("quarantined"), F.when(k % 9 == 4, False).alias("equalised"))
+    pairs = n.select(F.col("n_name").alias("a"), ((k + 5) % 25).alias("k")).join(n.select(F.col("n_name").alias("b"), k.alias("k")), "k").select("a", "b")
+    return U.contrast_policy(pairs, arms, allow_reference=True)
+
+
+@query(f"WITH {_ROWS}, r AS (SELECT coalesce(avg((NOT ok)::INT) FILTER (arm = '1-URGENT'), 0) AS x, coalesce(avg((NOT ok)::INT) FILTER (arm = '5-LOW'), 0) AS y FROM rows_) SELECT round(x, 6) AS arm_failed, round(y, 6) AS baseline_failed, round(abs(x - y), 6) AS gap, greatest(x, y) > 0.2 OR abs(x - y) > 0.1 AS blocked FROM r")
+def attrition_gate(spark, d):
+    return r6(U.attrition_gate(score_rows(spark, d), "1-URGENT", "5-LOW"))
+
+
+@query("""WITH c AS (SELECT c_nationkey % 3 AS profile, c_mktsegment AS segment, c_nationkey, o_orderstatus AS st, avg(o_totalprice) AS v FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL), d AS (SELECT x.segment, x.st, x.profile, x.v - y.v AS d FROM c x JOIN c y USING (segment, c_nationkey, profile) WHERE y.st = 'F' AND x.st <> 'F')
+SELECT profile, segment, st AS status, count(*) AS n, round(avg(d), 3) AS delta, count(*) FILTER (d > 0) AS wins, count(*) FILTER (d < 0) AS losses FROM d GROUP BY ALL""")
+def factorial_contrasts(spark, d):
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.select((F.col("c_nationkey") % 3).alias("profile"), F.col("c_mktsegment").alias("segment"), F.col("o_orderstatus").alias("status"), "c_nationkey", "o_totalprice")
+    out = U.factorial_contrasts(rows, ["profile", "segment", "status"], "status", "F", ["c_nationkey"], "o_totalprice")
+    return out.withColumn("delta", F.round("delta", 3))
+
+
+@query("""WITH p AS (SELECT o_custkey % 10 AS component, o_orderkey % 100 AS local, count(*) AS n FROM orders GROUP BY ALL), i AS (SELECT DISTINCT c_custkey % 10 AS component, c_custkey % 90 AS local, (c_custkey % 10) * 1000 + c_custkey % 90 AS original FROM customer)
+SELECT original, n FROM p JOIN i USING (component, local)""")
+def merged_predictions(spark, d):
+    parts = table(spark, d, "orders").groupBy((F.col("o_custkey") % 10).alias("component"), (F.col("o_orderkey") % 100).alias("local")).agg(F.count("*").alias("n"))
+    c = F.col("c_custkey")
+    index = table(spark, d, "customer").select((c % 10).alias("component"), (c % 90).alias("local"), (c % 10 * 1000 + c % 90).alias("original")).distinct()
+    return U.merge_predictions(parts, index)[0].select("original", "n")
+
+
+@query(f"""WITH l AS (SELECT DISTINCT p_brand AS ds, p_type AS label FROM part), o AS (SELECT label, count(*) AS n FROM l GROUP BY 1),
+p AS (SELECT label AS "left", label AS "right" FROM o WHERE n > 1 UNION ALL SELECT label, label || '.' FROM o UNION ALL SELECT label, replace(label, ' the ', ' ') FROM o),
+g AS (SELECT x.label AS "left", y.label AS "right" FROM l x JOIN l y ON x.ds = y.ds AND x.label < y.label UNION ALL SELECT 'open', 'close')
+SELECT "left", "right", true AS positive FROM p UNION ALL SELECT "left", "right", false FROM g WHERE {_NORM.format('"left"')} <> {_NORM.format('"right"')}""")
+def matcher_pairs(spark, d):
+    antonyms = spark.createDataFrame([("open", "close")], "left string, right string")
+    return U.matcher_pairs(table(spark, d, "part").select(F.col("p_brand").alias("dataset"), F.col("p_type").alias("label")), antonyms)
+
+
+@query("""SELECT p_partkey, p_retailprice FROM part WHERE p_size % 3 <> 0 AND p_retailprice >= 100 ORDER BY p_retailprice DESC, p_partkey LIMIT 15""")
+def worst_false_positives(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", "p_retailprice", (F.col("p_size") % 3 == 0).alias("same"))
+    return U.worst_false_positives(rows, "p_retailprice", "same", 100.0).select("p_partkey", "p_retailprice")
+
+
+_COHORT_X = "x AS (SELECT c_mktsegment AS cohort, c_custkey AS episode, i, ((c_custkey * i * 37) % 101) / 101.0 AS x, c_custkey % 4 = 0 AS seed FROM customer, (SELECT unnest([1, 2, 3]) AS i))"
+
+
+@query(f"""WITH {_COHORT_X}, p AS (SELECT cohort, i, median(x) AS prior FROM x WHERE seed GROUP BY ALL), t AS (SELECT cohort, i, median(x) AS mid FROM x WHERE NOT seed GROUP BY ALL),
+o AS (SELECT cohort, count(DISTINCT episode) AS n_eval, avg(abs(x - prior)) AS pe, avg(abs(x - mid)) AS dp FROM x JOIN p USING (cohort, i) JOIN t USING (cohort, i) WHERE NOT seed GROUP BY 1), s AS (SELECT cohort, avg(abs(prior - mid)) AS ms FROM p JOIN t USING (cohort, i) GROUP BY 1), z AS (SELECT cohort, count(DISTINCT episode) AS n_seeds FROM x WHERE seed GROUP BY 1)
+SELECT cohort, n_eval, round(pe, 6) AS prior_error, round(dp, 6) AS dispersion, round(ms, 6) AS median_shift, n_seeds FROM o JOIN s USING (cohort) JOIN z USING (cohort)""")
+def cohort_diagnostics(spark, d):
+    c = F.col("c_custkey")
+    x = table(spark, d, "customer").select(F.col("c_mktsegment").alias("cohort"), c.alias("episode"), F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("i")).withColumn("x", (F.col("episode") * F.col("i") * 37) % 101 / 101.0)
+    return r6(U.cohort_diagnostics(x.where("episode % 4 = 0"), x.where("episode % 4 <> 0")))
+
+
+@query("""WITH e AS (SELECT c_nationkey % 5 AS task, c_nationkey % 3 AS n_segments, c_mktsegment AS arm, c_custkey AS episode FROM customer), f AS (SELECT DISTINCT task, n_segments, arm FROM e WHERE task <> 2)
+SELECT episode, CASE WHEN f.task IS NULL THEN 'plain' ELSE e.arm END AS route, CASE WHEN f.task IS NULL THEN 'no fit for task and count' END AS reason FROM e LEFT JOIN f USING (task, n_segments, arm)""")
+def calibration_route(spark, d):
+    from .operators.calibration import route
+
+    e = table(spark, d, "customer").select((F.col("c_nationkey") % 5).alias("task"), (F.col("c_nationkey") % 3).alias("n_segments"), F.col("c_mktsegment").alias("arm"), F.col("c_custkey").alias("episode"), F.lit("plain").alias("counterpart"))
+    fits = e.where("task <> 2").select("task", "n_segments", "arm").distinct().withColumn("fit", F.lit("fit"))
+    return route(e, fits).select("episode", "route", "reason")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'not_configured' WHEN o_custkey % 5 = 0 THEN 'empty_prediction' WHEN o_orderkey % 3 = 0 AND o_custkey % 2 = 0 THEN 'generated_requires_exact_labels' WHEN o_custkey % 2 = 0 AND 2 <> o_orderkey % 4 THEN 'segment_count_mismatch' WHEN o_custkey % 2 = 1 AND o_orderstatus <> 'F' THEN 'label_mismatch' ELSE 'applied' END AS reason FROM orders""")
+def runtime_reasons(spark, d):
+    from .operators.calibration import runtime_reason
+
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    reason = runtime_reason(k % 7 != 0, c % 5, F.when(c % 2 == 0, "segment_count").otherwise("exact"), k % 3 == 0, F.array(F.lit("a"), F.col("o_orderstatus")), F.array(F.lit("a"), F.lit("F")), k % 4)
+    return table(spark, d, "orders").select("o_orderkey", reason.alias("reason"))

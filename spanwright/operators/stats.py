@@ -31,12 +31,26 @@ def entropy(rows: DataFrame, key: str, value: str) -> DataFrame:
     return out.withColumn("entropy_norm", F.when(F.col("n") > 1, F.col("entropy") / F.log("n")).otherwise(0.0))
 
 
-def rank_p90(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """The element of rank int(0.9 n) (at least 1) of the sorted values, without interpolation."""
-    w = Window.partitionBy(key)
-    rank = F.row_number().over(w.orderBy(value))
-    want = F.greatest(F.lit(1), F.floor(F.count("*").over(w) * 9 / 10))
-    return rows.where(F.col(value).isNotNull()).withColumns({"_r": rank, "_w": want}).where("_r = _w").select(key, F.col(value).alias("p90"))
+def _bin(value: str, low: str, high: str, n: int) -> Column:
+    """One of n equal ranges of [low, high], so that a sort is split into as many tasks."""
+    share = F.try_divide(F.col(value) - F.col(low), F.col(high) - F.col(low))
+    return F.least(F.lit(n - 1), F.floor(F.coalesce(share, F.lit(0.0)) * n)).cast("int")
+
+
+def rank_p90(rows: DataFrame, key: str, value: str, bins: int = 4096) -> DataFrame:
+    """The element of rank int(0.9 n) (at least 1) of the sorted values, without interpolation.
+
+    Counts of value ranges tell in which one the rank lies; only its rows are sorted.
+    """
+    x = rows.where(F.col(value).isNotNull()).select(key, F.col(value).alias("_v"))
+    ends = x.groupBy(key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    x = x.join(ends, key).select(key, "_v", "_n", _bin("_v", "_lo", "_hi", bins).alias("_b"))
+    w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # a key's ranges: `bins` at most
+    upto = x.groupBy(key, "_b").agg(F.count("*").alias("_c"), F.max("_n").alias("_n")).withColumn("_upto", F.sum("_c").over(w))
+    want = F.greatest(F.lit(1), F.floor(F.col("_n") * 9 / 10))
+    target = upto.select(key, "_b", (want - (F.col("_upto") - F.col("_c"))).alias("_want"), "_c").where("_want BETWEEN 1 AND _c")
+    inside = x.select(key, "_v", "_b").join(target, [key, "_b"]).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_v")))
+    return inside.where("_r = _want").select(key, F.col("_v").alias("p90"))
 
 
 def macro_mean(rows: DataFrame, outer: list[str], inner: str, value: str) -> DataFrame:
@@ -100,11 +114,18 @@ def threshold_sweep(pairs: DataFrame, score: str, positive: str, thresholds: lis
     return out.withColumn("balanced", (F.col("tpr") + F.col("tnr")) / 2)
 
 
-def inversions(pairs: DataFrame, score: str, positive: str) -> DataFrame:
-    """How many (positive, negative) pairs are in the wrong order, or tied, by cumulative counts rather than pairs."""
-    at = pairs.groupBy(score).agg(F.count_if(positive).alias("p"), F.count_if(~F.col(positive)).alias("n"))
-    w = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)  # distinct scores
-    above = at.withColumn("_n", F.coalesce(F.sum("n").over(w), F.lit(0)))
+def inversions(pairs: DataFrame, score: str, positive: str, bins: int = 4096) -> DataFrame:
+    """How many (positive, negative) pairs are in the wrong order, or tied, by cumulative counts rather than pairs.
+
+    Scores are cut into equal ranges: negatives above a score are those of higher ranges and those above it in its own.
+    """
+    at = pairs.groupBy(F.col(score).alias("_s")).agg(F.count_if(positive).alias("p"), F.count_if(~F.col(positive)).alias("n"))
+    ends = at.agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    at = at.join(F.broadcast(ends)).withColumn("_b", _bin("_s", "_lo", "_hi", bins))  # ends is one row
+    w = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)  # `bins` rows at most
+    higher = at.groupBy("_b").agg(F.sum("n").alias("_c")).select("_b", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_higher"))
+    own = F.coalesce(F.sum("n").over(Window.partitionBy("_b").orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = at.withColumn("_own", own).join(F.broadcast(higher), "_b").withColumn("_n", F.col("_own") + F.col("_higher"))
     out = above.agg(F.sum(F.col("p") * F.col("_n")).alias("inverted"), F.sum(F.col("p") * F.col("n")).alias("tied"), (F.sum("p") * F.sum("n")).alias("n_pairs"))
     return out.withColumn("separability", 1 - (F.col("inverted") + F.col("tied") / 2) / F.col("n_pairs"))
 

@@ -296,3 +296,196 @@ def reference_arms(extent: DataFrame, truth: DataFrame, seeds: DataFrame) -> Dat
     prior = base.crossJoin(F.broadcast(script)).withColumn("edges", edges).select("*", F.posexplode("modal").alias("i", "text"))
     prior = prior.select(F.lit("script_prior").alias("arm"), "episode", F.col("i").cast("long").alias("idx"), "text", at(F.col("i")).alias("start"), at(F.col("i") + 1).alias("end"))
     return single.unionByName(equal(base.join(n_true, "episode"), "uniform_true")).unionByName(equal(modal, "uniform_modal")).unionByName(prior)
+
+
+# ---- declarations and gates -----------------------------------------------------------------------
+
+
+def emission_ticks(frames: DataFrame, hz: float, k: int) -> DataFrame:
+    """(episode, frame, t): k frames in a row from the one nearest to each tick, every 1/hz s from the first frame on, each once."""
+    from .spans import episode_extent, snap_to_frame
+
+    if hz <= 0 or k <= 0:
+        return frames.select("episode", F.lit(0).alias("frame"), "t").limit(0)
+    ext = episode_extent(frames)
+    ticks = ext.select("episode", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("t_last") - F.col("t0") + 1e-9) * hz).cast("long"))).alias("id"), "t0").select("episode", "id", (F.col("t0") + F.col("id") / hz).alias("at"))
+    number = frames.select("episode", "t").distinct().withColumn("frame", F.row_number().over(Window.partitionBy("episode").orderBy("t")) - 1)
+    first = snap_to_frame(ticks, frames).join(number.withColumnRenamed("t", "frame_t"), ["episode", "frame_t"]).select("episode", F.explode(F.sequence(F.col("frame"), F.col("frame") + k - 1)).alias("frame")).distinct()
+    return first.join(number, ["episode", "frame"])
+
+
+def plan_at(points: DataFrame, spans: DataFrame) -> DataFrame:
+    """(episode, id, at, plan): at each point, the numbered list of the spans that haven't ended; empty where all have."""
+    packed = pack(spans)
+    todo = F.filter("spans", lambda s: s["end"] > F.col("at"))
+    text = F.array_join(F.transform(todo, lambda s, i: F.concat((i + 1).cast("string"), F.lit(". "), s["text"])), "\n")
+    return points.join(packed, "episode", "left").select("episode", "id", "at", F.coalesce(text, F.lit("")).alias("plan"))
+
+
+def memory_chain(spans: DataFrame) -> DataFrame:
+    """(episode, idx, start, memory): at each span after the first, the texts of the spans done, in order."""
+    w = Window.partitionBy("episode").orderBy("start", "idx")
+    done = F.collect_list("text").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return spans.select("episode", "idx", "start", F.array_join(done, "; ").alias("memory"), (F.row_number().over(w) > 1).alias("_later")).where("_later").drop("_later")
+
+
+def row_status(job_ok: Column, n_spans: Column, error: Column) -> Column:
+    """(ok, error) of a score row: the scorer's own error first, then an empty answer; a failed job has no answer."""
+    given = F.when(F.coalesce(job_ok, F.lit(True)), n_spans).otherwise(0)
+    said = F.when(error.isNotNull(), error).when(F.coalesce(given, F.lit(0)) == 0, "arm produced no spans for this episode")
+    return F.struct(said.isNull().alias("ok"), said.alias("error"))
+
+
+def calibration_status(job_ok: Column, n_spans: Column, applied: Column, reason: Column, configured: Column) -> Column:
+    """(applied, reason, source) of an episode: the delivery first, then what the run said, then the configuration.
+
+    Applied without a calibration, and a calibrated answer without a decision, are errors.
+    """
+    no_output = ~F.coalesce(job_ok, F.lit(False)) | (F.coalesce(n_spans, F.lit(0)) == 0)
+    state = lambda a, r, s: F.struct(a.alias("applied"), r.alias("reason"), F.lit(s).alias("source"))
+    wrong = F.when(F.coalesce(applied, F.lit(False)) & ~configured, "calibration applied without a calibration file").when(~no_output & applied.isNull() & configured, "calibrated output has no runtime decision")
+    ladder = (
+        F.when(wrong.isNotNull(), state(F.lit(None).cast("boolean"), F.concat(F.lit("error: "), wrong), "error"))
+        .when(no_output, state(F.lit(False), F.when(~F.coalesce(job_ok, F.lit(False)), "job_failed").otherwise("no_output"), "delivery"))
+        .when(applied.isNotNull(), state(applied, reason, "runtime"))
+        .otherwise(state(F.lit(False), F.lit("not_configured"), "configuration"))
+    )
+    return ladder
+
+
+def baseline_expectation(declared: Column, is_declared: Column, base_arm: Column, profile: Column, camera: Column, default: str, standalone: tuple[str, ...] = ("", "none", "standalone")) -> Column:
+    """(kind, baseline): the declared counterpart, none where it is declared so, else the one of the arm's own cell."""
+    alone = F.struct(F.lit("standalone").alias("kind"), F.lit(None).cast("string").alias("baseline"))
+    return (
+        F.when(is_declared & (declared.isNull() | F.lower(F.trim(declared)).isin(*standalone)), alone)
+        .when(is_declared, F.struct(F.lit("declared").alias("kind"), declared.alias("baseline")))
+        .when(F.coalesce(base_arm == default, F.lit(False)), alone)
+        .when(F.coalesce(profile, F.lit("")) == "", F.struct(F.lit("undeclared").alias("kind"), F.lit(None).cast("string").alias("baseline")))
+        .otherwise(F.struct(F.lit("inferred").alias("kind"), F.concat(F.lit(default + "__"), profile, F.lit("__"), F.coalesce(camera, F.lit("None"))).alias("baseline")))
+    )
+
+
+def pairing_problems(arms: DataFrame) -> DataFrame:
+    """(arm, problem) of arms (arm, baseline): paired with themselves, or with an arm that isn't there."""
+    known = arms.select(F.col("arm").alias("baseline"), F.lit(True).alias("_there"))
+    rows = arms.where("baseline IS NOT NULL").join(known, "baseline", "left")
+    problem = F.when(F.col("arm") == F.col("baseline"), "paired with itself").when(F.col("_there").isNull(), "baseline missing")
+    return rows.select("arm", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def contrast_policy(contrasts: DataFrame, arms: DataFrame, allow_unequalised: bool = False, allow_reference: bool = False) -> DataFrame:
+    """(a, b, refusal, note) of contrasts (a, b): why one isn't drawn, judged for a, then b, then both.
+
+    arms: (arm, supervision, tool, quarantined, equalised). A contrast with a model-free reference may be allowed with a note.
+    """
+    meta = lambda s: arms.select(F.col("arm").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("supervision", "tool", "quarantined", "equalised")])
+    rows = contrasts.join(meta("a"), "a", "left").join(meta("b"), "b", "left")
+
+    def own(s):
+        blank = lambda c: F.coalesce(F.col(f"{s}_{c}"), F.lit("")) == ""
+        out = F.when(blank("supervision") | blank("tool"), F.concat(F.lit("missing metadata: "), F.col(s))).when(F.coalesce(f"{s}_quarantined", F.lit(False)), F.concat(F.lit("quarantined: "), F.col(s)))
+        return out if allow_unequalised else out.when(F.col(f"{s}_equalised") == F.lit(False), F.concat(F.lit("not equalised: "), F.col(s)))
+
+    differ = F.col("a_supervision") != F.col("b_supervision")
+    reference = F.lit(allow_reference) & ((F.col("a_tool") == "reference") | (F.col("b_tool") == "reference"))
+    sides = F.concat(F.col("a_supervision"), F.lit(" / "), F.col("b_supervision"))
+    refusal = F.coalesce(own("a"), own("b"), F.when(differ & ~reference, F.concat(F.lit("supervision mismatch: "), sides)))
+    note = F.when(refusal.isNull() & differ, F.concat(F.lit("supervision asymmetry: "), sides))
+    return rows.select("a", "b", refusal.alias("refusal"), note.alias("note"))
+
+
+def attrition_gate(rows: DataFrame, arm: str, baseline: str, most_failed: float = 0.2, most_gap: float = 0.1) -> DataFrame:
+    """One row: failure rates of both arms, their gap, and whether they withhold a verdict."""
+    rate = lambda x: F.coalesce(F.avg(F.when(F.col("arm") == x, (~F.coalesce("ok", F.lit(False))).cast("double"))), F.lit(0.0))
+    out = rows.agg(rate(arm).alias("arm_failed"), rate(baseline).alias("baseline_failed"))
+    gap = F.abs(F.col("arm_failed") - F.col("baseline_failed"))
+    return out.select("*", gap.alias("gap"), ((F.greatest("arm_failed", "baseline_failed") > most_failed) | (gap > most_gap)).alias("blocked"))
+
+
+def source_problems(rows: DataFrame, current: dict[str, str]) -> DataFrame:
+    """(field, problem, n) of provenance fields: rows without a value, several values, or another one than the current."""
+    out = None
+    for name, want in current.items():
+        x = rows.agg(F.count_if(F.col(name).isNull()).alias("n_null"), F.count_distinct(name).alias("n_values"), F.min(name).alias("value"))
+        problem = F.when(F.col("n_null") > 0, "no value").when(F.col("n_values") > 1, "mixed values").when(F.col("value") != want, "produced with another value")
+        one = x.select(F.lit(name).alias("field"), problem.alias("problem"), F.when(F.col("n_null") > 0, F.col("n_null")).otherwise(F.col("n_values")).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out.where("problem IS NOT NULL")
+
+
+def factorial_contrasts(rows: DataFrame, factors: list[str], factor: str, reference, keys: list[str], value: str) -> DataFrame:
+    """For each cell of the other factors and each other level of one factor: number of shared keys, mean difference from the reference level, wins and losses."""
+    others = [f for f in factors if f != factor]
+    own = rows.groupBy(*factors, *keys).agg(F.avg(value).alias("v"))
+    base = own.where(F.col(factor) == reference).select(*others, *keys, F.col("v").alias("base"))
+    d = F.col("v") - F.col("base")
+    return own.where(F.col(factor) != reference).join(base, [*others, *keys]).groupBy(*others, factor).agg(F.count("*").alias("n"), F.avg(d).alias("delta"), F.count_if(d > 0).alias("wins"), F.count_if(d < 0).alias("losses"))
+
+
+def union_scores(keys: list[str], *parts: DataFrame) -> DataFrame:
+    """Score rows of several files as one; a key that comes twice is an error."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    twice = out.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"score rows come twice: {twice[0].asDict()}")
+    return out
+
+
+def merge_predictions(parts: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(predictions under original ids, problems) of component predictions (component, local, ...) and an index (component, local, original).
+
+    Problems: predictions without an entry, and originals that two components claim.
+    """
+    rows = parts.join(index, ["component", "local"], "left")
+    lost = rows.where("original IS NULL").groupBy("component").agg(F.count("*").alias("n")).select(F.lit("not in the index").alias("problem"), F.col("component").cast("string").alias("where"), "n")
+    twice = index.groupBy("original").agg(F.count_distinct("component").alias("n")).where("n > 1").select(F.lit("claimed twice").alias("problem"), F.col("original").cast("string").alias("where"), "n")
+    return rows.where("original IS NOT NULL"), lost.unionByName(twice)
+
+
+def matcher_pairs(vocabularies: DataFrame, antonyms: DataFrame, most: int = 2000) -> DataFrame:
+    """(left, right, positive) of a matcher's test: variants of format and labels of several datasets as positives, pairs within a dataset and antonyms as negatives."""
+    labels = vocabularies.select("dataset", "label").distinct()
+    one = labels.groupBy("label").agg(F.count("*").alias("n"))
+    same = one.where("n > 1").select(F.col("label").alias("left"), F.col("label").alias("right"))
+    variants = one.select(F.col("label").alias("left"), F.explode(F.array(F.concat("label", F.lit(".")), F.replace("label", F.lit(" the "), F.lit(" ")))).alias("right"))
+    positives = same.unionByName(variants).where("left <> '' AND right <> ''").withColumn("positive", F.lit(True))
+    many = labels.groupBy("dataset").count().where(F.col("count") > most).limit(1).collect()
+    if many:
+        raise ValueError(f"{many[0][0]}: too many labels to pair")
+    within = labels.select("dataset", F.col("label").alias("left")).join(labels.select("dataset", F.col("label").alias("right")), "dataset").where("left < right").select("left", "right")
+    negatives = within.unionByName(antonyms.select("left", "right")).where(normalise_label(F.col("left")) != normalise_label(F.col("right"))).withColumn("positive", F.lit(False))
+    return positives.unionByName(negatives)
+
+
+def worst_false_positives(pairs: DataFrame, score: str, positive: str, threshold: float, k: int = 15) -> DataFrame:
+    """The k negatives of the highest score at or above the threshold."""
+    return pairs.where(~F.col(positive) & (F.col(score) >= threshold)).orderBy(F.desc(score), *[c for c in pairs.columns if c not in (score, positive)]).limit(k)
+
+
+def export_consensus(reviews: DataFrame, controls: bool = False) -> DataFrame:
+    """(pair, positive) that raters agree on, of pairs (pair, stratum, consensus) near the threshold, and of controls if asked."""
+    keep = F.col("stratum") == "near"
+    return reviews.where((keep | (F.col("stratum") == "control")) if controls else keep).where("consensus IS NOT NULL").select("pair", F.col("consensus").alias("positive"))
+
+
+def cohort_diagnostics(seeds: DataFrame, evals: DataFrame) -> DataFrame:
+    """(cohort, ...): how far the median boundaries of seeds lie from those of the evaluated episodes, of relative boundaries (cohort, episode, i, x)."""
+    prior = seeds.groupBy("cohort", "i").agg(F.median("x").alias("prior"))
+    target = evals.groupBy("cohort", "i").agg(F.median("x").alias("mid"))
+    rows = evals.join(prior, ["cohort", "i"]).join(target, ["cohort", "i"])
+    size = seeds.groupBy("cohort").agg(F.count_distinct("episode").alias("n_seeds"))
+    out = rows.groupBy("cohort").agg(
+        F.count_distinct("episode").alias("n_eval"), F.avg(F.abs(F.col("x") - F.col("prior"))).alias("prior_error"),
+        F.avg(F.abs(F.col("x") - F.col("mid"))).alias("dispersion"),
+    )
+    shift = prior.join(target, ["cohort", "i"]).groupBy("cohort").agg(F.avg(F.abs(F.col("prior") - F.col("mid"))).alias("median_shift"))
+    return out.join(shift, "cohort").join(size, "cohort")
+
+
+def sign_reversed(offsets: DataFrame, errors: DataFrame, least: float = 0.02) -> DataFrame:
+    """(cohort, nontrivial, reversed): fitted offsets of at least `least`, and those whose evaluated median error has the other sign."""
+    mid = errors.groupBy("cohort", "i").agg(F.median("e").alias("mid"))
+    rows = offsets.join(mid, ["cohort", "i"], "left").where(F.abs("offset") >= least)
+    return rows.groupBy("cohort").agg(F.count("*").alias("nontrivial"), F.count_if(F.col("mid") * F.col("offset") < 0).alias("reversed"))
