@@ -212,6 +212,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     [batch["doc_id"], pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())])))],
                     ["doc_id", "n_words", "n_hit", "items", "hit_spans"],
                 )
+            tb.release()
 
     rows, i, t = numbered(docs, id_col, text_col)
     return rows.select(rows[i].cast("long").alias("doc_id"), rows[t].cast("string").alias("text")).mapInArrow(run, SCHEMA)
@@ -228,6 +229,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
             for batch in tb.slices(whole, t):
                 _, hit, _, _ = scan(batch, _values(shards), text_col=t)
                 yield batch.filter(pa.array(hit == 0))
+            tb.release()
 
     return rows.mapInArrow(hits, rows.schema).toDF(*docs.columns)
 

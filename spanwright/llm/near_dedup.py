@@ -124,6 +124,7 @@ class Forest:
                         n[i] = len(own)
                         digest[i] = hashlib.blake2b(own.astype("<u8").tobytes(), digest_size=20).digest()
                     yield pa.RecordBatch.from_arrays([batch["p"], batch["doc_id"], pa.array(n), pa.array(digest, pa.binary())], ["p", "doc_id", "n_shingles", "digest"])
+                tb.release()
 
         return self.groups.table.select("p", "doc_id", "text").mapInArrow(run, _NODE)
 
@@ -138,6 +139,7 @@ class Forest:
                     sets = [np.unique(x[i:j]).view(np.int64) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
                     ids = batch["doc_id"].take(pa.array(np.repeat(np.arange(len(sets)), [len(v) for v in sets])))
                     yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))], ["doc_id", "shingle"])
+                tb.release()
 
         rows = self.groups.table.select("doc_id", "text").mapInArrow(run, "doc_id long, shingle long")
         alone = rows.groupBy("shingle").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last")).where("doc_id = last")

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textbytes as tb
+
 MESSAGE = "p int, block long, payload binary"
 _MESSAGE = pa.schema([("p", pa.int32()), ("block", pa.int64()), ("payload", pa.binary())])
 
@@ -125,13 +127,19 @@ class Groups:
 
     def apply(self, fn: Callable, schema: str, replies: DataFrame | None = None) -> DataFrame:
         """fn(p, docs table, {block: payload}) for each group, with the replies sent to it."""
-        if replies is None:
-            return self.table.groupBy("p").applyInArrow(lambda t: fn(t["p"][0].as_py(), ordered(t), {}), schema)
+        def alone(docs: pa.Table) -> pa.Table:
+            out = fn(docs["p"][0].as_py(), ordered(docs), {})
+            tb.release()
+            return out
 
         def both(docs: pa.Table, back: pa.Table) -> pa.Table:
             p = (docs if docs.num_rows else back)["p"][0].as_py()
-            return fn(p, ordered(docs), dict(zip(back["block"].to_pylist(), back["payload"].to_pylist(), strict=True)))
+            out = fn(p, ordered(docs), dict(zip(back["block"].to_pylist(), back["payload"].to_pylist(), strict=True)))
+            tb.release()
+            return out
 
+        if replies is None:
+            return self.table.groupBy("p").applyInArrow(alone, schema)
         return self.table.groupBy("p").cogroup(replies.groupBy("p")).applyInArrow(both, schema)
 
 
@@ -147,6 +155,7 @@ def answer(messages: DataFrame, resolve: Callable) -> DataFrame:
         block = table["block"][0].as_py()
         order = table.sort_by([("p", "ascending")])
         rows = list(resolve(block, order["p"].to_pylist(), order["payload"].to_pylist()))
+        tb.release()
         return pa.table({"p": pa.array([p for p, _ in rows], pa.int32()), "block": pa.array([block] * len(rows), pa.int64()), "payload": pa.array([x for _, x in rows], pa.binary())}, schema=_MESSAGE)
 
     return messages.groupBy("block").applyInArrow(run, MESSAGE)

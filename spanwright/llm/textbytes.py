@@ -7,6 +7,9 @@ small multiple of the batch.
 
 from __future__ import annotations
 
+import ctypes
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -180,3 +183,18 @@ def top_bits(key: np.ndarray, bits: int) -> np.ndarray:
 def as_text(values: list[bytes]) -> pa.Array:
     """A string column of these bytes; those that aren't UTF-8 stay as they are."""
     return pa.array(values, pa.binary()).cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to call
+        return None
+
+
+def release() -> None:
+    """Gives memory that is free in this worker back to the system, as Spark keeps workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
