@@ -141,3 +141,20 @@ def test_duration_weight_holds_out():
     m = K.fit_model(list(zip(pred, ref, strict=True)))
     assert np.allclose(m["offsets"], [0.1, 0.1]) and m["residual_scale"] == 1e-3
     assert K.corrected([(0.0, 1.0, "a"), (1.0, 1.0, "b"), (1.0, 2.0, "c")], {}) == [(0.0, 1.0, "a"), (1.0, 2.0, "b")]
+
+
+def test_levels_of_resampling():
+    tree = {"f": {"a": [1.0, 1.2], "b": [0.9, 1.1]}, "g": {"c": [2.0, 2.2], "d": [2.1, float("nan")]}}
+    out = K.both_levels(tree, 300)
+    assert out["n_dropped"] == 1 and out["family_low"] <= out["point"] <= out["family_high"] and out["width_ratio"] > 0
+    point, low, high, p = K.paired_nested({"f": {"a": [1.0, 2.0]}, "g": {"b": [1.5, 2.5]}}, 200)
+    assert low <= point <= high and p == 1 / 200
+    assert all(np.isnan(x) for x in K.paired_nested({"f": {"a": [float("nan")]}}, 10))
+
+
+def test_ablations_change_what_they_name():
+    ref = [[(0.0, 10 + k, "a"), (10.0 + k, 20, "b"), (20.0, 30, "c")] for k in range(4)]
+    pred = [[(0.0, 13 + k, "a"), (13.0 + k, 23, "b"), (23.0, 30, "c")] for k in range(4)]
+    forms = K.ablations(K.fit_model(list(zip(pred, ref, strict=True))))
+    score = {n: sum(K.placed_iou(K.corrected(p, m, 0.0), r) for p, r in zip(pred, ref, strict=True)) for n, m in forms.items()}
+    assert score["full"] > score["duration"] and score["offsets"] > score["baseline"] and abs(sum(forms["normalised"]["fractions"]) - 1) < 1e-12
