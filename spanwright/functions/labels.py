@@ -49,20 +49,25 @@ def token_f1(a: Column, b: Column) -> Column:
 
 def contrast_conflict(a: Column, b: Column) -> Column:
     """Whether some group of opposed words has exactly one side in each label, and not the same."""
-    x, y = token_set(a), token_set(b)
-    out = F.lit(False)
-    for group in CONTRASTS:
-        side = F.create_map(*[F.lit(v) for pair in group.items() for v in pair])
-        sides = lambda t: F.array_distinct(F.filter(F.transform(t, lambda w: F.try_element_at(side, w)), lambda v: v.isNotNull()))  # noqa: E731, B023
-        p, q = sides(x), sides(y)
-        out = out | ((F.size(p) == 1) & (F.size(q) == 1) & (F.get(p, F.lit(0)) != F.get(q, F.lit(0))))
-    return out
+    groups = F.array(*[F.create_map(*[F.lit(v) for pair in g.items() for v in pair]) for g in CONTRASTS])
+
+    def sides(words: Column, group: Column) -> Column:
+        return F.array_distinct(F.filter(F.transform(words, lambda w: F.try_element_at(group, w)), lambda v: v.isNotNull()))
+
+    def differ(p: Column, q: Column) -> Column:
+        return (F.size(p) == 1) & (F.size(q) == 1) & (F.get(p, F.lit(0)) != F.get(q, F.lit(0)))
+
+    # the words are split once and the groups are one expression, not a copy each
+    both = F.transform(F.array(F.struct(token_set(a).alias("x"), token_set(b).alias("y"))), lambda t: F.exists(groups, lambda g: differ(sides(t["x"], g), sides(t["y"], g))))
+    return F.get(both, F.lit(0))
 
 
 class Exact:
     """Labels are the same when their normal forms are."""
 
-    name = "exact"
+    name, threshold = "exact", 1.0
+    #: Whether similarity costs enough to be computed once a pair of labels instead of once a pair of spans.
+    once = False
 
     def prepare(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
         """pairs with whatever similarity() needs of the label columns a and b."""
@@ -71,14 +76,21 @@ class Exact:
     def similarity(self, a: str, b: str) -> Column:
         return F.when(normalise_label(F.col(a)) == normalise_label(F.col(b)), 1.0).otherwise(0.0)
 
-    def equivalent(self, a: str, b: str) -> Column:
-        return self.similarity(a, b) >= 1.0
+    def scored(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        """pairs with `sim` and `same`; a missing label is similar to nothing. Distinct label pairs are joined back, which the runtime broadcasts where they are few."""
+        if not self.once:
+            out = self.prepare(pairs, a, b).withColumn("sim", self.similarity(a, b))
+        else:
+            known = self.prepare(pairs.select(a, b).distinct(), a, b).select(F.col(a).alias("_a"), F.col(b).alias("_b"), self.similarity(a, b).alias("sim"))
+            out = pairs.join(known, (pairs[a] == known["_a"]) & (pairs[b] == known["_b"]), "left").drop("_a", "_b")
+        out = out.withColumn("sim", F.when(F.col(a).isNull() | F.col(b).isNull(), 0.0).otherwise(F.coalesce("sim", F.lit(0.0))))
+        return out.withColumn("same", F.col("sim") >= self.threshold)
 
 
 class TokenF1(Exact):
     """F1 of the words; a diagnostic, as opposites share most of their words."""
 
-    name = "token_f1"
+    name, once = "token_f1", True
 
     def __init__(self, threshold: float = 0.8):
         self.threshold = threshold
@@ -86,9 +98,6 @@ class TokenF1(Exact):
     def similarity(self, a: str, b: str) -> Column:
         return token_f1(F.col(a), F.col(b))
 
-    def equivalent(self, a: str, b: str) -> Column:
-        return self.similarity(a, b) >= self.threshold
-
 
 class Embedding(Exact):
     """Cosine of label vectors, 0 where the labels take different sides of a contrast.
@@ -97,7 +106,7 @@ class Embedding(Exact):
     most broadcast_rows labels is broadcast. A label without a vector is similar to nothing.
     """
 
-    name = "embedding"
+    name, once = "embedding", True
 
     def __init__(self, vectors: DataFrame, threshold: float = 0.93, guard: bool = True, broadcast_rows: int = 100_000):
         self.vectors, self.threshold, self.guard = vectors.select("label", "vector"), threshold, guard
@@ -113,9 +122,6 @@ class Embedding(Exact):
         near = F.when(F.col(f"{a}__vector").isNull() | F.col(f"{b}__vector").isNull(), 0.0).otherwise(cosine(F.col(f"{a}__vector"), F.col(f"{b}__vector")))
         return F.when(contrast_conflict(F.col(a), F.col(b)), 0.0).otherwise(near) if self.guard else near
 
-    def equivalent(self, a: str, b: str) -> Column:
-        return self.similarity(a, b) >= self.threshold
-
 
 class Judged(Exact):
     """Verdicts that were given before, by the order-independent id of the pair; equal normal forms need none.
@@ -123,7 +129,7 @@ class Judged(Exact):
     cache has one row a pair: (pair, verdict). A pair without a verdict is taken as different; misses() lists them.
     """
 
-    name = "judge"
+    name, once = "judge", True
 
     def __init__(self, cache: DataFrame):
         self.cache = cache.select("pair", "verdict").dropDuplicates(["pair"])

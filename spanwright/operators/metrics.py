@@ -73,8 +73,7 @@ def segment_counts(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
 def labelled_pairs(pred: DataFrame, ref: DataFrame, matcher=EXACT) -> DataFrame:
     """pairs() with `same` and `sim`: whether the matcher takes the labels as one, and how similar they are."""
-    out = matcher.prepare(pairs(pred, ref), "p_text", "r_text")
-    return out.withColumns({"same": matcher.equivalent("p_text", "r_text"), "sim": matcher.similarity("p_text", "r_text")})
+    return matcher.scored(pairs(pred, ref), "p_text", "r_text")
 
 
 def f1_at_iou(pred: DataFrame, ref: DataFrame, thresholds: tuple[float, ...] = (0.10, 0.25, 0.50), matcher=EXACT) -> DataFrame:
@@ -122,9 +121,8 @@ def mof(pred: DataFrame, ref: DataFrame, step: float = 0.1, matcher=EXACT) -> Da
     grid = extent.withColumns({"_n": n, "_s": F.least(F.lit(step), length)}).where("_n > 0").select("episode", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("id"), "t0", "_s")
     points = grid.select("episode", "id", (F.col("t0") + (F.col("id") + 0.5) * F.col("_s")).alias("at"))
     both = label_at(points, ref).withColumnRenamed("text", "r_text").join(label_at(points, pred).select("episode", "id", F.col("text").alias("p_text")), ["episode", "id"])
-    both = matcher.prepare(both, "p_text", "r_text")
-    hit = F.coalesce(matcher.equivalent("p_text", "r_text") & F.col("p_text").isNotNull() & F.col("r_text").isNotNull(), F.lit(False))
-    share = both.groupBy("episode").agg(F.avg(hit.cast("double")).alias("mof"), F.count("*").alias("n_samples"))
+    both = matcher.scored(both, "p_text", "r_text")
+    share = both.groupBy("episode").agg(F.avg(F.col("same").cast("double")).alias("mof"), F.count("*").alias("n_samples"))
     return extent.select("episode").join(share, "episode", "left").select("episode", F.coalesce("mof", F.lit(0.0)).alias("mof"), F.coalesce("n_samples", F.lit(0)).alias("n_samples"))
 
 
