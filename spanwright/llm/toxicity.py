@@ -67,8 +67,10 @@ def _contexts(texts: list[bytes]) -> tuple[Counter, int]:
         same = doc[1:] == doc[:-1]
         around[0, 1:][same], around[1, :-1][same] = own[:-1][same], own[1:][same]
         context = tb.mix(tb.mix(around[0] + U64(1)) ^ own) ^ (around[1] * U64(0x9E3779B97F4A7C15))
-        seen, at = np.unique(np.concatenate([seen, context]), return_index=True)
-        token = np.concatenate([token, own])[at]
+        # each part's own distinct contexts first, so that the arrays that grow are joined once a part and no larger than need be
+        context, at = np.unique(context, return_index=True)
+        new = ~np.isin(context, seen, assume_unique=True)
+        seen, token = np.concatenate([seen, context[new]]), np.concatenate([token, own[at[new]]])
         value, first = np.unique(own, return_index=True)
         raw = buf.tobytes()
         for h, i in zip(value.tolist(), first.tolist(), strict=True):
@@ -117,7 +119,9 @@ def train_dictionaries(toxic: list[bytes], ordinary: list[bytes], window: int =
     some = lambda x: [x[i] for i in rng.permutation(len(x))[:samples].tolist()]
     telling = telling_words(toxic, ordinary)
     rude = some(_passages(toxic, telling.__contains__))
+    tb.release()  # the driver's memory is bounded too
     base, own = _train(some(_cut(ordinary, window)), common), _train(rude, size)
+    tb.release()
     # bytes that UTF-8 never has, so that the ordinary content is equally far away in both
     return b"\xff" * len(own) + base, own + base
 
@@ -231,7 +235,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     texts = rows.select(rows[i].cast("long").alias("id"), rows[t].cast("string").alias("t")).where(F.col("t").isNotNull() & (F.octet_length("t") <= text_bytes))
     # one text an id, so no more bytes come than that many texts of text_bytes
     rows = texts.join(picked, F.col("id") == F.col("label_id")).groupBy("id").agg(F.min("t").alias("t"), F.max("label").alias("label")).toArrow().sort_by("id")
-    return fit_texts(rows["t"].to_pylist(), rows["label"].to_pylist(), window)
+    texts, marks = rows["t"].to_pylist(), rows["label"].to_pylist()
+    del rows
+    tb.release()
+    return fit_texts(texts, marks, window)
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
