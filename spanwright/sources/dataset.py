@@ -13,9 +13,13 @@ SPAN = "struct<label:string,text:string,start:double,end:double>"
 ATOM = "struct<style:string,content:string,timestamp:double>"
 
 
+# Fixed value: the name under which datasets declare Parquet storage.
+PARQUET_STORAGE = "lerobot"
+
+
 def check_storage(info: dict) -> None:
     """Only Parquet datasets of a numeric version 3."""
-    if info.get("storage_format") not in (None, "lerobot"):
+    if info.get("storage_format") not in (None, PARQUET_STORAGE):
         raise ValueError(f"storage format {info['storage_format']!r} isn't Parquet")
     if not re.fullmatch(r"v3(\.\d+)*", str(info.get("codebase_version", ""))):
         raise ValueError(f"version {info.get('codebase_version')!r} isn't v3.x")
