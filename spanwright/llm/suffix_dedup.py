@@ -23,7 +23,7 @@ so one passage that fills a third of the corpus is still spread.
 Defined cases: null text is empty; texts under 100 bytes keep all; windows are
 ordered by (doc_id, start), and rows that share a doc_id are compared by it too,
 so equal places of such rows don't remove one another; a row with a null doc_id
-neither removes nor loses bytes; other columns are ignored. What is kept is
+loses what it repeats itself and has no part in other rows; other columns are ignored. What is kept is
 returned as bytes, as removal may cut a character.
 """
 
@@ -239,12 +239,15 @@ def later_windows(text: np.ndarray, start: np.ndarray, ids: np.ndarray, at: np.n
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 100, part: int = 48, cells: int = 32, hot: int = 4096, key_bits: int = 64) -> DataFrame:
-    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes)."""
+    """One row a document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes).
+
+    Fewer key_bits than 64 make different contexts share keys, which only tests want.
+    """
     groups = Groups(docs, id_col, text_col)
     expected = max(groups.bytes / (window - part + 1) * 2, 1)  # anchors
     bits = min(60, max(16, math.ceil(math.log2(expected * cells))))
     anchor_bits = groups.blocks(expected)
-    key_bits = groups.blocks(expected / 4)
+    context_bits = groups.blocks(expected / 4)
     sort_bits = groups.blocks(groups.bytes, 2 << 20)
 
     def cell_of(value):
@@ -296,8 +299,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         times = np.diff(np.append(first, len(order))).astype(U64)
         rows = order[first]
         key, check, ids, at, places, alone = key[rows], check[rows], ids[rows], at[rows], places[rows], (own[rows] < 2)
-        for a, b in _runs(key >> U64(64 - key_bits)):
-            yield int(key[a] >> U64(64 - key_bits)), _join(tb.pack_sorted(key[a:b]), check[a:b].astype("<u4").tobytes(), tb.pack(ids[a:b].view(U64) ^ _SIGN), tb.pack(at[a:b]), tb.pack(times[a:b]), tb.pack(places[a:b]), np.packbits(alone[a:b]).tobytes())
+        for a, b in _runs(key >> U64(64 - context_bits)):
+            yield int(key[a] >> U64(64 - context_bits)), _join(tb.pack_sorted(key[a:b]), check[a:b].astype("<u4").tobytes(), tb.pack(ids[a:b].view(U64) ^ _SIGN), tb.pack(at[a:b]), tb.pack(times[a:b]), tb.pack(places[a:b]), np.packbits(alone[a:b]).tobytes())
 
     def earliest(_, senders, payloads):
         """Replies the contexts that aren't the earliest, and the earliest ones whose anchor has others."""
@@ -415,6 +418,10 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             late = np.unpackbits(np.frombuffer(late, np.uint8), count=int(m.sum())).astype(bool)
             first = w.offs[row] + s
             gone[(np.repeat(first - (np.cumsum(m) - m), m) + np.arange(len(late)))[late]] = True
+        for i in np.flatnonzero((np.diff(w.offs) >= window) & ~docs["doc_id"].is_valid().to_numpy(zero_copy_only=False)).tolist():
+            text = np.append(w.buf[w.offs[i] : w.offs[i + 1]], np.zeros(8, np.uint8))
+            at = np.arange(len(text) - 7 - window)
+            gone[w.offs[i] + at] = later_windows(text, at, np.zeros_like(at), at, window)
         lost = tb.covered(np.flatnonzero(gone), window, int(w.offs[-1]))
         return _kept(docs, w, lost)
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanwright.llm import textbytes as tb
@@ -8,7 +9,7 @@ from spanwright.llm.line_dedup import line_dedup, line_dedup_rows
 from spanwright.llm.near_dedup import components, near_dedup, near_dedup_rows
 from spanwright.llm.rounds import growth, spread_join
 from spanwright.llm.substring_dedup import substring_dedup
-from spanwright.llm.suffix_dedup import suffix_dedup, suffix_order
+from spanwright.llm.suffix_dedup import Windows, suffix_dedup, suffix_order
 
 from . import helpers as H
 
@@ -52,6 +53,28 @@ def test_equal_keys_are_told_apart_by_their_checks(spark):
     assert got == H.bytes_removed(texts)
 
 
+def test_suffix_dedup_keeps_windows_whose_hashes_agree_in_35_bits(spark):
+    """Two windows with one check and the same first 3 bits of key are still different."""
+    text = np.random.default_rng(3).integers(97, 123, 1 << 20, np.uint8).tobytes().decode()
+    at = np.arange(len(text) - 100)
+    key, check = Windows(pa.table({"doc_id": pa.array([1], pa.int64()), "text": [text]}), 100, 48).keys(at, np.ones_like(at), 3)
+    order = np.lexsort((check, key))
+    i = int(np.flatnonzero((key[order][1:] == key[order][:-1]) & (check[order][1:] == check[order][:-1]))[0])
+    a, b = (text[k : k + 100] for k in order[i : i + 2].tolist())
+    assert a != b
+    texts = [(1, a), (2, a), (3, b), (4, b), (5, "x" * 900), (6, None), (7, a + b), (8, "x" * 1200)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(H.docs(spark, texts)).collect()}
+    assert got == H.bytes_removed(texts)
+
+
+def test_suffix_dedup_of_rows_without_an_id(spark):
+    """Such a row is a document of its own: an earlier start in it counts, other rows don't."""
+    text = H.sample(6)[-3][1][:700]
+    out = suffix_dedup(H.docs(spark, [(None, "x" * 900), (None, text + text), (None, text), (1, text), (2, "x" * 900), (None, "y" * 100), (None, None)])).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans) for r in out if r.doc_id is None) == sorted([(900, 899, 1), (2 * len(text), len(text), 1), (len(text), 0, 0), (100, 0, 0), (0, 0, 0)])
+    assert {r.doc_id: r.n_removed for r in out if r.doc_id} == {1: 0, 2: 899}
+
+
 def test_located_searches_a_run_to_its_end():
     keys, checks = np.array([3, 3, 3, 3, 3, 3, 7], np.uint64), np.array([1, 2, 3, 4, 5, 6, 1], np.uint32)
     found = tb.located(keys, checks, np.array([3, 3, 3, 7, 9, 0], np.uint64), np.array([6, 9, 1, 1, 1, 1], np.uint32))
