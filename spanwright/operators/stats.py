@@ -161,7 +161,8 @@ def cluster_bootstrap(scores: DataFrame, arm: str, cluster: str, value: str, n_b
 
     Each block of `draws` draws has seeds of its own, so blocks spread over tasks. In a draw, how often
     a cluster is picked, how many of its rows then come from each of its parts (of about part_rows rows), and
-    the rows in a part are drawn in turn, each from the count before, so that a task needs one part only.
+    the rows in a part are drawn in turn, each from the count before, so that a task needs one part only. A part
+    meets all its counts at once, and what parts of one task add to an arm's draws is added up there.
     """
     x = scores.where(F.col(value).isNotNull()).select(F.col(arm).alias("arm"), F.col(cluster).alias("cluster"), F.col(value).cast("double").alias("x"))
     w = Window.partitionBy("arm")
@@ -191,20 +192,40 @@ def cluster_bootstrap(scores: DataFrame, arm: str, cluster: str, value: str, n_b
         for j, s in enumerate(row["sizes"]):
             yield row["a"], row["i"], s["part"], row["block"], row["n"] * row["k"], took[:, j]
 
-    def draw(row):
-        values, ends = np.array([v["x"] for v in row["v"]]), np.cumsum([v["c"] for v in row["v"]])
-        rng, sums = np.random.default_rng([seed, 3, row["block"], row["i"], row["part"]]), []
-        for n in row["took"]:
-            at = rng.integers(0, ends[-1], n)
-            sums.append(values[at if ends[-1] == len(values) else np.searchsorted(ends, at, side="right")].sum() / row["share"])
-        yield row["a"], row["block"], row["i"], row["part"], sums
+    def draw(own: pa.Table, counts: pa.Table) -> pa.Table:
+        sums = np.zeros(n_boot)
+        if own.num_rows and counts.num_rows:
+            took, v = np.zeros(n_boot, np.int64), own["v"].combine_chunks().flatten()
+            for at, n in zip(counts["block"].to_pylist(), counts["took"].to_pylist(), strict=True):
+                took[at * draws : at * draws + len(n)] = n
+            rng = np.random.default_rng([seed, 3, own["i"][0].as_py(), own["part"][0].as_py()])
+            sums = K.resampled_sums(v.field("x").to_numpy(zero_copy_only=False), v.field("c").to_numpy(zero_copy_only=False), took, rng) / counts["share"][0].as_py()
+        return pa.table({"a": own["a"][:1].cast(pa.int32()), "sums": pa.array([sums.tolist()] * min(own.num_rows, 1), pa.list_(pa.float64()))})
+
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], ["a", "sums"])
+            sums.clear()
+            return out
+
+        for batch in batches:
+            for a, x in zip(batch["a"].to_pylist(), batch["sums"], strict=True):
+                sums[a] = sums.get(a, 0.0) + x.values.to_numpy()
+                if len(sums) > 64:
+                    yield flush()
+        yield flush()
 
     blocks = arms.select("a", "k", F.explode(F.sequence(F.lit(0), F.lit((n_boot - 1) // draws))).alias("block"))
     spread = scores.sparkSession.conf.get("spark.sql.shuffle.partitions")
     picked = _rows(blocks.repartition(int(spread), "a", "block"), pick, "a int, k long, block int, i int, times array<long>")
     dealt = _rows(picked.join(sizes, ["a", "i"]), deal, "a int, i int, part int, block int, share long, took array<long>")
-    drawn = _rows(dealt.join(parts.select("a", "i", "part", "v"), ["a", "i", "part"]), draw, "a int, block int, i int, part int, sums array<double>")
-    means = drawn.select("a", "block", F.posexplode("sums").alias("nth", "s")).groupBy("a", "block", "nth").agg(F.sum("s").alias("mean"))
+    key = ["a", "i", "part"]
+    # a set number, as the runtime would join small exchanges into one task
+    split = lambda x: x.repartition(int(spread), *key).groupBy(*key)
+    drawn = split(parts.select(*key, "v")).cogroup(split(dealt)).applyInArrow(draw, "a int, sums array<double>").mapInArrow(total, "a int, sums array<double>")
+    means = drawn.select("a", F.posexplode("sums").alias("nth", "s")).groupBy("a", "nth").agg(F.sum("s").alias("mean"))
     # n_boot numbers an arm
     all_draws = means.groupBy("a").agg(F.sort_array(F.collect_list("mean")).alias("draws")).join(arms, "a")
 
