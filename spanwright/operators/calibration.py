@@ -38,34 +38,66 @@ def cumulative_prior(ref: DataFrame, extent: DataFrame) -> DataFrame:
     return f.select("idx", (F.sum("fraction").over(Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)) / total).alias("cumulative"))
 
 
-def leave_one_out(pred: DataFrame, ref: DataFrame, cohort: DataFrame, seeds: int = 200) -> DataFrame:
+def seed_statistics(values: DataFrame) -> DataFrame:
+    """(cohort, stats) of values (cohort, episode, k, x): for each k in order, n, mean, sum of squares about it, and the middle values that a median without one of them needs."""
+    own = Window.partitionBy("cohort", "k")
+    ranked = values.withColumns({"_r": F.row_number().over(own.orderBy("x")), "_n": F.count("*").over(own)})
+    first = F.when(F.col("_n") % 2 == 1, F.floor((F.col("_n") - 3) / 2)).otherwise(F.floor((F.col("_n") - 2) / 2)) + 1
+    near = F.when(F.col("_r").between(first, first + 2), F.col("x"))
+    one = ranked.groupBy("cohort", "k").agg(F.count("*").alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * F.count("*")).alias("square"), F.sort_array(F.collect_list(near)).alias("middle"))
+    return one.groupBy("cohort").agg(F.array_sort(F.collect_list(F.struct("k", "n", "mean", "square", "middle"))).alias("stats"))
+
+
+def leave_one_out(pred: DataFrame, ref: DataFrame, cohort: DataFrame) -> DataFrame:
     """(cohort, n_episodes, weight, held_out, bare) of episodes (episode, cohort): the duration weight that does best on episodes left out.
 
     Episodes whose prediction can't be fitted (seed_reason) don't take part. A cohort has one number of
-    segments and some ten seeds, which one task takes; of more than `seeds`, it is an error.
+    segments and any number of episodes: the fit of all but one follows from the cohort's sums and middle
+    values, so each episode is a row of its own. With fewer than three, the weight is 1 and nothing is held out.
     """
     import pyarrow as pa
 
-    from ..functions.kernels import duration_weight
+    from ..functions import kernels as K
     from .eligibility import seed_reason
     from .spans import pack
 
     usable = seed_reason(pred, ref).where("reason IS NULL").select("episode")
     rows = pack(pred, "p").join(pack(ref, "r"), "episode").join(usable, "episode", "left_semi").join(cohort.select("episode", "cohort"), "episode")
-
-    def run(table: pa.Table) -> pa.Table:
-        if table.num_rows > seeds:
-            raise ValueError(f"cohort {table['cohort'][0].as_py()} has more than {seeds} seeds")
-        spans = lambda c: [[(s["start"], s["end"], s["text"]) for s in x] for x in table[c].to_pylist()]
-        order = np.argsort(np.array(table["episode"].to_pylist()), kind="stable").tolist()
-        p, r = spans("p"), spans("r")
-        if len({len(x) for x in r}) > 1:
-            raise ValueError("a positional calibration requires one segment count")
-        w, held, bare = duration_weight([(p[i], r[i]) for i in order])
-        return pa.table({"cohort": [table["cohort"][0].as_py()], "n_episodes": pa.array([table.num_rows], pa.int64()), "weight": [w], "held_out": [held], "bare": [bare]})
-
-    kind = dict(cohort.dtypes)["cohort"]
-    return rows.groupBy("cohort").applyInArrow(run, f"cohort {kind}, n_episodes long, weight double, held_out double, bare double")
+    kind, spans = dict(cohort.dtypes)["cohort"], lambda x: [(s["start"], s["end"], s["text"]) for s in x]
+
+    def values(batches):
+        for batch in batches:
+            x = [K.seed_values(spans(p), spans(r)) for p, r in zip(batch["p"].to_pylist(), batch["r"].to_pylist(), strict=True)]
+            size = np.array([len(v) for v in x], np.int64)
+            flat = np.concatenate([np.array(v, float) for v in x]) if x else np.zeros(0)
+            k = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            yield pa.RecordBatch.from_arrays([batch["cohort"].take(pa.array(np.repeat(np.arange(len(x)), size))), pa.array(k, pa.int64()), pa.array(flat, pa.float64())], ["cohort", "k", "x"])
+
+    def held(batches):
+        for batch in batches:
+            out = []
+            for row in batch.select(["p", "r", "stats"]).to_pylist():
+                p, r, stats = spans(row["p"]), spans(row["r"]), row["stats"]
+                if len({s["n"] for s in stats}) > 1:
+                    raise ValueError("a positional calibration requires one segment count")
+                if stats[0]["n"] < 3:
+                    out.append([float("nan")] * (len(K.WEIGHTS) + 1))
+                    continue
+                model = K.left_out_model(p, r, stats)
+                out.append([K.placed_iou(K.corrected(p, model, w), r) for w in K.WEIGHTS] + [K.placed_iou(K.corrected(p, {}), r)])
+            yield pa.RecordBatch.from_arrays([batch["cohort"], *[pa.array([x[i] for x in out], pa.float64()) for i in range(len(K.WEIGHTS) + 1)]], ["cohort", *names])
+
+    names = [*[f"w{i}" for i in range(len(K.WEIGHTS))], "bare"]
+    stats = seed_statistics(rows.select("cohort", "p", "r").mapInArrow(values, f"cohort {kind}, k long, x double"))
+    # a set number of tasks, as the runtime would join small exchanges into one: an episode takes milliseconds
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.alias("a").join(stats.alias("b"), F.expr("a.cohort <=> b.cohort")).select("episode", "a.cohort", "p", "r", "stats").repartition(spread, "episode").drop("episode")
+    judged = placed.mapInArrow(held, f"cohort {kind}, " + ", ".join(f"{n} double" for n in names))
+    means = judged.groupBy("cohort").agg(F.count("*").alias("n_episodes"), *[F.avg(n).alias(n) for n in names])
+    tried = F.array(*names[:-1])
+    best = F.get(F.array(*[F.lit(w) for w in K.WEIGHTS]), (F.array_position(tried, F.array_max(tried)) - 1).cast("int"))  # the first of equals
+    few = F.col("n_episodes") < 3
+    return means.select("cohort", "n_episodes", F.when(few, 1.0).otherwise(best).alias("weight"), F.array_max(tried).alias("held_out"), "bare")
 
 
 def accept(first_mae: Column, gain: Column, least_mae: float = 1.5, least_gain: float = 3.0) -> Column:

@@ -144,6 +144,46 @@ def test_leave_one_out_by_cohort(spark):
     assert (row.cohort, row.n_episodes, row.weight) == ("x", 4, 0.0) and row.held_out > 0.97 > row.bare
 
 
+def test_leave_one_out_takes_a_cohort_of_any_size(spark):
+    """Hundreds of seeds, and the same result as fitting all others for each."""
+    import random
+
+    from spanwright.functions import kernels as K
+
+    r, ref, pred, cohort = random.Random(8), [], [], []
+    for e in range(230):
+        name = "large" if e < 205 else "odd" if e < 218 else "even" if e < 228 else "two"
+        cuts = [0.0, r.choice([8.0, 10.0, r.uniform(5, 12)]), r.uniform(13, 25), 30.0]
+        late = [0.0, cuts[1] + r.choice([1.0, r.uniform(0, 2)]), cuts[2] + r.uniform(0, 3), 30.0]
+        for rows, c in ((ref, cuts), (pred, late)):
+            rows += [(e, i, x, c[i], c[i + 1]) for i, x in enumerate("abc")]
+        cohort.append((e, name))
+    out = calibration.leave_one_out(spark.createDataFrame(pred, SPANS), spark.createDataFrame(ref, SPANS), spark.createDataFrame(cohort, "episode long, cohort string"))
+    got = {x.cohort: x[1:] for x in out.collect()}
+    side = lambda rows, e: [(a, b, x) for f, _, x, a, b in rows if f == e]
+    for name in ("large", "odd", "even", "two"):
+        own = [e for e, c in cohort if c == name]
+        want = K.duration_weight([(side(pred, e), side(ref, e)) for e in own])
+        assert got[name] == (len(own), want[0], pytest.approx(want[1], nan_ok=True), pytest.approx(want[2], nan_ok=True))
+
+
+def test_resampled_sums_draw_evenly():
+    import numpy as np
+
+    from spanwright.functions import kernels as K
+
+    rng, values = np.random.default_rng(2), np.arange(1000.0)
+    for counts in (np.ones(1000, int), np.arange(1000) % 3, np.full(1000, 90)):
+        took = np.tile([0, 1, 700, 5], 4000)
+        sums = K.resampled_sums(values, counts, took, rng)
+        mean = float((values * counts).sum() / counts.sum())
+        sd = float(np.sqrt(((values - mean) ** 2 * counts).sum() / counts.sum()))
+        assert (sums[0::4] == 0).all() and set(sums[1::4]) <= set(values[counts > 0])
+        for k, n in ((1, 1), (2, 700), (3, 5)):
+            assert abs(sums[k::4].mean() - n * mean) < 5 * sd * (n / 4000) ** 0.5
+            assert sums[k::4].std() == pytest.approx(sd * n**0.5, rel=0.06)
+
+
 def test_entry_without_llm(tmp_path):
     """The rest imports and lists its queries where the llm folder and the pipeline aren't there."""
     import shutil
