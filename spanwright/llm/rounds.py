@@ -80,10 +80,13 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     count, are looked up in a broadcast; the others, none of them large, shuffle.
     """
     often = left.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_often")).count().where(F.col("count") > left.count() // parts + 1).select("_often")
-    found = F.broadcast(right.join(F.broadcast(often), F.col(key) == F.col("_often"), "left_semi"))
-    marked = left.join(F.broadcast(often), F.col(key) == F.col("_often"), "left")
+    hot = F.col(key) == F.col("_often")
+    found = F.broadcast(right.join(F.broadcast(often), hot, "left_semi"))
+    rest = left.join(F.broadcast(often), hot, "left_anti")
+    if how == "inner":  # rows of frequent keys that right hasn't got go at once
+        return left.join(found, key).unionByName(rest.join(right, key))
     # keys that are frequent in left but not in right match nothing in either way
-    hot, rest = marked.where("_often IS NOT NULL").drop("_often"), marked.where("_often IS NULL").drop("_often")
+    hot = left.join(F.broadcast(often), hot, "left_semi")
     return hot.join(found, key, how).unionByName(rest.join(right, key, how))
 
 
