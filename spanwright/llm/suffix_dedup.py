@@ -9,8 +9,8 @@ context, and
 2. equal contexts, by 96 bits of hash, are grouped; all but the earliest are repeats as
    a whole;
 3. the earliest ones whose anchor also has other contexts go to the anchor's
-   block, which sorts all their suffixes with a difference cover modulo 3 (sort
-   the sampled triples, recurse on their names, sort the rest by one byte and a
+   block, which leaves out windows whose hash occurs once there and sorts the
+   suffixes of the rest with a difference cover modulo 3 (sort the sampled triples, recurse on their names, sort the rest by one byte and a
    sampled rank, merge) and compares neighbours' first 100 bytes: of the windows
    that agree, all but the earliest are repeats. Recursion ends once names stand
    for 100 bytes, as order beyond that isn't asked for;
@@ -164,7 +164,7 @@ def suffix_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None)
     sample = np.concatenate([one, two])
     if 3 * int(bits) <= 64:
         triple = (s[sample] << (bits * U64(2))) | (s[sample + 1] << bits) | s[sample + 2]
-        order = np.argsort(triple, kind="stable")
+        order = np.argsort(triple)
         triple = triple[order]
         new = tb.group_starts(triple)
     else:
@@ -183,11 +183,11 @@ def suffix_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None)
         sample = np.concatenate([one, two])
     # what isn't sampled: a value, then a sampled rank
     key0 = (s[zero] << wide) | rank[zero + 1]
-    by0 = np.argsort(key0, kind="stable")
+    by0 = np.argsort(key0)
     key0 = key0[by0]
     zeros = zero[by0]
     # merge: places 1 modulo 3 compare by a value and a rank, places 2 by two values and a rank
-    by1, by2 = one[np.argsort(rank[one], kind="stable")], two[np.argsort(rank[two], kind="stable")]
+    by1, by2 = one[np.argsort(rank[one])], two[np.argsort(rank[two])]
     key1 = (s[by1] << wide) | rank[by1 + 1]
     place = np.zeros(n + 4, np.int64)
     if 2 * int(bits) + int(wide) <= 64:
@@ -201,7 +201,7 @@ def suffix_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None)
         key02, key2 = dense[: len(zeros)], dense[len(zeros) :]
     own = np.arange(len(zeros))
     place[zeros] = own + np.searchsorted(key1, key0, side="left") + np.searchsorted(key2, key02, side="left")
-    all12 = sample[np.argsort(rank[sample], kind="stable")]
+    all12 = sample[np.argsort(rank[sample])]
     nth = np.empty(n + 4, np.int64)
     nth[all12] = np.arange(len(all12))
     place[by1] = nth[by1] + np.searchsorted(key0, key1, side="right")
@@ -215,12 +215,41 @@ def _tiny(text: np.ndarray) -> np.ndarray:
     return out
 
 
+def _again(text: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
+    """Numbers of the windows at `start` whose 64-bit hash other windows have too; no equal one is left out."""
+    part = max(8, window // 2)
+    view = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
+    h = np.empty(len(view) - part + 8, U64)
+    for a in range(0, len(h), _CHUNK):
+        h[a : a + _CHUNK] = _part_hashes(view[a : a + _CHUNK + part - 8], part)[:_CHUNK]
+    key = np.zeros(len(start), U64)
+    for k in [*range(0, window - part + 1, part), window - part]:
+        key = tb.mix(key ^ h[start + k])
+    order = np.argsort(key)
+    same = ~tb.group_starts(key[order])
+    same[:-1] |= same[1:]
+    return np.sort(order[same])
+
+
 def later_windows(text: np.ndarray, start: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """Of windows at `start` in text (with 8 zero bytes after it), those with an equal one of a smaller (id, at)."""
+    """Of windows at `start` in text (with 8 zero bytes after it), those with an equal one of a smaller (id, at).
+
+    Windows whose hash occurs once can't repeat; only the bytes of the others are sorted.
+    """
+    late = np.zeros(len(start), bool)
+    again = _again(text, start, window)
+    if len(again):
+        held = tb.covered(start[again], window, len(text) - 8)
+        moved = np.cumsum(held) - 1
+        late[again] = _later_sorted(np.append(text[:-8][held], np.zeros(8, np.uint8)), moved[start[again]], ids[again], at[again], window)
+    return late
+
+
+def _later_sorted(text: np.ndarray, start: np.ndarray, ids: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     wanted = np.zeros(len(text) - 8, bool)
     wanted[start] = True
     place = suffix_order(text[:-8].astype(np.int64) + 1, window, wanted)
-    order = start[np.argsort(place[start], kind="stable")]
+    order = start[np.argsort(place[start])]
     view = np.ndarray((len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
     same = np.zeros(len(order), bool)
     same[1:] = True

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from spanwright.llm import suffix_dedup as sd
 from spanwright.llm import textbytes as tb
 from spanwright.llm.line_dedup import line_dedup, line_dedup_rows
 from spanwright.llm.near_dedup import components, near_dedup, near_dedup_rows
@@ -172,6 +173,16 @@ def test_suffix_order_sorts_all_suffixes():
         assert np.argsort(suffix_order(x, 100), kind="stable").tolist() == want
 
 
+def test_only_windows_that_may_repeat_are_sorted(monkeypatch):
+    rng, sizes, order = np.random.default_rng(5), [], sd.suffix_order
+    monkeypatch.setattr(sd, "suffix_order", lambda text, *a: sizes.append(len(text)) or order(text, *a))
+    text = np.append(rng.integers(0, 256, 20_000, dtype=np.uint8), np.zeros(8, np.uint8))
+    text[15_000:15_130] = text[3_000:3_130]
+    at = np.arange(20_000 - 99)
+    assert np.flatnonzero(sd.later_windows(text, at, np.zeros_like(at), at, 100)).tolist() == list(range(15_000, 15_031))
+    assert sizes[0] == 260
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_line_dedup_takes_long_lines_and_pairs(spark, seed):
     """With words, each stretch of three lines, or of fewer lines with over 50 words, stays at its first place only."""
