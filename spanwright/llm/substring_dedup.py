@@ -49,13 +49,16 @@ def _windows(docs: pa.Table, window: int, key_bits: int = 64):
 
 
 def _distinct(ids: np.ndarray, key: np.ndarray, check: np.ndarray):
-    """For each distinct window of the group, in key order: its row, and whether two ids have it."""
-    order = tb.by_key(key, check)  # rows are in order of doc_id, so the first has the smallest
-    k, c, d = key[order], check[order], ids[order]
-    first = tb.group_starts(k, c)
+    """For each distinct window of the group, in key order: its row, and whether two ids have it; then each row's window."""
+    order, first = tb.grouped(key, check)
     at = np.flatnonzero(first)
-    last = np.append(at[1:], len(k))[: len(at)] - 1
-    return order[at], d[at] != d[last]
+    if not len(at):
+        return order, first, order
+    # rows are in order of doc_id, so a window's first row has the smallest and its last the largest
+    rows, last = np.minimum.reduceat(order, at), np.maximum.reduceat(order, at)
+    which = np.empty(len(key), np.int64)
+    which[order] = np.cumsum(first) - 1
+    return rows, ids[rows] != ids[last], which
 
 
 def _cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -75,7 +78,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sketch(p, docs, _):
         _, _, ids, key, check = _windows(docs, window, key_bits)
-        rows, several = _distinct(ids, key, check)
+        rows, several, _ = _distinct(ids, key, check)
         for row in range(depth):
             cell = _cells(key[rows], row, bits)
             order = np.argsort(cell)
@@ -110,16 +113,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def estimated(p, docs, back):
         """Sends the windows whose smallest sum over the rows is two or more."""
         _, _, ids, key, check = _windows(docs, window, key_bits)
-        rows, several = _distinct(ids, key, check)
+        rows, _, _ = _distinct(ids, key, check)
         keep = np.ones(len(rows), bool)
         for row in range(depth):
             cell = _cells(key[rows], row, bits)
-            own = np.unique(cell)
+            order = np.argsort(cell)
+            first = tb.group_starts(cell[order])
+            own = cell[order][first]
             block = own >> U64(bits - block_bits)
             cut = np.append(np.flatnonzero(tb.group_starts(block)), len(block))
             often = [np.unpackbits(np.frombuffer(back[(row << block_bits) | int(block[a])], np.uint8), count=b - a) for a, b in zip(cut[:-1], cut[1:], strict=True) if b > a]
             if often:
-                keep &= np.concatenate(often).astype(bool)[np.searchsorted(own, cell)]
+                keep[order] &= np.concatenate(often).astype(bool)[np.cumsum(first) - 1]
         rows = rows[keep]
         k, c, d = key[rows], check[rows], ids[rows]
         block = k >> U64(64 - exact_bits)
@@ -153,11 +158,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def remove(p, docs, back):
         (buf, offs, starts, doc), at, ids, key, check = _windows(docs, window, key_bits)
-        rows, _ = _distinct(ids, key, check)
-        order = tb.by_key(key, check)
-        first = tb.group_starts(key[order], check[order])
-        which = np.empty(len(key), np.int64)
-        which[order] = np.cumsum(first) - 1
+        rows, _, which = _distinct(ids, key, check)
         gone = ids > ids[rows][which] if len(rows) else np.zeros(0, bool)
         if back:
             k, c = (np.concatenate(x) for x in zip(*((tb.unpack_sorted(a), np.frombuffer(b, "<u4")) for a, b in (_split(back[n]) for n in sorted(back))), strict=True))

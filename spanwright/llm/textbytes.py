@@ -176,6 +176,17 @@ def by_key(key: np.ndarray, check: np.ndarray) -> np.ndarray:
     return np.lexsort((check, key)) if ((k[1:] == k[:-1]) & (c[1:] != c[:-1])).any() else order
 
 
+def grouped(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by key and check, and where its groups begin; rows of a group are in any order."""
+    order = np.argsort(key)
+    k, c = key[order], check[order]
+    same = k[1:] == k[:-1]
+    if (same & (c[1:] != c[:-1])).any():
+        order = np.lexsort((check, key))
+        return order, group_starts(key[order], check[order])
+    return order, np.append(np.ones(min(len(key), 1), bool), ~same)
+
+
 def top_bits(key: np.ndarray, bits: int) -> np.ndarray:
     return key if bits >= 64 else key >> U64(64 - bits) << U64(64 - bits)
 

@@ -9,7 +9,7 @@ from spanwright.llm import textbytes as tb
 from spanwright.llm.line_dedup import line_dedup, line_dedup_rows
 from spanwright.llm.near_dedup import components, near_dedup, near_dedup_rows
 from spanwright.llm.rounds import growth, spread_join
-from spanwright.llm.substring_dedup import substring_dedup
+from spanwright.llm.substring_dedup import _distinct, substring_dedup
 from spanwright.llm.suffix_dedup import Windows, suffix_dedup, suffix_order
 
 from . import helpers as H
@@ -23,6 +23,19 @@ def test_substring_dedup_is_brute_force(spark, seed):
     assert sum(x[1] for x in got.values()) > 100
 
 
+@pytest.mark.parametrize("checks", [1, 3])
+def test_distinct_windows_with_their_rows(checks):
+    """One sort gives each window's first row and each row's window, also where checks differ under one key."""
+    rng = np.random.default_rng(checks)
+    key, check = rng.integers(0, 50, 300).astype(np.uint64), rng.integers(0, checks, 300).astype(np.uint64)
+    ids = np.sort(rng.integers(0, 100, 300))
+    rows, several, which = _distinct(ids, key, check)
+    same = lambda r: np.flatnonzero((key == key[r]) & (check == check[r]))
+    assert rows.tolist() == [same(r)[0] for r in rows] and len(rows) == len(set(zip(key.tolist(), check.tolist(), strict=True)))
+    assert several.tolist() == [len(set(ids[same(r)])) > 1 for r in rows]
+    assert rows[which].tolist() == [same(r)[0] for r in range(300)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_suffix_dedup_is_brute_force(spark, seed):
     texts = H.sample(seed)
