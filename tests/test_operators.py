@@ -48,6 +48,22 @@ def test_claimed_best_reference_is_a_false_positive(spark):
     assert metrics.f1_at_iou(pred, ref).first()["f1_50"] == pytest.approx(2 / 3)
 
 
+def test_only_pairs_that_touch_have_their_labels_compared(spark):
+    rows = [(1, i, "ab"[i % 2], float(i), i + 1.0) for i in range(60)]
+    ref, pred = (spark.createDataFrame([(e, i, t, a + late, b + late) for e, i, t, a, b in rows], SPANS) for late in (0.0, 0.25))
+    seen = []
+
+    class Counting(L.Exact):
+        def scored(self, pairs, a, b):
+            seen.append(pairs.count())
+            return super().scored(pairs, a, b)
+
+    assert metrics.label_accuracy(pred, ref, Counting()).first()["label_accuracy"] == pytest.approx(0.75)
+    assert metrics.dense_caption(pred, ref, (0.3,), Counting()).first()["recall_3"] == 1
+    assert metrics.f1_at_iou(pred, ref, (0.1,), Counting()).first()["f1_10"] == 1
+    assert seen == [119, 60, 119]  # of 3,600 pairs
+
+
 def test_holm(spark):
     tests = spark.createDataFrame([(1, 0.01), (2, 0.04), (3, 0.03), (4, float("nan"))], "test long, p double")
     got = {r.test: r.p_holm for r in stats.holm(tests).collect()}
