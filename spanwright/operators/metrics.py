@@ -56,13 +56,16 @@ def covering(pred: DataFrame, ref: DataFrame) -> DataFrame:
 
 def chamfer(pred: DataFrame, ref: DataFrame) -> DataFrame:
     """Mean distance from each internal boundary to the nearest of the other side, both ways; null where a side has none."""
-    p = pred.where("idx > 0").select("episode", F.col("idx").alias("i"), F.col("start").alias("p"))
-    r = ref.where("idx > 0").select("episode", F.col("idx").alias("j"), F.col("start").alias("r"))
-    both = p.join(r, "episode").withColumn("d", F.abs(F.col("p") - F.col("r")))
-    a = both.groupBy("episode", "i").agg(F.min("d").alias("d")).groupBy("episode").agg(F.avg("d").alias("pred_to_ref"))
-    b = both.groupBy("episode", "j").agg(F.min("d").alias("d")).groupBy("episode").agg(F.avg("d").alias("ref_to_pred"))
+    side = lambda x, n: x.where("idx > 0").select("episode", F.col("start").alias("at"), F.lit(n).alias("side"))
+    # one sort of both sides each way: the nearest of the other side is the last one before or after
+    rows = side(pred, 0).unionByName(side(ref, 1))
+    other = lambda w, n: F.last(F.when(F.col("side") != n, F.col("at")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    up, down = by_episode("at", "side"), by_episode(F.col("at").desc(), F.col("side").desc())
+    rows = rows.withColumns({f"_{k}{n}": other(w, n) for n in (0, 1) for k, w in (("u", up), ("d", down))})
+    mean = lambda n: F.avg(F.when(F.col("side") == n, F.least(F.abs(F.col("at") - F.col(f"_u{n}")), F.abs(F.col(f"_d{n}") - F.col("at")))))
+    found = rows.groupBy("episode").agg(mean(0).alias("pred_to_ref"), mean(1).alias("ref_to_pred"))
     every = pred.select("episode").union(ref.select("episode")).distinct()
-    return every.join(a, "episode", "left").join(b, "episode", "left").select("episode", "pred_to_ref", "ref_to_pred", ((F.col("pred_to_ref") + F.col("ref_to_pred")) / 2).alias("chamfer"))
+    return every.join(found, "episode", "left").select("episode", "pred_to_ref", "ref_to_pred", ((F.col("pred_to_ref") + F.col("ref_to_pred")) / 2).alias("chamfer"))
 
 
 def segment_counts(pred: DataFrame, ref: DataFrame) -> DataFrame:
@@ -116,14 +119,23 @@ def mof(pred: DataFrame, ref: DataFrame, step: float = 0.1, matcher=EXACT) -> Da
 
     A grid has max(1, int(duration / step)) points; an uncovered point is wrong; 0 and no points without duration.
     """
-    from .spans import label_at
-
     extent = ref.groupBy("episode").agg(F.min_by("start", "idx").alias("t0"), F.max_by("end", "idx").alias("t1"))
     length = F.col("t1") - F.col("t0")
     n = F.when(length > 0, F.greatest(F.lit(1), F.floor(length / step).cast("long"))).otherwise(0)
-    grid = extent.withColumns({"_n": n, "_s": F.least(F.lit(step), length)}).where("_n > 0").select("episode", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("id"), "t0", "_s")
-    points = grid.select("episode", "id", (F.col("t0") + (F.col("id") + 0.5) * F.col("_s")).alias("at"))
-    both = label_at(points, ref).withColumnRenamed("text", "r_text").join(label_at(points, pred).select("episode", "id", F.col("text").alias("p_text")), ["episode", "id"])
+    grid = extent.withColumns({"_n": n, "_s": F.least(F.lit(step), length)}).where("_n > 0").select("episode", "t0", "_n", "_s")
+    nothing = F.lit(None).cast("struct<idx:bigint,text:string>")
+
+    def inside(spans, side):
+        """(episode, id, r, p): each span at the grid's points in it, which come from its own bounds; no pairs of points and spans."""
+        near = lambda t: F.floor(F.greatest(F.lit(0.0), F.least(F.col("_n").cast("double"), (F.col(t) - F.col("t0")) / F.col("_s")))).cast("long")
+        rows = spans.join(grid, "episode").withColumns({"_a": F.greatest(near("start") - 1, F.lit(0)), "_b": F.least(near("end") + 1, F.col("_n") - 1)}).where("_a <= _b")
+        rows = rows.withColumn("id", F.explode(F.sequence("_a", "_b"))).withColumn("_at", F.col("t0") + (F.col("id") + 0.5) * F.col("_s"))
+        own = F.struct(F.col("idx").cast("bigint").alias("idx"), F.col("text").alias("text"))
+        return rows.where("_at >= start AND _at < end").select("episode", "id", *[(own if side == x else nothing).alias(x) for x in "rp"])
+
+    points = grid.select("episode", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("id"), nothing.alias("r"), nothing.alias("p"))
+    both = points.unionByName(inside(ref, "r")).unionByName(inside(pred, "p")).groupBy("episode", "id").agg(F.min("r").alias("r"), F.min("p").alias("p"))
+    both = both.select("episode", "id", F.col("r.text").alias("r_text"), F.col("p.text").alias("p_text"))
     both = matcher.scored(both, "p_text", "r_text")
     share = both.groupBy("episode").agg(F.avg(F.col("same").cast("double")).alias("mof"), F.count("*").alias("n_samples"))
     return extent.select("episode").join(share, "episode", "left").select("episode", F.coalesce("mof", F.lit(0.0)).alias("mof"), F.coalesce("n_samples", F.lit(0)).alias("n_samples"))

@@ -64,6 +64,20 @@ def test_only_pairs_that_touch_have_their_labels_compared(spark):
     assert seen == [119, 60, 119]  # of 3,600 pairs
 
 
+def test_grid_points_of_overlapping_spans_take_the_first(spark):
+    ref = spark.createDataFrame([(1, 0, "a", 0.0, 6.0), (1, 1, "b", 4.0, 10.0)], SPANS)
+    pred = spark.createDataFrame([(1, 0, "b", 5.0, 8.0), (1, 1, "a", 0.0, 5.5), (1, 2, "b", 5.5, 9.0)], SPANS)
+    got = metrics.mof(pred, ref, 1.0).first()  # midpoints 0.5 to 9.5: b from 5.5 on, nothing at 9.5
+    assert (got["mof"], got["n_samples"]) == (pytest.approx(0.8), 10)
+
+
+def test_nearest_boundaries_either_way(spark):
+    at = lambda xs: [(1, i, "a", x, x) for i, x in enumerate([0.0, *xs])]
+    p, r = (spark.createDataFrame(at(x), SPANS) for x in ([1.0, 4.0, 9.0], [4.0, 6.0]))
+    got = metrics.chamfer(p, r).first()
+    assert (got["pred_to_ref"], got["ref_to_pred"]) == (pytest.approx(2.0), pytest.approx(1.0))
+
+
 def test_holm(spark):
     tests = spark.createDataFrame([(1, 0.01), (2, 0.04), (3, 0.03), (4, float("nan"))], "test long, p double")
     got = {r.test: r.p_holm for r in stats.holm(tests).collect()}
