@@ -22,7 +22,10 @@
    minimum hashes that a linked pair has them by a chance of 3e-7 at most (by the
    binomial tail) are passed over. So no
    region has a cap on partners. A later turn sends a document only for the
-   trees in which its region is open.
+   trees in which its region is open. Which regions are open is asked in a round
+   of messages too: a group of documents sends the least and largest component of
+   each region it has part of, so tables and joins hold one row a document, not
+   one a document and tree.
 
 What is sent grows with documents, never with pairs of a group: copies are
 grouped first, a region gives at most `near` candidates a document, and a text
@@ -48,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .rounds import Groups, answer, dropped, numbered, spread_join, written
+from .rounds import MESSAGE, Groups, answer, dropped, numbered, spread_join, written
 from .suffix_dedup import _join, _runs
 from .substring_dedup import _split
 
@@ -56,6 +59,7 @@ U64 = np.uint64
 _SIGN = U64(1 << 63)
 _NODE = "p int, doc_id long, n_shingles long, digest binary"
 _TREE = U64(31)  # low bits of a region's key: its tree
+_MEMBER = "p int, member long, regions array<bigint>"
 #: How many times as far each turn looks.
 _WIDER = 16
 
@@ -109,6 +113,7 @@ class Forest:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, trees: int, depth: int, levels: int, near: int):
         self.shingle, self.percent, self.trees, self.depth, self.levels, self.near = shingle, percent, trees, depth, levels, near
         self.groups = Groups(docs, id_col, text_col)
+        self.bits = self.groups.blocks(max(self.groups.bytes / 2000, 1) * trees, 1 << 18)
 
     def nodes(self) -> DataFrame:
         """(p, doc_id, n_shingles, key1, key2): sizes and hashes of the sets."""
@@ -148,11 +153,12 @@ class Forest:
     def candidates(self, chosen: DataFrame, turn: int) -> DataFrame:
         """Requests (p, block, payload) to the groups of smaller ids: which texts to send where.
 
+        Rows with p < 0 tell group -1 - p which of its documents are in regions that have pairs at larger distances.
         chosen: (p, doc_id, n_shingles, most: how many of them another document may share, label, mask: a bit
         for each tree to look in); pairs with one label are left out.
         """
         trees, depth, levels, near, percent, width = self.trees, self.depth, self.levels, self.near, self.percent, self.shingle
-        bits = self.groups.blocks(max(self.groups.bytes / 2000, 1) * trees, 1 << 18)
+        bits = self.bits
         n_hashes, limit = trees * levels, percent / 100
         least = _least_alike(n_hashes, limit)
 
@@ -247,8 +253,11 @@ class Forest:
                 for x, y in _runs(home[a]):
                     yield int(home[a[x]]), _join(tb.pack(d[a[x:y]].view(U64) ^ _SIGN), tb.pack(d[b[x:y]].view(U64) ^ _SIGN), tb.pack(home[b[x:y]]))
             wide = members > near * _WIDER**turn + 1
-            if wide.any():
-                yield -1 - block, _join(tb.pack_sorted(key[wide]), tb.pack(d[wide].view(U64) ^ _SIGN))
+            key, d, home = key[wide], d[wide], home[wide]
+            by = np.lexsort((d, key, home))
+            for x, y in _runs(home[by]):
+                o = by[x:y]
+                yield -1 - int(home[o[0]]), _join(tb.pack_sorted(key[o]), tb.pack(d[o].view(U64) ^ _SIGN))
 
         payload = F.expr("unhex(concat(lpad(hex(n_shingles), 16, '0'), lpad(hex(most), 16, '0'), lpad(hex(label), 16, '0'), lpad(hex(mask), 16, '0')))")
         return answer(self.groups.send(plant, chosen.select("p", F.col("doc_id").alias("block"), payload.alias("payload"))), neighbours)
@@ -365,19 +374,70 @@ def components(edges: DataFrame, task_edges: int = 500_000) -> DataFrame:
         dropped(old, both, large)
 
 
-def _members(batches):
-    """(kind 1, region, doc_id) of the regions that have pairs at larger distances."""
-    for batch in batches:
-        for x in batch["payload"].to_pylist():
-            key, d = _split(x)
-            key, d = tb.unpack_sorted(key).view(np.int64), (tb.unpack(d) ^ _SIGN).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(d), np.int32)), pa.array(key), pa.array(d)], ["kind", "a", "b"])
+def _lists(values: np.ndarray, count: np.ndarray) -> pa.Array:
+    """Lists of so many values each."""
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)), pa.int32()), pa.array(values, pa.int64()))
+
+
+def _members(found: pa.Table) -> pa.Table:
+    """(p, member, regions) of a group: its documents in regions that have pairs at larger distances."""
+    keys, ids = zip(*(_split(x) for x in found["payload"].to_pylist()), strict=True)
+    key, d = np.concatenate([tb.unpack_sorted(x) for x in keys]), (np.concatenate([tb.unpack(x) for x in ids]) ^ _SIGN).view(np.int64)
+    order = np.lexsort((key, d))
+    key, d = key[order], d[order]
+    new = tb.group_starts(d, key)
+    key, d = key[new], d[new]
+    at = np.flatnonzero(tb.group_starts(d))
+    p = pa.array(np.full(len(at), found["p"][0].as_py()), pa.int32())
+    return pa.table([p, pa.array(d[at]), _lists(key.view(np.int64), np.diff(np.append(at, len(d))))], names=["p", "member", "regions"])
+
 
+def _open(members: DataFrame, bits: int) -> DataFrame:
+    """The members (p, member, label, regions) with those of their regions that have two labels or more.
 
-def _open(members: DataFrame) -> DataFrame:
-    """The members (region, member, label) of regions with two labels or more."""
-    several = members.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("region")
-    return spread_join(members, several, "region")
+    A group sends each block of regions the least and largest label it has in each, and is told which are open.
+    """
+
+    def regions(docs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        lists = docs["regions"].combine_chunks()
+        return lists.flatten().to_numpy(zero_copy_only=False).view(U64), lists.value_lengths().to_numpy(zero_copy_only=False)
+
+    def ask(docs: pa.Table) -> pa.Table:
+        key, count = regions(docs)
+        label = np.repeat(docs["label"].to_numpy(), count)
+        order = np.lexsort((label, key))
+        key, label = key[order], label[order].view(U64) ^ _SIGN
+        at = np.flatnonzero(tb.group_starts(key))
+        key, low, high = key[at], label[at], label[np.append(at[1:], len(key)) - 1]
+        block = key >> U64(64 - bits)
+        rows = [(int(block[x]), _join(tb.pack_sorted(key[x:y]), tb.pack(low[x:y]), tb.pack(high[x:y]))) for x, y in _runs(block)]
+        return pa.table([pa.array([docs["p"][0].as_py()] * len(rows), pa.int32()), pa.array([x for x, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["p", "block", "payload"])
+
+    def judge(block, senders, payloads):
+        keys, lows, highs = zip(*(_split(x) for x in payloads), strict=True)
+        keys = [tb.unpack_sorted(x) for x in keys]
+        key, low, high = np.concatenate(keys), *(np.concatenate([tb.unpack(x) for x in v]) for v in (lows, highs))
+        order = np.argsort(key, kind="stable")
+        key, low, high = key[order], low[order], high[order]
+        at = np.flatnonzero(tb.group_starts(key))
+        several = key[at][np.minimum.reduceat(low, at) != np.maximum.reduceat(high, at)]
+        for p, own in zip(senders, keys, strict=True):
+            own = own[np.isin(own, several)]
+            if len(own):
+                yield p, tb.pack_sorted(own)
+
+    def keep(docs: pa.Table, back: pa.Table) -> pa.Table:
+        if not docs.num_rows or not back.num_rows:
+            return docs.slice(0, 0)
+        key, count = regions(docs)
+        in_open = np.isin(key, np.concatenate([tb.unpack_sorted(x) for x in back["payload"].to_pylist()]))
+        left = np.bincount(np.repeat(np.arange(len(count)), count)[in_open], minlength=len(count))
+        docs = docs.set_column(docs.column_names.index("regions"), "regions", _lists(key[in_open].view(np.int64), left))
+        return docs.filter(pa.array(left > 0))
+
+    members = members.select("p", "member", "label", "regions")
+    replies = answer(members.groupBy("p").applyInArrow(ask, MESSAGE), judge)
+    return members.groupBy("p").cogroup(replies.groupBy("p")).applyInArrow(keep, members.schema)
 
 
 def labelled(forest: Forest, restrict_rows: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
@@ -396,17 +456,17 @@ def labelled(forest: Forest, restrict_rows: int = 1_000_000) -> tuple[DataFrame,
     while True:
         # one job, so that its steps share one exchange of documents
         requests = forest.candidates(chosen, turn)
-        links = forest.confirmed(requests.where("p >= 0")).select(F.lit(0).alias("kind"), "a", "b")
-        found = written(links.unionByName(requests.where("p < 0").mapInArrow(_members, "kind int, a long, b long")))
-        new = written(found.where("kind = 0").select("a", "b").distinct())
+        links = forest.confirmed(requests.where("p >= 0")).select("a", "b", F.lit(None).cast("int").alias("p"), F.lit(None).cast("binary").alias("payload"))
+        found = written(links.unionByName(requests.where("p < 0").select((-1 - F.col("p")).alias("p"), "payload"), allowMissingColumns=True))
+        new = written(found.where("a IS NOT NULL").select("a", "b").distinct())
         edges = edges.unionByName(new)
         if not turn or not new.isEmpty():
             old, labels = labels, written(components(edges))
             if old is not None:
                 dropped(old)
-        members = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("member")).distinct()
-        members = written(members.join(labels, members["member"] == labels["node"], "left").select("region", "member", F.coalesce("component", "member").alias("label")))
-        left = written(_open(members))
+        members = found.where("p IS NOT NULL").select("p", "payload").groupBy("p").applyInArrow(_members, _MEMBER)
+        members = written(members.join(labels, members["member"] == labels["node"], "left").select("p", "member", F.coalesce("component", "member").alias("label"), "regions"))
+        left = written(_open(members, forest.bits))
         dropped(found, members, *used)
         n = left.select("member").distinct().count()
         if n:
@@ -416,11 +476,11 @@ def labelled(forest: Forest, restrict_rows: int = 1_000_000) -> tuple[DataFrame,
             sizes = reps.groupBy(F.col("doc_id").alias("member")).agg(F.max("n_shingles").alias("n"))
             judged = written(left.select("member").distinct().join(own, "member", "left").join(sizes, "member").select("member", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("most")))
             maybe = written(left.join(judged.where(100 * F.col("most") >= forest.percent * F.col("n")), "member"))
-            rest = written(_open(maybe))
-            dropped(judged, maybe, left)
-            used = [rest]
             # a region's tree is in the low bits of its key
-            open_ = rest.groupBy("member", "label", "most").agg(F.bit_or(F.expr("shiftleft(1L, CAST(region & 31 AS int))")).alias("mask"))
+            mask = F.expr("aggregate(regions, 0L, (m, r) -> m | shiftleft(1L, CAST(r & 31 AS int)))")
+            rest = written(_open(maybe, forest.bits).groupBy("member", "label").agg(F.bit_or(mask).alias("mask")).join(judged.select("member", "most"), "member"))
+            dropped(judged, maybe, left)
+            used, open_ = [rest], rest
             n = open_.count()
         if not n:
             return nodes, labels

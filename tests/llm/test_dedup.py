@@ -238,3 +238,39 @@ def test_passed_over_pairs_are_as_rare_as_said(limit):
     below = lambda m: sum(comb(144, k) * limit**k * (1 - limit) ** (144 - k) for k in range(m))
     least = _least_alike(144, limit)
     assert below(least) <= 3e-7 < below(least + 1)
+
+
+def test_open_regions_are_kept_one_row_a_document(spark, monkeypatch):
+    """No table of members has a row for each tree in which a document's region is open."""
+    from spanwright.llm import near_dedup as nd
+
+    r, texts, tables = random.Random(7), [], []
+    base = [f"v{k}" for k in range(120)]
+    for i in range(60):
+        own = list(base)
+        for k in r.sample(range(120), 4):
+            own[k] = f"n{i}x{k}"
+        texts.append((i, " ".join(own)))
+    written = nd.written
+    monkeypatch.setattr(nd, "written", lambda df: tables.append(written(df)) or tables[-1])
+    monkeypatch.setattr(nd, "dropped", lambda *_: None)
+    got = {x.doc_id: x.component_id for x in nd.near_dedup(H.docs(spark, texts), shingle=3, percent=85, near=2).collect()}
+    assert got == {i: c for i, (_, c) in H.near(texts, 3, 85).items()}
+    held = [t.count() for t in tables if "member" in t.columns]
+    assert max(held) > 0 and max(held) <= len(texts)
+
+
+def test_open_is_told_by_labels(spark):
+    from spanwright.llm.near_dedup import _open
+
+    r = random.Random(3)
+    rows = [(i % 5, i - 20, r.choice([-(1 << 63), -7, 0, 9]), r.sample([-9, -1, 3, 4, 1 << 62, (1 << 63) - 1, -(1 << 63), 50 + i], 3)) for i in range(40)]
+    rows += [(1, 100, 5, [77]), (2, 101, 5, [77])]
+    labels = {}
+    for _, _, label, regions in rows:
+        for x in regions:
+            labels.setdefault(x, set()).add(label)
+    want = {m: (p, label, sorted(x for x in regions if len(labels[x]) > 1)) for p, m, label, regions in rows}
+    got = _open(spark.createDataFrame(rows, "p int, member long, label long, regions array<bigint>"), 3).collect()
+    assert {x.member: (x.p, x.label, sorted(x.regions)) for x in got} == {m: v for m, v in want.items() if v[2]}
+    assert not {100, 101} & {x.member for x in got}
